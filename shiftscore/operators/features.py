@@ -60,9 +60,14 @@ FEATURE_COLUMNS = [
 class KeySet:
     """Distinct, persisted join keys with a proven broadcast decision."""
 
-    def __init__(self, df: DataFrame, col: Column | str, limit: int):
+    def __init__(self, df: DataFrame, col: Column | str, limit: int | None,
+                 bound_by: "KeySet | None" = None):
         self.frame = key_set(df, col, "key").persist(StorageLevel.MEMORY_AND_DISK)
-        self.small = has_at_most(self.frame, limit)
+        if bound_by is not None:
+            # No more distinct values than a set already counted: no new count.
+            self.small = bound_by.small
+        else:
+            self.small = has_at_most(self.frame, limit)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.frame) if self.small else self.frame
@@ -101,8 +106,9 @@ class LeadScope:
         self._held.append(df)
         return df
 
-    def keys(self, df: DataFrame, col) -> KeySet:
-        ks = KeySet(df, col, self.cfg.broadcast_key_limit)
+    def keys(self, df: DataFrame, col, bound_by: KeySet | None = None) -> KeySet:
+        """Key set of ``df[col]``; pass ``bound_by`` when its size is already proven."""
+        ks = KeySet(df, col, self.cfg.broadcast_key_limit, bound_by)
         self._held.append(ks)
         return ks
 
@@ -257,7 +263,7 @@ def app_category_rows(scope: LeadScope) -> DataFrame:
         F.col("application_name").isin(*cfg.app_names) & F.col("is_installed"))
     logs = logs.select(F.expr("substring(user_type_id, 10)").alias("_id_text"), "application_name")
     # The id list is compared as text, as the original remote query does.
-    id_text = scope.keys(scope.customers, F.col("id").cast("string"))
+    id_text = scope.keys(scope.customers, F.col("id").cast("string"), bound_by=scope.customer_ids)
     logs = id_text.restrict(logs, "_id_text")
     return logs.select(
         F.col("_id_text").try_cast("bigint").alias("customer_id"), "application_name",

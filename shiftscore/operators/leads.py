@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.nulls import r_ifelse
 from ..functions.weights import whatsapp_days
-from .joins import checked_broadcast
 
 OPEN_LEAD_COLUMNS = ["mobile", "source", "pickup_address", "drop_address", "days_remaining",
                      "order_interests"]
@@ -82,18 +81,22 @@ def unscored_leads(leads: DataFrame, scored_mobiles: DataFrame, key_col: str = "
     return d.join(k, d["mobile"] == k[key_col], "left_anti")
 
 
-def lead_frequency(df: DataFrame, mobile_col: str = "mobile", limit: int = 2_000_000) -> DataFrame:
+def lead_frequency(df: DataFrame, mobile_col: str = "mobile", broadcast_ok: bool = False) -> DataFrame:
     """Add ``count_source`` and ``count_mobile_number`` per phone.
 
     ``count_source`` counts distinct sources with NULL as one source;
     ``count_mobile_number`` counts rows.  Two-level aggregation (partial
     aggregation first, so a hot phone does not land whole in one task), then a
     null-safe join back: a NULL phone is a group of its own, as in dplyr.
+    ``broadcast_ok`` says the caller has proven the number of distinct phones
+    small (they are a subset of the lead phones, already counted).
     """
     per_source = df.groupBy(mobile_col, "source").agg(F.count(F.lit(1)).alias("_n"))
     counts = per_source.groupBy(mobile_col).agg(
         F.count(F.lit(1)).alias("count_source"),
         F.sum("_n").alias("count_mobile_number"))
-    counts = checked_broadcast(counts.withColumnRenamed(mobile_col, "_m"), limit)
+    counts = counts.withColumnRenamed(mobile_col, "_m")
+    if broadcast_ok:
+        counts = F.broadcast(counts)
     j = df.join(counts, df[mobile_col].eqNullSafe(counts["_m"]), "left")
     return j.drop("_m")

@@ -51,30 +51,35 @@ def lead_match(cfg: ScoringConfig = DEFAULT):
                               cfg.lead_pickup_keywords, cfg.lead_drop_keywords)
 
 
-def repeat_weight(df: DataFrame, variant: str, cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    """Interest weight (open) or lead-repetition weight (call) as ``repeat_weight``."""
+def repeat_weight(df: DataFrame, variant: str, phones_small: bool = False) -> DataFrame:
+    """Interest weight (open) or lead-repetition weight (call) as ``repeat_weight``.
+
+    ``phones_small``: the lead phones were proven few enough to broadcast; the
+    per-phone counts have at most that many rows (plus one NULL phone).
+    """
     if variant == "open":
         return df.withColumn("repeat_weight", interest_weight(F.col("order_interests")))
-    df = lead_frequency(df, limit=cfg.broadcast_key_limit)
+    df = lead_frequency(df, broadcast_ok=phones_small)
     return df.withColumn("repeat_weight",
                          frequency_weight(F.col("count_source"), F.col("count_mobile_number")))
 
 
-def score_active(scored: DataFrame, variant: str, cfg: ScoringConfig = DEFAULT) -> DataFrame:
+def score_active(scored: DataFrame, variant: str, cfg: ScoringConfig = DEFAULT,
+                 phones_small: bool = False) -> DataFrame:
     """Lead-side weights on the scored join (O41, O44-O48); NULL terms give a NULL score."""
     df = scored.withColumns({
         "source_weight": source_weight(F.col("source")),
         "society_flag": society_flag(lead_match(cfg), F.col("trip_flag")),
         "urgency_weight": urgency_weight(F.col("days_remaining")),
     })
-    df = repeat_weight(df, variant, cfg)
+    df = repeat_weight(df, variant, phones_small)
     total = (F.col("weighted_score") + F.col("society_flag") * cfg.society_weight
              + F.col("repeat_weight") + F.col("source_weight") + F.col("urgency_weight"))
     return df.withColumn("weighted_score", total)
 
 
 def score_remaining(unscored: DataFrame, variant: str, as_of: str | None,
-                    cfg: ScoringConfig = DEFAULT) -> DataFrame:
+                    phones_small: bool = False, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     """Lead-side-only score for leads without a customer.
 
     The original writes the source test with a scalar ``||`` that reads a
@@ -86,7 +91,7 @@ def score_remaining(unscored: DataFrame, variant: str, as_of: str | None,
         "source_weight": source_weight(F.col("source")),
         "urgency_weight": urgency_weight(F.col("days_remaining")),
     })
-    df = repeat_weight(df, variant, cfg)
+    df = repeat_weight(df, variant, phones_small)
     total = (F.col("source_weight") + F.col("society_flag") * cfg.society_weight
              + F.col("urgency_weight") + F.col("repeat_weight"))
     return df.withColumn("weighted_score", total).withColumn("created_at", created_at(as_of, cfg))
@@ -124,7 +129,8 @@ class LeadJob:
 
     def active(self, features: DataFrame | None = None, rank: bool = True) -> DataFrame:
         """P2 / P4."""
-        df = score_active(self.scored(features), self.variant, self.cfg).select(*ACTIVE_COLUMNS)
+        df = score_active(self.scored(features), self.variant, self.cfg,
+                          self.scope.phones.small).select(*ACTIVE_COLUMNS)
         return rank_by_score(df) if rank else df
 
     def unscored(self) -> DataFrame:
@@ -134,12 +140,14 @@ class LeadJob:
         customer table, so the anti join runs against those phones directly
         and does not wait for the feature build.
         """
-        found = self.scope.keys(self.scope.customers, F.col("mobile").try_cast("bigint"))
+        found = self.scope.keys(self.scope.customers, F.col("mobile").try_cast("bigint"),
+                                bound_by=self.scope.phones)
         return unscored_leads(self.leads, found.frame, "key", broadcast_ok=found.small)
 
     def remaining(self, rank: bool = True) -> DataFrame:
         """P3 / P5."""
-        df = score_remaining(self.unscored(), self.variant, self.as_of, self.cfg)
+        df = score_remaining(self.unscored(), self.variant, self.as_of,
+                             self.scope.phones.small, self.cfg)
         df = df.select(*REMAINING_COLUMNS)
         return rank_by_score(df) if rank else df
 

@@ -27,7 +27,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-        b = b.config("spark.ui.enabled", "false")
+        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("SHIFTSCORE_DRIVER_MEM", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

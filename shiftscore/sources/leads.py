@@ -103,19 +103,28 @@ def _convert(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*out)
 
 
-def read_open_leads(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, null_value: str) -> DataFrame:
+    # Every column as text; a field equal to ``null_value`` (blank by default,
+    # as a sheet's empty cell) is NULL, a quoted empty field is "".
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("nullValue", null_value).csv(path))
+
+
+def read_open_leads(spark: SparkSession, path: str, fmt: str = "csv",
+                    null_value: str = "") -> DataFrame:
     """Open-opportunity leads (O01): all rows, no status filter."""
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        raw = _read_csv(spark, path, null_value)
     else:
         raw = spark.read.format(fmt).load(path)
     return _convert(normalize_columns(raw, OPEN_LEAD_HEADERS), OPEN_LEAD_TYPES)
 
 
-def read_call_leads(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_call_leads(spark: SparkSession, path: str, fmt: str = "csv",
+                    null_value: str = "") -> DataFrame:
     """Call-sheet leads (O02) with the fixed positional typing of the sheet."""
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        raw = _read_csv(spark, path, null_value)
     else:
         raw = spark.read.format(fmt).load(path)
     if len(raw.columns) == len(CALL_SHEET_TYPES):
