@@ -1,35 +1,45 @@
 """Case-insensitive keyword predicates over address text.
 
-The address is lower-cased once and tested with ``contains`` per keyword; the
-lower-casing is a common sub-expression, so whole-stage codegen evaluates it
-once per row and the OR chain short-circuits on the first hit.  Substring
-semantics are intended: "Ark" matches "Market", "Marg" matches inside words.
+The predicate is one SQL expression, ``contains(lower(c), 'k1') OR ...``:
+the address is lower-cased once (common sub-expression under whole-stage
+codegen) and the OR chain stops at the first hit.  Substring semantics are
+intended: "Ark" matches "Market", "Marg" matches inside words.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def contains_any(col: Column, keywords) -> Column:
-    """NULL if ``col`` is NULL, else whether any keyword occurs in it, ignoring case."""
-    low = F.lower(col)
-    preds = [low.contains(k.lower()) for k in keywords]
-    if not preds:
-        return F.when(col.isNull(), F.lit(None)).otherwise(F.lit(False))
-    return reduce(lambda a, b: a | b, preds)
+def sql_literal(text: str) -> str:
+    """A Spark SQL string literal for ``text`` (quotes, backslashes, tabs escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\t", "\\t") + "'"
+
+
+def _col_sql(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def contains_any_sql(col_name: str, keywords) -> str:
+    c = f"lower({_col_sql(col_name)})"
+    if not keywords:
+        return f"CASE WHEN {_col_sql(col_name)} IS NULL THEN NULL ELSE false END"
+    return "(" + " OR ".join(f"contains({c}, {sql_literal(k.lower())})" for k in keywords) + ")"
+
+
+def contains_any(col_name: str, keywords) -> Column:
+    """NULL if the column is NULL, else whether any keyword occurs in it, ignoring case."""
+    return F.expr(contains_any_sql(col_name, keywords))
 
 
-def address_match(cols, keywords) -> Column:
+def address_match(col_names, keywords) -> Column:
     """SQL form: ``c1 ILIKE '%k%' OR ... OR c2 ILIKE '%k%'`` (three-valued)."""
-    return reduce(lambda a, b: a | b, [contains_any(c, keywords) for c in cols])
+    return F.expr(" OR ".join(contains_any_sql(c, keywords) for c in col_names))
 
 
-def lead_address_match(pickup: Column, drop: Column, pickup_keywords, drop_keywords) -> Column:
+def lead_address_match(pickup: str, drop: str, pickup_keywords, drop_keywords) -> Column:
     """Lead-sheet form: each ``%ilike%`` is FALSE on NA, so the result is never NULL."""
-    p = F.coalesce(contains_any(pickup, pickup_keywords), F.lit(False))
-    d = F.coalesce(contains_any(drop, drop_keywords), F.lit(False))
-    return p | d
+    p = contains_any_sql(pickup, pickup_keywords)
+    d = contains_any_sql(drop, drop_keywords)
+    return F.expr(f"coalesce({p}, false) OR coalesce({d}, false)")

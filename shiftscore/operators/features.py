@@ -61,9 +61,12 @@ class KeySet:
     """Distinct, persisted join keys with a proven broadcast decision."""
 
     def __init__(self, df: DataFrame, col: Column | str, limit: int | None,
-                 bound_by: "KeySet | None" = None):
+                 bound_by: "KeySet | None" = None, small: bool | None = None):
         self.frame = key_set(df, col, "key").persist(StorageLevel.MEMORY_AND_DISK)
-        if bound_by is not None:
+        if small is not None:
+            # The caller proved the bound (e.g. counted the rows the keys come from).
+            self.small = small
+        elif bound_by is not None:
             # No more distinct values than a set already counted: no new count.
             self.small = bound_by.small
         else:
@@ -97,7 +100,10 @@ class LeadScope:
         phones = KeySet(leads, F.col("mobile").cast("string"), cfg.broadcast_key_limit)
         cust = phones.restrict(wh.customers.select("id", "mobile", "geo_region_id"), "mobile")
         cust = cust.persist(StorageLevel.MEMORY_AND_DISK)
-        ids = KeySet(cust, F.col("id"), cfg.broadcast_key_limit)
+        # Counting the lead customers' rows fills their cache and bounds the
+        # number of distinct customer ids in one job.
+        ids = KeySet(cust, F.col("id"), None,
+                     small=has_at_most(cust, cfg.broadcast_key_limit))
         return cls(wh=wh, phones=phones, customers=cust, customer_ids=ids, cfg=cfg,
                    _held=[cust])
 
@@ -215,7 +221,7 @@ def last_order_keyword(scope: LeadScope, cod: DataFrame) -> DataFrame:
     on_last = orders.join(
         last_side, (orders["customer_id"] == last_side["customer_id"])
         & (orders["order_date"] == last_side["last_order_date"]), "left_semi")
-    hit = address_match([F.col("to_address"), F.col("from_address")], cfg.order_address_keywords)
+    hit = address_match(["to_address", "from_address"], cfg.order_address_keywords)
     labelled = on_last.withColumn(
         "trip_keyword_flag", F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP)))
     first = first_per_group(labelled, ["customer_id"], ["pickup_time", "order_id"],
@@ -332,8 +338,13 @@ def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
     installs = customer_installs(scope, latest)
     cod = customer_orders(scope, installs)
     if persist:
-        # Read five times below: compute once.
-        cod = scope.keep(cod)
+        # Read five times below: compute once.  Hash-partitioned by customer
+        # id first, so the cached table keeps a known partitioning that the
+        # customer-id joins downstream reuse; without it AQE may coalesce a
+        # small summary into one partition and every later step would run
+        # in that single task.
+        n = int(cod.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cod = scope.keep(cod.repartition(n, "customer_id"))
     return FeatureParts(
         install=install, latest=latest, installs=installs, cod=cod,
         keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod),

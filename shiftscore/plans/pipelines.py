@@ -32,6 +32,16 @@ ACTIVE_COLUMNS = [
     "house_shifting_apps_installed", "app_installed", "source", "society_flag",
     "days_remaining", "weighted_score", "created_at",
 ]
+# Feature columns the active table needs, plus the inventory columns, which
+# are not functions of the customer when inventory ids repeat.
+SCORED_FEATURE_COLUMNS = [
+    "mobile", "city", "customer_id", "app_install_date", "lead_channel_attribution",
+    "last_order_date", "total_orders", "device_model", "trip_keyword_flag",
+    "helper_category_attempts", "competitor_apps_installed", "luxury_apps_installed",
+    "daily_convenience_apps_installed", "ecommerce_apps_installed",
+    "house_shifting_apps_installed", "app_installed", "trip_flag", "weighted_score",
+    "created_at", "vech", "drop_location",
+]
 REMAINING_COLUMNS = [
     "mobile", "source", "pickup_address", "drop_address", "society_flag", "days_remaining",
     "weighted_score", "created_at",
@@ -47,7 +57,7 @@ def prepare_leads(leads: DataFrame, variant: str) -> DataFrame:
 
 
 def lead_match(cfg: ScoringConfig = DEFAULT):
-    return lead_address_match(F.col("pickup_address"), F.col("drop_address"),
+    return lead_address_match("pickup_address", "drop_address",
                               cfg.lead_pickup_keywords, cfg.lead_drop_keywords)
 
 
@@ -111,6 +121,12 @@ class LeadJob:
     def build(cls, wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
               cfg: ScoringConfig = DEFAULT, persist_leads: bool = True) -> "LeadJob":
         leads = prepare_leads(raw_leads, variant)
+        # Spread the lead list over the shuffle partitions (round robin, so a
+        # phone holding a third of the leads is spread too); every lead-side
+        # step downstream then runs in parallel even when the sheet arrives as
+        # one file.
+        n = int(raw_leads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        leads = leads.repartition(n)
         if persist_leads:
             leads = leads.persist()
         scope = LeadScope.build(wh, leads, cfg)
@@ -122,14 +138,22 @@ class LeadJob:
         """P1."""
         return customer_score(self.scope, self.as_of)
 
-    def scored(self, features: DataFrame | None = None) -> DataFrame:
-        """Feature rows joined to the leads, distinct."""
+    def scored(self, features: DataFrame | None = None, narrow: bool = False) -> DataFrame:
+        """Feature rows joined to the leads, distinct.
+
+        ``narrow`` keeps only what scoring reads plus the inventory columns,
+        before the distinct.  The columns left out are functions of kept
+        ones (gap of the two dates, order id and device flag of the customer,
+        flags of the counts), so the distinct rows are the same, projected.
+        """
         f = features if features is not None else self.customer_score()
+        if narrow:
+            f = f.select(*SCORED_FEATURE_COLUMNS)
         return scored_leads_join(f, self.leads)
 
     def active(self, features: DataFrame | None = None, rank: bool = True) -> DataFrame:
         """P2 / P4."""
-        df = score_active(self.scored(features), self.variant, self.cfg,
+        df = score_active(self.scored(features, narrow=True), self.variant, self.cfg,
                           self.scope.phones.small).select(*ACTIVE_COLUMNS)
         return rank_by_score(df) if rank else df
 

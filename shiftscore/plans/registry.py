@@ -66,17 +66,17 @@ def call_sheet(spark: SparkSession, sf: str) -> DataFrame:
     none = F.lit(None).cast("string")
     return FX.read_table(spark, sf, "orders").select(
         k.cast("string").alias("Lead Id"),
-        FX.pick(FX.LEAD_SOURCES, k % 8).alias("Source"),
+        FX.pick(FX.LEAD_SOURCES, "o_orderkey % 8").alias("Source"),
         F.col("o_orderdate").cast("string").alias("Timestamp"),
         F.col("o_orderpriority").alias("Name"),
         (F.when(k % 7 == 0, F.lit(FX.UNKNOWN_PREFIX)).otherwise(F.lit(FX.KNOWN_PREFIX))
          + F.col("o_custkey")).cast("double").cast("string").alias("Mobile Number"),
-        FX.pick(FX.PLACES, k % 8).alias("Pickup address"),
-        FX.pick(FX.PLACES, F.expr("o_orderkey div 8") % 8).alias("Drop_address"),
+        FX.pick(FX.PLACES, "o_orderkey % 8").alias("Pickup address"),
+        FX.pick(FX.PLACES, "(o_orderkey div 8) % 8").alias("Drop_address"),
         F.date_add(F.to_date(F.col("o_orderdate")), ((k % 11) % 5 - 1).cast("int"))
         .cast("string").alias("Tentative Shifting Date"),
-        FX.pick(FX.CALL_STATUSES, F.expr("o_orderkey div 35") % 4).alias("Calling Timestamp"),
-        FX.pick(FX.WA_ANSWERS, F.expr("o_orderkey div 5") % 9 % 5).alias("WA_Tentative Shifting Date"),
+        FX.pick(FX.CALL_STATUSES, "(o_orderkey div 35) % 4").alias("Calling Timestamp"),
+        FX.pick(FX.WA_ANSWERS, "((o_orderkey div 5) % 9) % 5").alias("WA_Tentative Shifting Date"),
         F.col("o_orderstatus").alias("Owner"),
         none.alias("City"), none.alias("Remarks"), none.alias("Follow up"), none.alias("Agent"),
         k.cast("string").alias("Sheet Row"))
@@ -126,7 +126,7 @@ def q_lead_keys(spark, sf):
 
 def q_address_keyword(spark, sf):
     orders = bind_warehouse(spark, sf).completed_spot_orders_mv
-    hit = address_match([F.col("to_address"), F.col("from_address")], C.ORDER_ADDRESS_KEYWORDS)
+    hit = address_match(["to_address", "from_address"], C.ORDER_ADDRESS_KEYWORDS)
     return orders.select(
         "order_id", "customer_id", "to_address", "from_address",
         F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP)).alias("trip_keyword_flag"))

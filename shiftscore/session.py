@@ -29,6 +29,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("SHIFTSCORE_DRIVER_MEM", "8g"))
+        # Local runs hold little data per stage but spend CPU per row (keyword
+        # tests, wide distincts): let AQE keep partitions from 256 KiB up so
+        # such stages still use every core.  Cluster defaults (1 MiB minimum,
+        # 64 MiB advisory) are left alone.
+        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in REQUIRED_CONF.items():

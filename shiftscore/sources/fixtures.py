@@ -40,17 +40,30 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_OPENED: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, opened once per session (the file listing and footer
+    read are not repeated for every query that uses it)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _OPENED.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _OPENED[key] = df
+    return df
 
 
-def pick(values: list, index: Column) -> Column:
-    """``values[index]`` for a 0-based integer column."""
-    return F.array(*[F.lit(v).cast("string") for v in values])[index.cast("int")]
+def _sql_value(v) -> str:
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _div(a: str, b: int) -> Column:
-    return F.expr(f"{a} div {b}")
+def pick(values: list, index_sql: str) -> Column:
+    """``values[index]`` for a 0-based integer SQL expression."""
+    arr = ", ".join(_sql_value(v) for v in values)
+    return F.expr(f"array({arr})[CAST(({index_sql}) AS INT)]")
 
 
 def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -79,8 +92,8 @@ def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         F.col("o_custkey").alias("customer_id"),
         F.to_date(F.timestamp_seconds(pickup_time + C.LOCAL_OFFSET_SECONDS)).alias("order_date"),
         pickup_time.alias("pickup_time"),
-        pick(PLACES, _div("o_orderkey", 8) % 8).alias("to_address"),
-        pick(PLACES, F.col("o_orderkey") % 8).alias("from_address")))
+        pick(PLACES, "(o_orderkey div 8) % 8").alias("to_address"),
+        pick(PLACES, "o_orderkey % 8").alias("from_address")))
 
     inventory = events.select(
         F.col("event_id").alias("id"),
@@ -90,7 +103,7 @@ def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
     signups = (events.where(F.col("event_type") == "signup").select(
         (F.lit(KNOWN_PREFIX) + F.col("user_id")).cast("string").alias("mobile"),
-        pick(SIGNUP_SOURCES, F.col("event_id") % 2).alias("source"),
+        pick(SIGNUP_SOURCES, "event_id % 2").alias("source"),
         F.when(F.col("event_id") % 17 == 0, F.lit(None)).otherwise(F.col("ts")).alias("request_ts")))
 
     phones = customer.select(
@@ -111,12 +124,12 @@ def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     app_slots = list(C.DEFAULT.app_names) + [None] * (APP_SLOTS - len(C.DEFAULT.app_names))
     app_logs = events.select(
         F.concat(F.lit("customer_"), F.col("user_id").cast("string")).alias("user_type_id"),
-        pick(app_slots, F.col("event_id") % APP_SLOTS).alias("application_name"),
+        pick(app_slots, f"event_id % {APP_SLOTS}").alias("application_name"),
         (F.col("event_id") % 13 == 0).alias("is_installed"))
 
     app_events = events.select(
         F.col("user_id").alias("customer_id"),
-        pick(DEVICE_MODELS, F.col("event_id") % 6).alias("device_model"),
+        pick(DEVICE_MODELS, "event_id % 6").alias("device_model"),
         F.when(F.col("event_id") % 6 == 3, F.lit("iOS")).otherwise(F.lit("Android"))
         .alias("device_platform_name"),
         F.col("ts").alias("event_timestamp"),
@@ -141,9 +154,9 @@ def _lead_common(k: Column) -> list[Column]:
     return [
         (F.when(k % 7 == 0, F.lit(UNKNOWN_PREFIX)).otherwise(F.lit(KNOWN_PREFIX))
          + F.col("o_custkey")).alias("mobile"),
-        pick(LEAD_SOURCES, k % 8).alias("source"),
-        pick(PLACES, k % 8).alias("pickup_address"),
-        pick(PLACES, _div("o_orderkey", 8) % 8).alias("drop_address"),
+        pick(LEAD_SOURCES, "o_orderkey % 8").alias("source"),
+        pick(PLACES, "o_orderkey % 8").alias("pickup_address"),
+        pick(PLACES, "(o_orderkey div 8) % 8").alias("drop_address"),
     ]
 
 
@@ -166,5 +179,5 @@ def bind_call_leads(spark: SparkSession, sf_dir: str, lead_stride: int = 1) -> D
         *_lead_common(k),
         F.col("o_orderdate").alias("lead_ts"),
         F.date_add(created, ((k % 11) % 5 - 1).cast("int")).alias("shifting_date"),
-        pick(CALL_STATUSES, _div("o_orderkey", 35) % 4).alias("calling_status"),
-        pick(WA_ANSWERS, _div("o_orderkey", 5) % 9 % 5).alias("wa_shifting_date"))
+        pick(CALL_STATUSES, "(o_orderkey div 35) % 4").alias("calling_status"),
+        pick(WA_ANSWERS, "((o_orderkey div 5) % 9) % 5").alias("wa_shifting_date"))
