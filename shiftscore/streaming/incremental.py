@@ -1,0 +1,60 @@
+"""Score lead sheets as they arrive, with Structured Streaming.
+
+The original job is run by hand on a sheet export; here each new export
+dropped into a folder is one micro-batch.  ``foreachBatch`` runs the same
+batch job (:func:`shiftscore.plans.job.run_scoring_job`) on the batch's leads,
+so a stream and a one-off run produce the same tables.  The stream's
+checkpoint (in the shared checkpoint folder unless given) records which files
+were processed; a restarted query resumes after the last committed batch.
+The snapshot write of a re-run batch overwrites, so a batch retried after a
+failure leaves the current tables as a single run would.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..config import DEFAULT, ScoringConfig
+from ..plans.job import run_scoring_job
+from ..session import scratch_path
+from ..sources.leads import CALL_SHEET_TYPES, OPEN_LEAD_HEADERS
+from ..sources.leads import _convert, normalize_columns, CALL_LEAD_HEADERS, CALL_LEAD_TYPES, OPEN_LEAD_TYPES
+from ..sources.warehouse import Warehouse
+
+
+def _text_schema(headers: list[str]) -> StructType:
+    return StructType([StructField(h, StringType(), True) for h in headers])
+
+
+def lead_stream(spark: SparkSession, lead_dir: str, headers: list[str],
+                null_value: str = "", max_files_per_batch: int = 1) -> DataFrame:
+    """New CSV sheet exports in ``lead_dir``, every column as text."""
+    return (spark.readStream.schema(_text_schema(headers))
+            .option("header", True).option("nullValue", null_value)
+            .option("maxFilesPerTrigger", max_files_per_batch)
+            .csv(lead_dir))
+
+
+def start_lead_scoring(spark: SparkSession, wh: Warehouse, lead_dir: str, variant: str,
+                       headers: list[str], out_dir: str, as_of: str | None = None,
+                       checkpoint: str | None = None, null_value: str = "",
+                       cfg: ScoringConfig = DEFAULT, once: bool = False) -> StreamingQuery:
+    """Start the stream; with ``once`` it processes what is there and stops."""
+    mapping = OPEN_LEAD_HEADERS if variant == "open" else CALL_LEAD_HEADERS
+    types = OPEN_LEAD_TYPES if variant == "open" else CALL_LEAD_TYPES
+
+    def score_batch(batch: DataFrame, batch_id: int) -> None:
+        leads = _convert(normalize_columns(batch, mapping), types)
+        run_scoring_job(wh, leads, variant, out_dir, as_of, cfg)
+
+    writer = (lead_stream(spark, lead_dir, headers, null_value).writeStream
+              .foreachBatch(score_batch)
+              .option("checkpointLocation", checkpoint or scratch_path(spark, "lead-stream")))
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+__all__ = ["lead_stream", "start_lead_scoring", "CALL_SHEET_TYPES"]
