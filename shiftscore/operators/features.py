@@ -31,7 +31,7 @@ from ..config import DEFAULT, ScoringConfig
 from ..functions.flags import app_category, base_score, feature_flags, premium_device
 from ..functions.keywords import address_match
 from ..sources.warehouse import Warehouse
-from .joins import checked_broadcast, has_at_most, key_set
+from .joins import has_at_most, key_set
 from .topk import first_per_group
 
 COD_KEYS = ["mobile", "source", "app_install_date", "geo_region", "lead_channel_attribution",
@@ -354,9 +354,9 @@ def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
 def customer_features(scope: LeadScope, parts: FeatureParts | None = None) -> DataFrame:
     """The feature row per install row (O22): seven left joins on customer_id."""
     p = parts or feature_parts(scope)
-    regions = checked_broadcast(
-        scope.wh.geo_regions.select(F.col("id").alias("_region_id"), F.col("name").alias("city")),
-        scope.cfg.broadcast_dim_limit)
+    # The region dimension meets a lead-sized table here, so no big side is at
+    # stake: AQE broadcasts it from its measured size at run time.
+    regions = scope.wh.geo_regions.select(F.col("id").alias("_region_id"), F.col("name").alias("city"))
     j = (p.cod.join(p.helper, "customer_id", "left")
          .join(p.apps, "customer_id", "left")
          .join(p.keyword.select("customer_id", "order_id", "trip_keyword_flag"), "customer_id", "left")
