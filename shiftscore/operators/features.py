@@ -222,41 +222,48 @@ def last_order_keyword(scope: LeadScope, cod: DataFrame) -> DataFrame:
         last_side, (orders["customer_id"] == last_side["customer_id"])
         & (orders["order_date"] == last_side["last_order_date"]), "left_semi")
     hit = address_match(["to_address", "from_address"], cfg.order_address_keywords)
-    labelled = on_last.withColumn(
-        "trip_keyword_flag", F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP)))
+    # The label is carried as 0/1 so the top-1 struct is fixed width and the
+    # aggregate can be hash-based.
+    labelled = on_last.withColumn("_hit", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
     first = first_per_group(labelled, ["customer_id"], ["pickup_time", "order_id"],
-                            ["order_id", "trip_keyword_flag"], descending=False)
+                            ["order_id", "_hit"], descending=False)
+    label = F.when(F.col("_hit") == 1, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))
     return last.join(first, "customer_id", "left").select(
-        "customer_id", "last_order_date", "order_id",
-        F.coalesce(F.col("trip_keyword_flag"), F.lit(C.OTHER_TRIP)).alias("trip_keyword_flag"))
+        "customer_id", "last_order_date", "order_id", label.alias("trip_keyword_flag"))
 
 
 # --- O27, O21/O30 ----------------------------------------------------------
 
-def _lead_inventory(scope: LeadScope) -> DataFrame:
-    return scope.customer_ids.restrict(
+def inventory_summary(scope: LeadScope) -> DataFrame:
+    """Per lead customer: helper-vehicle request count and highest request id.
+
+    One scan and one partial-aggregated pass feed both O27 and O21/O30.
+    """
+    cfg = scope.cfg
+    inv = scope.customer_ids.restrict(
         scope.wh.demand_inventory_logging_v2.select("id", "customer_id", "vehicle_id"),
         "customer_id")
+    helper = F.when(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids), F.col("id"))
+    return inv.groupBy("customer_id").agg(F.count(helper).alias("_n"), F.max("id").alias("_max_id"))
 
 
-def helper_attempts(scope: LeadScope, cod: DataFrame) -> DataFrame:
+def helper_attempts(scope: LeadScope, cod: DataFrame,
+                    inventory: DataFrame | None = None) -> DataFrame:
     """Helper-vehicle inventory requests per customer, times its summary rows."""
-    cfg = scope.cfg
-    inv = _lead_inventory(scope).where(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids))
-    n = inv.groupBy("customer_id").agg(F.count("id").alias("_n"))
+    inv = inventory if inventory is not None else inventory_summary(scope)
     m = (cod.where(F.col("customer_id").isNotNull())
          .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_m")))
-    return m.join(n, "customer_id", "left").select(
+    return m.join(inv.select("customer_id", "_n"), "customer_id", "left").select(
         "customer_id", (F.col("_m") * F.coalesce(F.col("_n"), F.lit(0))).alias("helper_category_attempts"))
 
 
-def latest_vehicle(scope: LeadScope) -> DataFrame:
+def latest_vehicle(scope: LeadScope, inventory: DataFrame | None = None) -> DataFrame:
     """Inventory rows whose id is some lead customer's highest id."""
-    max_ids = _lead_inventory(scope).groupBy("customer_id").agg(F.max("id").alias("_max_id"))
-    ids = max_ids.select("_max_id")
+    inv = inventory if inventory is not None else inventory_summary(scope)
+    ids = inv.select("_max_id")
     ids = F.broadcast(ids) if scope.customer_ids.small else ids
-    inv = scope.wh.demand_inventory_logging_v2.where(F.col("customer_id").isNotNull())
-    return inv.join(ids, inv["id"] == ids["_max_id"], "left_semi").select(
+    rows = scope.wh.demand_inventory_logging_v2.where(F.col("customer_id").isNotNull())
+    return rows.join(ids, rows["id"] == ids["_max_id"], "left_semi").select(
         "customer_id", "drop_location", F.col("vehicle_id").alias("vech"))
 
 
@@ -345,10 +352,12 @@ def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
         # in that single task.
         n = int(cod.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         cod = scope.keep(cod.repartition(n, "customer_id"))
+    inventory = inventory_summary(scope)
     return FeatureParts(
         install=install, latest=latest, installs=installs, cod=cod,
-        keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod),
-        vehicle=latest_vehicle(scope), apps=app_summary(scope), device=device_signature(scope))
+        keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod, inventory),
+        vehicle=latest_vehicle(scope, inventory), apps=app_summary(scope),
+        device=device_signature(scope))
 
 
 def customer_features(scope: LeadScope, parts: FeatureParts | None = None) -> DataFrame:
