@@ -30,6 +30,7 @@ from .. import config as C
 from ..config import DEFAULT, ScoringConfig
 from ..functions.flags import app_category, base_score, feature_flags, premium_device
 from ..functions.keywords import address_match
+from ..session import lead_partitions
 from ..sources.warehouse import Warehouse
 from .joins import has_at_most, key_set
 from .topk import first_per_group
@@ -174,17 +175,24 @@ def customer_installs(scope: LeadScope, latest: DataFrame) -> DataFrame:
 
 # --- O19/O26 ---------------------------------------------------------------
 
-def customer_orders(scope: LeadScope, installs: DataFrame) -> DataFrame:
+def customer_orders(scope: LeadScope, latest: DataFrame) -> DataFrame:
     """Last order date, completed-order count and gap per install row.
 
-    Orders are pre-aggregated per customer (max pickup time, order count) and
-    then joined to the fan-out rows; summing the per-customer count over the
-    duplicate rows of a group reproduces COUNT over the row-level join.
+    The original joins the customer table twice on the phone (once to find
+    lead customers, once for the summary), so a phone shared by N customer
+    rows makes N x N rows per install row before grouping, and COUNT sees
+    each order N times.  Here the install rows of a phone meet that phone's
+    customer rows once, and the duplicate count N is carried as a
+    multiplier: same groups and counts, output-sized work.  Orders are
+    pre-aggregated per customer (max pickup time, count) before the join.
     """
     cfg = scope.cfg
-    base = installs.where(F.col("mobile").isNotNull()).join(
-        scope.customers.select("mobile", "geo_region_id", F.col("id").alias("customer_id")),
-        "mobile", "left")
+    cust = scope.customers
+    dups = cust.groupBy("mobile").agg(F.count(F.lit(1)).alias("_dups"))
+    # A phone without sign-ups keeps one row with NULL install columns.
+    installs = dups.join(latest, "mobile", "left")
+    base = installs.join(
+        cust.select("mobile", "geo_region_id", F.col("id").alias("customer_id")), "mobile", "inner")
     orders = scope.customer_ids.restrict(
         scope.wh.orders.where(F.col("status") == cfg.completed_status)
         .select("order_id", "customer_id", "pickup_time"), "customer_id")
@@ -192,7 +200,7 @@ def customer_orders(scope: LeadScope, installs: DataFrame) -> DataFrame:
         F.max("pickup_time").alias("_last_pt"), F.count("order_id").alias("_n"))
     g = base.join(stats, "customer_id", "left").groupBy(*COD_KEYS).agg(
         F.max("_last_pt").alias("_last_pt"),
-        F.sum(F.coalesce(F.col("_n"), F.lit(0))).alias("total_orders"))
+        F.sum(F.col("_dups") * F.coalesce(F.col("_n"), F.lit(0))).alias("total_orders"))
     last = F.to_date(F.timestamp_seconds(F.col("_last_pt") + cfg.local_offset_seconds))
     return g.select(
         *COD_KEYS, last.alias("last_order_date"),
@@ -343,15 +351,14 @@ def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
     install = install_attribution(scope)
     latest = latest_install(install)
     installs = customer_installs(scope, latest)
-    cod = customer_orders(scope, installs)
+    cod = customer_orders(scope, latest)
     if persist:
         # Read five times below: compute once.  Hash-partitioned by customer
         # id first, so the cached table keeps a known partitioning that the
         # customer-id joins downstream reuse; without it AQE may coalesce a
         # small summary into one partition and every later step would run
         # in that single task.
-        n = int(cod.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cod = scope.keep(cod.repartition(n, "customer_id"))
+        cod = scope.keep(cod.repartition(lead_partitions(cod.sparkSession), "customer_id"))
     inventory = inventory_summary(scope)
     return FeatureParts(
         install=install, latest=latest, installs=installs, cod=cod,

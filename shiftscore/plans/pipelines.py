@@ -22,6 +22,7 @@ from ..operators.features import LeadScope, created_at, customer_score
 from ..operators.leads import (lead_frequency, prepare_call_leads, prepare_open_leads,
                                scored_leads_join, unscored_leads)
 from ..operators.ranking import rank_by_score
+from ..session import lead_partitions
 from ..sources.warehouse import Warehouse
 
 ACTIVE_COLUMNS = [
@@ -125,8 +126,7 @@ class LeadJob:
         # phone holding a third of the leads is spread too); every lead-side
         # step downstream then runs in parallel even when the sheet arrives as
         # one file.
-        n = int(raw_leads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        leads = leads.repartition(n)
+        leads = leads.repartition(lead_partitions(raw_leads.sparkSession))
         if persist_leads:
             leads = leads.persist()
         scope = LeadScope.build(wh, leads, cfg)

@@ -69,3 +69,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def lead_partitions(spark: SparkSession) -> int:
+    """Partitions for lead-sized intermediate tables.
+
+    Fixed-count repartitions are not coalesced by AQE, so this is capped by
+    the cluster's parallelism: enough partitions to keep every core busy on
+    the CPU-heavy lead-side steps without thousands of near-empty tasks.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))

@@ -114,3 +114,34 @@ def test_pipeline_matches_oracle_on_edge_rows(spark, fixture_tables):
     assert {2, 3} <= set(counts)
     # NULL-phone leads are kept on the remaining side, deduplicated.
     assert remaining.where("mobile IS NULL").count() == 1
+
+
+def test_shared_phone_counts_without_pairing_rows(spark):
+    """A phone shared by many customer rows: counts follow the original's
+    double join (N copies of each order), computed without its N x N rows."""
+    from pyspark.sql import functions as F
+
+    from shiftscore.operators import features as FT
+
+    n_cust = 200
+    base = rows_for(hot_orders=8)
+    cust_rows = [(1000 + i, "9000000099", 1) for i in range(n_cust)]
+    order_rows = [(50000 + i, 1000 + (i % 5), 1_700_000_000 + i, 4) for i in range(20)]
+    frames = {name: spark.createDataFrame(rows, schema) for name, (rows, schema) in base.items()}
+    frames["customers"] = spark.createDataFrame(cust_rows, base["customers"][1])
+    frames["orders_v"] = spark.createDataFrame(order_rows, base["orders_v"][1])
+    frames["sf_customer_signup_requests"] = spark.createDataFrame(
+        [("9000000099", "app", T(2024, 1, 1)), ("9000000099", "website", T(2024, 1, 2))],
+        base["sf_customer_signup_requests"][1])
+    leads = spark.createDataFrame([(9000000099, "app", "a", "b", D(2024, 1, 2), D(2024, 1, 1), 3)],
+                                  base["open_leads"][1])
+    rel = {k: v for k, v in frames.items() if k != "open_leads"}
+    rel["orders"] = rel.pop("orders_v")
+    job = LeadJob.build(Warehouse(**rel), leads, "open", AS_OF)
+    cod = FT.customer_orders(job.scope, FT.latest_install(FT.install_attribution(job.scope)))
+    got = {(r.customer_id, r.source): r.total_orders for r in cod.collect()}
+    assert len(got) == n_cust * 2
+    for i in range(n_cust):
+        per_customer = 4 if i < 5 else 0          # 20 orders over customers 1000..1004
+        assert got[(1000 + i, "app")] == n_cust * per_customer
+    job.release()

@@ -55,8 +55,7 @@ def test_status_filter_pushed_on_a_real_orders_table(spark, tmp_path):
     wh.orders.write.parquet(path)
     wh.orders = spark.read.parquet(path)
     job = LeadJob.build(wh, bind_open_leads(spark, SF001), "open", "2024-06-01 00:00:00")
-    cod = FT.customer_orders(job.scope, FT.customer_installs(
-        job.scope, FT.latest_install(FT.install_attribution(job.scope))))
+    cod = FT.customer_orders(job.scope, FT.latest_install(FT.install_attribution(job.scope)))
     plan = executed_plan(cod)
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,4)" in plan
     assert "ReadSchema: struct<order_id:bigint,customer_id:bigint,pickup_time:bigint,status:int>" in plan
