@@ -64,10 +64,13 @@ def scored_leads_join(features: DataFrame, leads: DataFrame) -> DataFrame:
 
     Written as an inner join: every feature row's phone was found through the
     lead phones, so the left join of the original never keeps an unmatched
-    row, and an inner join lets AQE split a hot phone on either side.
+    row, and an inner join lets AQE split a hot phone on either side.  Each
+    side is made distinct before the join, which yields the same rows as a
+    distinct after it (a joined row is a pair of side rows) without first
+    multiplying the duplicate lead rows of a phone.
     """
-    f = features.withColumn("mobile", F.col("mobile").try_cast("bigint"))
-    return f.join(leads, "mobile", "inner").distinct()
+    f = features.withColumn("mobile", F.col("mobile").try_cast("bigint")).distinct()
+    return f.join(leads.distinct(), "mobile", "inner")
 
 
 def unscored_leads(leads: DataFrame, scored_mobiles: DataFrame, key_col: str = "key",

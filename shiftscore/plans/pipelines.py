@@ -153,7 +153,12 @@ class LeadJob:
 
     def active(self, features: DataFrame | None = None, rank: bool = True) -> DataFrame:
         """P2 / P4."""
-        df = score_active(self.scored(features, narrow=True), self.variant, self.cfg,
+        scored = self.scored(features, narrow=True)
+        if self.variant == "call":
+            # Read twice by the repetition counts (aggregate, then join back):
+            # compute the feature join once.
+            scored = self.scope.keep(scored)
+        df = score_active(scored, self.variant, self.cfg,
                           self.scope.phones.small).select(*ACTIVE_COLUMNS)
         return rank_by_score(df) if rank else df
 
@@ -170,7 +175,10 @@ class LeadJob:
 
     def remaining(self, rank: bool = True) -> DataFrame:
         """P3 / P5."""
-        df = score_remaining(self.unscored(), self.variant, self.as_of,
+        unscored = self.unscored()
+        if self.variant == "call":
+            unscored = self.scope.keep(unscored)
+        df = score_remaining(unscored, self.variant, self.as_of,
                              self.scope.phones.small, self.cfg)
         df = df.select(*REMAINING_COLUMNS)
         return rank_by_score(df) if rank else df
