@@ -122,11 +122,13 @@ class LeadJob:
     def build(cls, wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
               cfg: ScoringConfig = DEFAULT, persist_leads: bool = True) -> "LeadJob":
         leads = prepare_leads(raw_leads, variant)
-        # Spread the lead list over the shuffle partitions (round robin, so a
-        # phone holding a third of the leads is spread too); every lead-side
-        # step downstream then runs in parallel even when the sheet arrives as
-        # one file.
-        leads = leads.repartition(lead_partitions(raw_leads.sparkSession))
+        # Every use of the lead list below (scored join, unscored anti join,
+        # lead phones) comes after a whole-row distinct, so deduplicate once.
+        # Hash partitioning on all columns spreads a hot phone's rows over
+        # the partitions, and the fixed count keeps the CPU-heavy lead-side
+        # steps on every core even when the sheet arrives as one file; later
+        # distincts on this table need no shuffle.
+        leads = leads.repartition(lead_partitions(raw_leads.sparkSession), *leads.columns).distinct()
         if persist_leads:
             leads = leads.persist()
         scope = LeadScope.build(wh, leads, cfg)
