@@ -92,21 +92,27 @@ class LeadScope:
     wh: Warehouse
     phones: KeySet
     customers: DataFrame          # customers rows with a lead phone: id, mobile, geo_region_id
-    customer_ids: KeySet
     cfg: ScoringConfig = DEFAULT
     _held: list = field(default_factory=list)
+    _customer_ids: KeySet | None = None
 
     @classmethod
     def build(cls, wh: Warehouse, leads: DataFrame, cfg: ScoringConfig = DEFAULT) -> "LeadScope":
         phones = KeySet(leads, F.col("mobile").cast("string"), cfg.broadcast_key_limit)
         cust = phones.restrict(wh.customers.select("id", "mobile", "geo_region_id"), "mobile")
         cust = cust.persist(StorageLevel.MEMORY_AND_DISK)
-        # Counting the lead customers' rows fills their cache and bounds the
-        # number of distinct customer ids in one job.
-        ids = KeySet(cust, F.col("id"), None,
-                     small=has_at_most(cust, cfg.broadcast_key_limit))
-        return cls(wh=wh, phones=phones, customers=cust, customer_ids=ids, cfg=cfg,
-                   _held=[cust])
+        return cls(wh=wh, phones=phones, customers=cust, cfg=cfg, _held=[cust])
+
+    @property
+    def customer_ids(self) -> KeySet:
+        """Lead customer ids, built on first use (the remaining-lead side never needs them)."""
+        if self._customer_ids is None:
+            # Counting the lead customers' rows fills their cache and bounds
+            # the number of distinct customer ids in one job.
+            small = has_at_most(self.customers, self.cfg.broadcast_key_limit)
+            self._customer_ids = KeySet(self.customers, F.col("id"), None, small=small)
+            self._held.append(self._customer_ids)
+        return self._customer_ids
 
     def keep(self, df: DataFrame) -> DataFrame:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -120,7 +126,7 @@ class LeadScope:
         return ks
 
     def release(self) -> None:
-        for h in [self.phones, self.customer_ids, *self._held]:
+        for h in [self.phones, *self._held]:
             h.unpersist() if isinstance(h, DataFrame) else h.release()
 
 
