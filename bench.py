@@ -32,7 +32,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
 
-    from shiftscore.plans.registry import registry
+    from shiftscore.plans.registry import registry, release_previous
     from shiftscore.session import get_session
 
     spark = get_session(f"local[{cpus}]", int(cpus))
@@ -48,6 +48,7 @@ def main() -> None:
             dt = time.perf_counter() - t0
             if i:
                 samples.append(dt)
+            release_previous()
             spark.catalog.clearCache()
         times[name] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -35,8 +35,25 @@ def _raw(spark: SparkSession, sf: str, variant: str) -> DataFrame:
     return (bind_open_leads if variant == "open" else bind_call_leads)(spark, sf)
 
 
+_OPEN_JOBS: list[LeadJob] = []
+
+
+def release_previous() -> None:
+    """Drop the cached intermediates of earlier registered queries.
+
+    Registered queries return lazy DataFrames whose plans read cached
+    intermediates; a caller running them one after another releases the
+    previous ones before building the next (an earlier DataFrame still works
+    afterwards, it just recomputes).
+    """
+    while _OPEN_JOBS:
+        _OPEN_JOBS.pop().release()
+
+
 def _job(spark: SparkSession, sf: str, variant: str = "open") -> LeadJob:
-    return LeadJob.build(bind_warehouse(spark, sf), _raw(spark, sf, variant), variant, AS_OF)
+    job = LeadJob.build(bind_warehouse(spark, sf), _raw(spark, sf, variant), variant, AS_OF)
+    _OPEN_JOBS.append(job)
+    return job
 
 
 def _parts(spark, sf, variant="open"):
