@@ -86,7 +86,8 @@ def _phone(col) -> F.Column:
     return F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"))
 
 
-def _convert(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Keep the typed columns of a normalised sheet, converting text with try_cast."""
     out = []
     for name, t in types.items():
         if name not in df.columns:
@@ -117,7 +118,7 @@ def read_open_leads(spark: SparkSession, path: str, fmt: str = "csv",
         raw = _read_csv(spark, path, null_value)
     else:
         raw = spark.read.format(fmt).load(path)
-    return _convert(normalize_columns(raw, OPEN_LEAD_HEADERS), OPEN_LEAD_TYPES)
+    return apply_types(normalize_columns(raw, OPEN_LEAD_HEADERS), OPEN_LEAD_TYPES)
 
 
 def read_call_leads(spark: SparkSession, path: str, fmt: str = "csv",
@@ -138,7 +139,7 @@ def read_call_leads(spark: SparkSession, path: str, fmt: str = "csv",
                 col = col.cast("string").try_cast("date")
             cols.append(col.alias(c))
         raw = raw.select(*cols)
-    return _convert(normalize_columns(raw, CALL_LEAD_HEADERS), CALL_LEAD_TYPES)
+    return apply_types(normalize_columns(raw, CALL_LEAD_HEADERS), CALL_LEAD_TYPES)
 
 
 def sheet_frame(df: DataFrame, headers: dict[str, str]) -> DataFrame:

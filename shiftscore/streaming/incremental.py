@@ -19,8 +19,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..config import DEFAULT, ScoringConfig
 from ..plans.job import run_scoring_job
 from ..session import scratch_path
-from ..sources.leads import CALL_SHEET_TYPES, OPEN_LEAD_HEADERS
-from ..sources.leads import _convert, normalize_columns, CALL_LEAD_HEADERS, CALL_LEAD_TYPES, OPEN_LEAD_TYPES
+from ..sources.leads import (CALL_LEAD_HEADERS, CALL_LEAD_TYPES, OPEN_LEAD_HEADERS,
+                             OPEN_LEAD_TYPES, apply_types, normalize_columns)
 from ..sources.warehouse import Warehouse
 
 
@@ -46,7 +46,7 @@ def start_lead_scoring(spark: SparkSession, wh: Warehouse, lead_dir: str, varian
     types = OPEN_LEAD_TYPES if variant == "open" else CALL_LEAD_TYPES
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        leads = _convert(normalize_columns(batch, mapping), types)
+        leads = apply_types(normalize_columns(batch, mapping), types)
         run_scoring_job(wh, leads, variant, out_dir, as_of, cfg)
 
     writer = (lead_stream(spark, lead_dir, headers, null_value).writeStream
@@ -56,5 +56,3 @@ def start_lead_scoring(spark: SparkSession, wh: Warehouse, lead_dir: str, varian
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
-
-__all__ = ["lead_stream", "start_lead_scoring", "CALL_SHEET_TYPES"]

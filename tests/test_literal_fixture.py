@@ -119,8 +119,6 @@ def test_pipeline_matches_oracle_on_edge_rows(spark, fixture_tables):
 def test_shared_phone_counts_without_pairing_rows(spark):
     """A phone shared by many customer rows: counts follow the original's
     double join (N copies of each order), computed without its N x N rows."""
-    from pyspark.sql import functions as F
-
     from shiftscore.operators import features as FT
 
     n_cust = 200

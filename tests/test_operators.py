@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from shiftscore.operators.joins import has_at_most, restrict_to_keys
 from shiftscore.operators.leads import lead_frequency, unscored_leads, uncalled

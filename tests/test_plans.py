@@ -34,7 +34,6 @@ def test_semi_and_anti_joins(plans):
 
 def test_filters_and_columns_reach_the_scan(spark):
     from shiftscore.sources.fixtures import bind_warehouse
-    from pyspark.sql import functions as F
 
     wh = bind_warehouse(spark, SF001)
     df = wh.sf_customer_signup_requests.select("mobile")
@@ -44,8 +43,6 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_status_filter_pushed_on_a_real_orders_table(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from shiftscore.operators import features as FT
     from shiftscore.plans.pipelines import LeadJob
     from shiftscore.sources.fixtures import bind_open_leads, bind_warehouse
