@@ -143,3 +143,48 @@ def test_shared_phone_counts_without_pairing_rows(spark):
         per_customer = 4 if i < 5 else 0          # 20 orders over customers 1000..1004
         assert got[(1000 + i, "app")] == n_cust * per_customer
     job.release()
+
+
+CALL_LEADS = [
+    # mobile, source, pickup, drop, lead_ts, shifting_date, calling_status, wa answer
+    (9000000001, "WhatsApp", "Tower", "x", T(2024, 1, 10, 9), D(2024, 1, 20), "Call not done", "NOW"),
+    (9000000001, "WhatsApp", "Tower", "x", T(2024, 1, 10, 9), D(2024, 1, 20), "", "maybe"),
+    (9000000001, "app", "MG Road", "Sri\tAditya", T(2024, 1, 10), D(2024, 1, 11), "", None),
+    (9000000001, "website", "a", "b", T(2024, 1, 10), D(2024, 1, 12), "Call not done", None),
+    (9000000002, None, None, None, T(2024, 1, 10), D(2024, 1, 10), "Call not done", None),
+    (9000000002, "Whatsapp", "Lake", "Sobha", T(2024, 1, 10), D(2024, 1, 9), None, "NOW"),
+    (9000000005, "Missed call", "x", "y", T(2024, 1, 10), None, "2024-01-01", None),
+    (8000000009, "WhatsApp", "Market", "z", T(2024, 1, 10), D(2024, 1, 10), "", "After 2 Days"),
+    (8000000009, "app", "Market", "z", T(2024, 1, 10), D(2024, 1, 10), "", None),
+    (None, "app", "Tower", "z", T(2024, 1, 10), D(2024, 1, 10), "", None),
+]
+CALL_SCHEMA = ("mobile long, source string, pickup_address string, drop_address string, "
+               "lead_ts timestamp_ntz, shifting_date date, calling_status string, "
+               "wa_shifting_date string")
+
+
+def test_call_variant_matches_oracle_on_edge_rows(spark, fixture_tables, tmp_path):
+    base, fr = fixture_tables
+    path = str(tmp_path / "call_leads")
+    spark.createDataFrame(CALL_LEADS, CALL_SCHEMA).write.parquet(path)
+    rel = {k: v for k, v in fr.items() if k != "open_leads"}
+    rel["orders"] = rel.pop("orders_v")
+    job = LeadJob.build(Warehouse(**rel), spark.read.parquet(path), "call", AS_OF)
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in rows_for():
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{base}/{name}/*.parquet')")
+    con.execute(f"CREATE VIEW call_leads AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    ctes = pipeline_ctes("call")
+    for out, df in (("active_out", job.active()), ("remaining_out", job.remaining())):
+        res = con.execute(with_ctes(ctes, f"SELECT * FROM {out}"))
+        cols = [d[0] for d in res.description]
+        want = canon(res.fetchall())
+        got = canon(tuple(r[c] for c in cols) for r in df.collect())
+        assert got == want, out
+    # The WhatsApp lead with an unknown answer has NULL days (urgency 0), the
+    # NULL-status and called leads are gone.
+    days = {(r.source, r.days_remaining) for r in job.leads.collect() if r.mobile == 9000000001}
+    assert ("WhatsApp", 0) in days and ("WhatsApp", None) in days
+    assert job.leads.where("mobile = 9000000005").count() == 0
+    job.release()
