@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,8 +52,9 @@ def apply_required_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder made
-    and registered, so lineage can still be cut with ``checkpoint()``.
+    Only a local master that names none gets a scratch folder: its driver is
+    also its only executor.  On any other master a folder of one machine could
+    not be read by the others, so a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shiftscore-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
