@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftscore.llm import mixing
+from shiftscore.llm import mixing, packing, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
+    "op6_packing": packing.op6_packing,
+    "op7_secrets": secrets.op7_secrets,
 }
 
 ORACLES: dict[str, str] = {
