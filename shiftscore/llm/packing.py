@@ -20,8 +20,10 @@ one by one; an empty table gives no piece; texts of any length are cut whole.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,28 +35,27 @@ from shiftscore.llm.common import documents, keep, running_sum, slots_for
 
 CAPACITY = 4096
 END_ID = 2
-#: Words a worker remembers before it starts anew (it then still looks into the last lot); results don't depend on it.
-CACHE_WORDS = 300_000
+#: Words and parts a worker remembers before it starts anew (it then still looks into the last lot); results don't depend on it.
+CACHE_WORDS, CACHE_PARTS = 400_000, 250_000
 
 
-class Remembered:
-    """A dictionary of bounded size: when it is full, it becomes the old one, and entries in use move over."""
+class Remembered(dict):
+    """Values made once for each key; ``rotate`` bounds the size, and entries in use move over to the new lot."""
 
-    def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.old = make, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Those of ``keys`` that must still be set; the others can then be read from ``new``."""
-        unknown = [k for k in keys if k not in self.new]
-        if len(self.new) + len(unknown) > self.limit:
-            self.old, self.new, unknown = self.new, {}, list(keys)
-        out = []
-        for k in unknown:
-            if (v := self.old.get(k)) is None:
-                out.append(k)
-            else:
-                self.new[k] = v
-        return out
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def rotate(self, limit: int) -> None:
+        if len(self) > limit:
+            self.old = dict(self)
+            self.clear()
 
 
 class CachedTokenizer:
@@ -83,35 +84,39 @@ class CachedTokenizer:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
-        self.words, self.parts = Remembered(CACHE_WORDS), Remembered(CACHE_WORDS)
+        self.words, self.parts = Remembered(self._word), Remembered(self._part)
 
     def _plain(self, word: str) -> bool:
         """Lower-casing letter by letter and by word agree, nothing is to be composed, no special token is inside."""
-        return word.isascii() and "<|" not in word or (
-            unicodedata.is_normalized("NFC", word) and not any(c in word for c in ("\u03a3", "\u0130"))
-            and not any(x in word for x in self.special))
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.direct and self._plain(w)]
-        split = {w: self.pattern.findall(w.lower()) for w in plain}
-        tokenize = self.tokenizer.model.tokenize
-        unknown = self.parts.missing({p for parts in split.values() for p in parts})
-        known = self.parts.new
-        for p in unknown:
-            mapped = "".join([self.letters[b] for b in p.encode()])
-            known[p] = np.array([t.id for t in tokenize(mapped)], dtype="<u4").tobytes()
-        for w, parts in split.items():
-            self.words.new[w] = b"".join([known[p] for p in parts])
-        rest = [w for w in words if w not in split]
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.words.new[w] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if unknown := self.words.missing({w for words in split for w in words}):
-            self._learn(unknown)
-        known = self.words.new
-        return [b"".join([known[w] for w in words]) for words in split]
+        if not word.isascii() and ("\u03a3" in word or "\u0130" in word or not unicodedata.is_normalized("NFC", word)):
+            return False
+        return word.isalpha() or not any([x in word for x in self.special])
+
+    def _part(self, part: str) -> bytes:
+        mapped = part if part.isascii() and part.isalnum() else "".join([self.letters[b] for b in part.encode()])
+        return _packed([t.id for t in self.tokenizer.model.tokenize(mapped)])
+
+    def _word(self, word: str) -> bytes:
+        if not (self.direct and self._plain(word)):
+            return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        low = word.lower()
+        return self.parts[low] if low.isalpha() else b"".join([self.parts[p] for p in self.pattern.findall(low)])
+
+    def encode(self, text: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+        self.words.rotate(CACHE_WORDS)
+        self.parts.rotate(CACHE_PARTS)
+        return ids
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@lru_cache(maxsize=1)
+def worker_tokenizer(path: str) -> CachedTokenizer:
+    """The tokenizer of this Python worker, which serves many tasks."""
+    return CachedTokenizer(path)
 
 
 def default_tokenizer() -> str:
@@ -132,14 +137,13 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                         ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CachedTokenizer(path)
+        encoder = worker_tokenizer(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # the ids of a few documents at a time
                 some = batch.slice(at, 256)
-                texts = [t or "" for t in some.column(1).to_pylist()]
                 rows: list[tuple] = []
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(texts)):
-                    ids += end
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    ids = encoder.encode(text or "") + end
                     n = len(ids) // 4
                     rows += [(doc_id, s, min(capacity, n - s), n, ids[4 * s:4 * (s + capacity)]) for s in range(0, n, capacity)]
                 yield pa.RecordBatch.from_arrays(
