@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftscore.llm import mixing, packing, secrets, simhash_dedup
+from shiftscore.llm import fingerprints, mixing, packing, secrets, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_simhash_dedup": simhash_dedup.op3_simhash_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op6_packing": packing.op6_packing,
