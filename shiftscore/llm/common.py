@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftscore.session import checkpoint_dir
+from shiftscore.session import checkpoint_dir, scratch_path
 
 #: A word: a run of code points other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +21,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows``, so that long ones don't pile up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def remainder(doc_id: Column, modulus: int) -> Column:
+    """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; NULL counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -34,6 +45,33 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Like ``keep``, for larger tables: columnar and compressed, in the shared folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Remembered(dict):
+    """Values made once for each key; ``rotate`` bounds the size, and entries in use move over to the new lot."""
+
+    def __init__(self, make: Callable):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def rotate(self, limit: int) -> None:
+        if len(self) > limit:
+            self.old = dict(self)
+            self.clear()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import struct
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import documents, keep, running_sum, slots_for
+from shiftscore.llm.common import Remembered, documents, keep, running_sum, slots_for, text_batches
 
 CAPACITY = 4096
 END_ID = 2
@@ -39,25 +39,6 @@ END_ID = 2
 CACHE_WORDS, CACHE_PARTS = 400_000, 250_000
 
 
-class Remembered(dict):
-    """Values made once for each key; ``rotate`` bounds the size, and entries in use move over to the new lot."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make, self.old = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
-
-    def rotate(self, limit: int) -> None:
-        if len(self) > limit:
-            self.old = dict(self)
-            self.clear()
-
-
 class CachedTokenizer:
     """Token ids of whole texts, as little-endian 32-bit bytes.
 
@@ -131,6 +112,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     ``ids`` are little-endian unsigned 32-bit values.  ``tokenizer`` is the path
     of a vocabulary that every executor has.
     """
+    text_batches(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], dtype="<u4").tobytes()
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftscore.llm import fingerprints, mixing, packing, secrets, simhash_dedup
+from shiftscore.llm import fingerprints, language, mixing, packing, secrets, simhash_dedup, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": fingerprints.op2_fingerprints,
@@ -14,8 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
     "op6_packing": packing.op6_packing,
     "op7_secrets": secrets.op7_secrets,
+    "op9_substrings": substrings.op9_substrings,
+    "op10_language": language.op10_language,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
+    "op9_substrings": substrings.ORACLE,
 }

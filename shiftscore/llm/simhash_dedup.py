@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import documents, keep
+from shiftscore.llm.common import documents, keep, text_batches
 from shiftscore.llm.components import components
 
 SHINGLE_WORDS, RADIUS, SEED = 3, 2, 42
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
             found = pa.array([fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["doc_id", "text_key", "fingerprint"])
 
+    text_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         of, "doc_id long, text_key long, fingerprint long")
 
