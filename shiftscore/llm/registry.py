@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftscore.llm import fingerprints, language, mixing, packing, secrets, simhash_dedup, substrings
+from shiftscore.llm import fingerprints, language, mixing, packing, secrets, simhash_dedup, substrings, suffix_tree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_simhash_dedup": simhash_dedup.op3_simhash_dedup,
     "op4_mixing": mixing.op4_mixing,
+    "op5_suffix_tree": suffix_tree.op5_suffix_tree,
     "op6_packing": packing.op6_packing,
     "op7_secrets": secrets.op7_secrets,
     "op9_substrings": substrings.op9_substrings,
