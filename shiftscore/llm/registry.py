@@ -6,20 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftscore.llm import fingerprints, language, mixing, packing, secrets, simhash_dedup, substrings, suffix_tree
+from shiftscore.llm import (
+    embedding_dedup,
+    fingerprints,
+    language,
+    mixing,
+    packing,
+    secrets,
+    simhash_dedup,
+    substrings,
+    suffix_tree,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_simhash_dedup": simhash_dedup.op3_simhash_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_suffix_tree": suffix_tree.op5_suffix_tree,
     "op6_packing": packing.op6_packing,
     "op7_secrets": secrets.op7_secrets,
+    "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_substrings": substrings.op9_substrings,
     "op10_language": language.op10_language,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
+    "op8_embedding_dedup": embedding_dedup.ORACLE,
     "op9_substrings": substrings.ORACLE,
 }
