@@ -1,9 +1,11 @@
 """Command line: score one lead sheet against the warehouse.
 
-    spark-submit -m shiftscore --warehouse <dir> --leads <sheet.csv> \\
-        --variant open|call --out <dir> [--as-of "2024-06-01 00:00:00"]
+    python -m shiftscore --warehouse <dir> --leads <sheet.csv> \\
+        --variant open|call --out <dir> [--as-of "2024-06-01 00:00:00"] [--run-id <name>]
 
-The warehouse folder holds the eleven relations as ``<dir>/<name>`` tables
+Spark's master and settings come from spark-defaults.conf or from
+``PYSPARK_SUBMIT_ARGS="--master yarn --conf ... pyspark-shell"``; on a cluster
+``spark.checkpoint.dir`` names a folder that all executors share.  The warehouse folder holds the eleven relations as ``<dir>/<name>`` tables
 (see ``shiftscore.sources.warehouse.RELATIONS``).
 """
 
@@ -26,13 +28,14 @@ def main(argv=None) -> None:
     p.add_argument("--variant", choices=("open", "call"), required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--as-of", default=None)
+    p.add_argument("--run-id", default=None)
     p.add_argument("--no-history", action="store_true")
     a = p.parse_args(argv)
     spark = get_session()
     wh = load_warehouse(spark, a.warehouse, fmt=a.warehouse_format)
     reader = read_open_leads if a.variant == "open" else read_call_leads
     leads = reader(spark, a.leads, fmt=a.leads_format)
-    res = run_scoring_job(wh, leads, a.variant, a.out, a.as_of, history=not a.no_history)
+    res = run_scoring_job(wh, leads, a.variant, a.out, a.as_of, history=not a.no_history, run_id=a.run_id)
     print(f"active={res.active_rows} remaining={res.remaining_rows}")
 
 

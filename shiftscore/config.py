@@ -7,7 +7,7 @@ changing one changes the scores.  They are kept together so a user can pass a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the reference job's values for identical
@@ -122,12 +122,9 @@ class ScoringConfig:
     paid_attribution: str = PAID_ATTRIBUTION
     base_weights: tuple = BASE_WEIGHTS
     society_weight: int = SOCIETY_WEIGHT
-    # Key sets at most this many rows are broadcast for semi-join restriction;
-    # larger ones fall back to a shuffled semi-join.
+    # Key sets proven to have at most this many rows are broadcast (as longs
+    # and short texts, tens of megabytes); larger ones are shuffled.
     broadcast_key_limit: int = 2_000_000
-    # Dimension tables (regions) at most this many rows are broadcast.
-    broadcast_dim_limit: int = 100_000
-    extra: dict = field(default_factory=dict)
 
     @property
     def app_names(self) -> tuple:

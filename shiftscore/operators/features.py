@@ -2,17 +2,17 @@
 
 Shape of the plan, built for a lead list that is small next to the warehouse:
 
-1. Lead phones and then lead customer ids become :class:`KeySet` s.  Each is
-   persisted and counted once; when the count proves it small it is broadcast,
-   so every big relation (orders, inventory logs, app logs, app events,
-   sign-ups) is cut to lead-relevant rows by a map-side semi join before any
-   shuffle.  Filters (status, vehicle ids, app names, installed) are pushed
-   into the Parquet scan.
+1. Lead phones and then lead customer ids become :class:`KeySet` s.  The lead
+   rows and the lead customers are counted once each; when a count proves the
+   keys few they are broadcast, so every big relation (orders, inventory logs,
+   app logs, app events, sign-ups) is cut to lead-relevant rows by a map-side
+   semi join before any shuffle.  Filters (status, app names, installed) are
+   pushed into the Parquet scan.
 2. Facts are aggregated per customer *before* they meet the fan-out rows of
    the lead side, so a customer with a third of all orders is reduced by
    partial aggregation instead of being joined row by row.
-3. Top-1-per-group steps use :func:`first_per_group` (partial aggregation
-   again); no step collects an unbounded group.
+3. Top-1-per-group steps use :func:`first_per_group` (a group limit before the
+   shuffle); no step collects an unbounded group.
 4. All feature joins are keyed by ``customer_id``; the lead-side aggregates are
    hash-partitioned on it, so the final left-join chain reuses one
    partitioning.
@@ -30,9 +30,8 @@ from .. import config as C
 from ..config import DEFAULT, ScoringConfig
 from ..functions.flags import app_category, base_score, feature_flags, premium_device
 from ..functions.keywords import address_match
-from ..session import lead_partitions
 from ..sources.warehouse import Warehouse
-from .joins import has_at_most, key_set
+from .joins import KeySet, proven_small
 from .topk import first_per_group
 
 COD_KEYS = ["mobile", "source", "app_install_date", "geo_region", "lead_channel_attribution",
@@ -58,33 +57,6 @@ FEATURE_COLUMNS = [
 ]
 
 
-class KeySet:
-    """Distinct, persisted join keys with a proven broadcast decision."""
-
-    def __init__(self, df: DataFrame, col: Column | str, limit: int | None,
-                 bound_by: "KeySet | None" = None, small: bool | None = None):
-        self.frame = key_set(df, col, "key").persist(StorageLevel.MEMORY_AND_DISK)
-        if small is not None:
-            # The caller proved the bound (e.g. counted the rows the keys come from).
-            self.small = small
-        elif bound_by is not None:
-            # No more distinct values than a set already counted: no new count.
-            self.small = bound_by.small
-        else:
-            self.small = has_at_most(self.frame, limit)
-
-    def side(self) -> DataFrame:
-        return F.broadcast(self.frame) if self.small else self.frame
-
-    def restrict(self, df: DataFrame, on: Column | str) -> DataFrame:
-        k = self.side()
-        c = df[on] if isinstance(on, str) else on
-        return df.join(k, c == k["key"], "left_semi")
-
-    def release(self) -> None:
-        self.frame.unpersist()
-
-
 @dataclass
 class LeadScope:
     """Lead phones and the warehouse rows that can matter for them."""
@@ -97,8 +69,11 @@ class LeadScope:
     _customer_ids: KeySet | None = None
 
     @classmethod
-    def build(cls, wh: Warehouse, leads: DataFrame, cfg: ScoringConfig = DEFAULT) -> "LeadScope":
-        phones = KeySet(leads, F.col("mobile").cast("string"), cfg.broadcast_key_limit)
+    def build(cls, wh: Warehouse, leads: DataFrame, cfg: ScoringConfig = DEFAULT,
+              few: bool | None = None) -> "LeadScope":
+        """``few``: whether the lead rows are known to be within the broadcast limit (else they are counted)."""
+        few = proven_small(leads, cfg.broadcast_key_limit) if few is None else few
+        phones = KeySet(leads, F.col("mobile").cast("string"), few)
         cust = phones.restrict(wh.customers.select("id", "mobile", "geo_region_id"), "mobile")
         cust = cust.persist(StorageLevel.MEMORY_AND_DISK)
         return cls(wh=wh, phones=phones, customers=cust, cfg=cfg, _held=[cust])
@@ -107,10 +82,9 @@ class LeadScope:
     def customer_ids(self) -> KeySet:
         """Lead customer ids, built on first use (the remaining-lead side never needs them)."""
         if self._customer_ids is None:
-            # Counting the lead customers' rows fills their cache and bounds
-            # the number of distinct customer ids in one job.
-            small = has_at_most(self.customers, self.cfg.broadcast_key_limit)
-            self._customer_ids = KeySet(self.customers, F.col("id"), None, small=small)
+            # Counting the lead customers' rows also fills their cache.
+            few = proven_small(self.customers, self.cfg.broadcast_key_limit)
+            self._customer_ids = KeySet(self.customers, "id", few)
             self._held.append(self._customer_ids)
         return self._customer_ids
 
@@ -119,9 +93,9 @@ class LeadScope:
         self._held.append(df)
         return df
 
-    def keys(self, df: DataFrame, col, bound_by: KeySet | None = None) -> KeySet:
-        """Key set of ``df[col]``; pass ``bound_by`` when its size is already proven."""
-        ks = KeySet(df, col, self.cfg.broadcast_key_limit, bound_by)
+    def keys(self, df: DataFrame, col, small: bool = False) -> KeySet:
+        """Key set of ``df[col]``; ``small`` if it has no more keys than a set already counted."""
+        ks = KeySet(df, col, small)
         self._held.append(ks)
         return ks
 
@@ -139,38 +113,50 @@ def lead_customers(scope: LeadScope) -> DataFrame:
 
 # --- O17, O36, O18 ---------------------------------------------------------
 
+def phone_spots(scope: LeadScope) -> DataFrame:
+    """Region and paid flag of every spot of a lead phone: ``number, geo_region, paid``.
+
+    Lead-sized from the start; the spot tables join by measured sizes.
+    """
+    wh = scope.wh
+    phones = scope.phones.restrict(wh.sf_lead_spot_detail_phones.select("number", "detail_id"), "number")
+    details = wh.sf_lead_spot_details.select("id", "lead_spot_id", "geo_region_curated")
+    attrib = wh.sf_lead_spot_registration_attributions.select("lead_id", "attribution")
+    return (phones.join(details, F.col("id") == F.col("detail_id"), "left")
+            .join(attrib, F.col("lead_id") == F.col("lead_spot_id"), "left")
+            .select("number", F.col("geo_region_curated").alias("geo_region"),
+                    F.when(F.col("attribution") == scope.cfg.paid_attribution, F.lit(1)).otherwise(F.lit(0)).alias("paid")))
+
+
+def lead_signups(scope: LeadScope) -> DataFrame:
+    """Sign-ups of lead phones with their local date."""
+    shift = F.expr(f"INTERVAL {scope.cfg.local_offset_seconds} SECONDS")
+    rows = scope.phones.restrict(
+        scope.wh.sf_customer_signup_requests.select("mobile", "source", "request_ts"), "mobile")
+    return rows.select("mobile", "source", F.to_date(F.col("request_ts") + shift).alias("app_install_date"))
+
+
 def install_attribution(scope: LeadScope) -> DataFrame:
-    """Sign-ups of lead phones with region and paid-attribution flag."""
-    wh, cfg = scope.wh, scope.cfg
-    signups = scope.phones.restrict(
-        wh.sf_customer_signup_requests.select("mobile", "source", "request_ts"), "mobile")
-    phones = scope.keep(scope.phones.restrict(
-        wh.sf_lead_spot_detail_phones.select("number", "detail_id"), "number"))
-    details = scope.keep(scope.keys(phones, "detail_id").restrict(
-        wh.sf_lead_spot_details.select("id", "lead_spot_id", "geo_region_curated"), "id"))
-    attrib = scope.keys(details, "lead_spot_id").restrict(
-        wh.sf_lead_spot_registration_attributions.select("lead_id", "attribution"), "lead_id")
-    j = (signups.join(phones, signups["mobile"] == phones["number"], "left")
-         .join(details, details["id"] == phones["detail_id"], "left")
-         .join(attrib, attrib["lead_id"] == details["lead_spot_id"], "left"))
-    shift = F.expr(f"INTERVAL {cfg.local_offset_seconds} SECONDS")
-    return j.select(
-        signups["mobile"], signups["source"],
-        F.to_date(F.col("request_ts") + shift).alias("app_install_date"),
-        F.col("geo_region_curated").alias("geo_region"),
-        F.when(F.col("attribution") == cfg.paid_attribution, F.lit(1)).otherwise(F.lit(0))
-        .alias("lead_channel_attribution"))
-
-
-def latest_install(install: DataFrame) -> DataFrame:
+    """Sign-ups of lead phones with region and paid-attribution flag, one row for each spot of the phone."""
+    return (lead_signups(scope).join(phone_spots(scope), F.col("mobile") == F.col("number"), "left")
+            .select("mobile", "source", "app_install_date", "geo_region",
+                    F.coalesce("paid", F.lit(0)).alias("lead_channel_attribution")))
+
+
+def latest_install(scope: LeadScope) -> DataFrame:
     """One sign-up per (phone, source): latest install date, NULL date first.
 
-    Ties on the date go to the paid attribution, then the greater region name.
+    Ties on the date go to the paid attribution, then to a NULL region, then to
+    the greater region name.  Region and attribution belong to the phone, the
+    date to the sign-up, so each side is reduced to one row before they meet:
+    a phone with many sign-ups and many spots is never paired with itself.
     """
-    order = ["app_install_date", "lead_channel_attribution", "geo_region"]
-    return first_per_group(install, ["mobile", "source"], order,
-                           ["app_install_date", "geo_region", "lead_channel_attribution"],
-                           descending=True)
+    date = F.when(F.max(F.col("app_install_date").isNull()), F.lit(None)).otherwise(F.max("app_install_date"))
+    dates = lead_signups(scope).groupBy("mobile", "source").agg(date.alias("app_install_date"))
+    spot = first_per_group(phone_spots(scope), ["number"], ["paid", "geo_region"], ["paid", "geo_region"], descending=True)
+    return (dates.join(spot, F.col("mobile") == F.col("number"), "left")
+            .select("mobile", "source", "app_install_date", "geo_region",
+                    F.coalesce("paid", F.lit(0)).alias("lead_channel_attribution")))
 
 
 def customer_installs(scope: LeadScope, latest: DataFrame) -> DataFrame:
@@ -235,30 +221,28 @@ def last_order_keyword(scope: LeadScope, cod: DataFrame) -> DataFrame:
     on_last = orders.join(
         last_side, (orders["customer_id"] == last_side["customer_id"])
         & (orders["order_date"] == last_side["last_order_date"]), "left_semi")
+    # Pick the order first: the keywords are then looked for in one row per customer.
+    first = first_per_group(on_last, ["customer_id"], ["pickup_time", "order_id"],
+                            ["order_id", "to_address", "from_address"], descending=False)
     hit = address_match(["to_address", "from_address"], cfg.order_address_keywords)
-    # The label is carried as 0/1 so the top-1 struct is fixed width and the
-    # aggregate can be hash-based.
-    labelled = on_last.withColumn("_hit", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
-    first = first_per_group(labelled, ["customer_id"], ["pickup_time", "order_id"],
-                            ["order_id", "_hit"], descending=False)
-    label = F.when(F.col("_hit") == 1, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))
+    label = F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))
     return last.join(first, "customer_id", "left").select(
         "customer_id", "last_order_date", "order_id", label.alias("trip_keyword_flag"))
 
 
 # --- O27, O21/O30 ----------------------------------------------------------
 
-def inventory_summary(scope: LeadScope) -> DataFrame:
-    """Per lead customer: helper-vehicle request count and highest request id.
+def lead_inventory(scope: LeadScope) -> DataFrame:
+    """Inventory requests of lead customers: the one scan of the log in P1."""
+    return scope.customer_ids.restrict(
+        scope.wh.demand_inventory_logging_v2.select("id", "customer_id", "vehicle_id", "drop_location"), "customer_id")
 
-    One scan and one partial-aggregated pass feed both O27 and O21/O30.
-    """
-    cfg = scope.cfg
-    inv = scope.customer_ids.restrict(
-        scope.wh.demand_inventory_logging_v2.select("id", "customer_id", "vehicle_id"),
-        "customer_id")
-    helper = F.when(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids), F.col("id"))
-    return inv.groupBy("customer_id").agg(F.count(helper).alias("_n"), F.max("id").alias("_max_id"))
+
+def inventory_summary(scope: LeadScope, rows: DataFrame | None = None) -> DataFrame:
+    """Per lead customer: helper-vehicle request count (O27) and highest request id."""
+    rows = rows if rows is not None else lead_inventory(scope)
+    helper = F.when(F.col("vehicle_id").isin(*scope.cfg.helper_vehicle_ids), F.col("id"))
+    return rows.groupBy("customer_id").agg(F.count(helper).alias("_n"), F.max("id").alias("_max_id"))
 
 
 def helper_attempts(scope: LeadScope, cod: DataFrame,
@@ -271,12 +255,17 @@ def helper_attempts(scope: LeadScope, cod: DataFrame,
         "customer_id", (F.col("_m") * F.coalesce(F.col("_n"), F.lit(0))).alias("helper_category_attempts"))
 
 
-def latest_vehicle(scope: LeadScope, inventory: DataFrame | None = None) -> DataFrame:
-    """Inventory rows whose id is some lead customer's highest id."""
+def latest_vehicle(scope: LeadScope, inventory: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Inventory rows whose id is some lead customer's highest id.
+
+    ``rows`` limits the search to these (P1 drops rows of other customers
+    anyway, and passes the lead customers' rows); by default all rows of the
+    log are looked at.
+    """
     inv = inventory if inventory is not None else inventory_summary(scope)
-    ids = inv.select("_max_id")
+    ids = inv.select("_max_id").distinct()
     ids = F.broadcast(ids) if scope.customer_ids.small else ids
-    rows = scope.wh.demand_inventory_logging_v2.where(F.col("customer_id").isNotNull())
+    rows = rows if rows is not None else scope.wh.demand_inventory_logging_v2.where(F.col("customer_id").isNotNull())
     return rows.join(ids, rows["id"] == ids["_max_id"], "left_semi").select(
         "customer_id", "drop_location", F.col("vehicle_id").alias("vech"))
 
@@ -290,7 +279,7 @@ def app_category_rows(scope: LeadScope) -> DataFrame:
         F.col("application_name").isin(*cfg.app_names) & F.col("is_installed"))
     logs = logs.select(F.expr("substring(user_type_id, 10)").alias("_id_text"), "application_name")
     # The id list is compared as text, as the original remote query does.
-    id_text = scope.keys(scope.customers, F.col("id").cast("string"), bound_by=scope.customer_ids)
+    id_text = scope.keys(scope.customers, F.col("id").cast("string"), small=scope.customer_ids.small)
     logs = id_text.restrict(logs, "_id_text")
     return logs.select(
         F.col("_id_text").try_cast("bigint").alias("customer_id"), "application_name",
@@ -300,20 +289,20 @@ def app_category_rows(scope: LeadScope) -> DataFrame:
 def app_summary(scope: LeadScope, rows: DataFrame | None = None) -> DataFrame:
     """Per customer: the five category counts (O28) and the app list.
 
-    Rows are first counted per (customer, app) -- at most one row per listed
-    app and customer after partial aggregation -- so the list is assembled from
-    a bounded group even for a customer with a huge log.  The list keeps
-    duplicates and is sorted; it is rendered ``{a,b,c}`` as the original
-    prints it once quotes are stripped.
+    Rows are first counted per (customer, app), so a customer has at most one
+    row per listed app to gather, whatever the size of the log.  The list keeps
+    duplicates and is sorted; each name is repeated as text and rendered
+    ``{a,b,c}``, as the original prints it once quotes are stripped.  The
+    rendered cell itself grows with the number of log rows.
     """
     rows = rows if rows is not None else app_category_rows(scope)
     per_app = rows.groupBy("customer_id", "application_name", "app_type").agg(
         F.count(F.lit(1)).alias("_n"))
     aggs = [F.sum(F.when(F.col("app_type") == cat, F.col("_n")).otherwise(F.lit(0))).alias(name)
             for cat, name in APP_COUNT_COLUMNS]
-    apps = F.array_sort(F.flatten(F.collect_list(
-        F.array_repeat(F.col("application_name"), F.col("_n").cast("int")))))
-    aggs.append(F.concat(F.lit("{"), F.concat_ws(",", apps), F.lit("}")).alias("app_installed"))
+    apps = F.array_sort(F.collect_list(F.struct("application_name", F.col("_n").cast("int").alias("_n"))))
+    names = F.transform(apps, lambda x: F.substr(F.repeat(F.concat(F.lit(","), x["application_name"]), x["_n"]), F.lit(2)))
+    aggs.append(F.concat(F.lit("{"), F.concat_ws(",", names), F.lit("}")).alias("app_installed"))
     return per_app.groupBy("customer_id").agg(*aggs)
 
 
@@ -342,9 +331,6 @@ def device_signature(scope: LeadScope, latest: DataFrame | None = None) -> DataF
 
 @dataclass
 class FeatureParts:
-    install: DataFrame
-    latest: DataFrame
-    installs: DataFrame
     cod: DataFrame
     keyword: DataFrame
     helper: DataFrame
@@ -354,22 +340,18 @@ class FeatureParts:
 
 
 def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
-    install = install_attribution(scope)
-    latest = latest_install(install)
-    installs = customer_installs(scope, latest)
+    latest = latest_install(scope)
     cod = customer_orders(scope, latest)
+    rows = lead_inventory(scope)
     if persist:
-        # Read five times below: compute once.  Hash-partitioned by customer
-        # id first, so the cached table keeps a known partitioning that the
-        # customer-id joins downstream reuse; without it AQE may coalesce a
-        # small summary into one partition and every later step would run
-        # in that single task.
-        cod = scope.keep(cod.repartition(lead_partitions(cod.sparkSession), "customer_id"))
-    inventory = inventory_summary(scope)
+        # Read several times below: compute once.  By customer id, which the
+        # joins below are on; AQE sizes the partitions.
+        cod = scope.keep(cod.repartition("customer_id"))
+        rows = scope.keep(rows)
+    inventory = inventory_summary(scope, rows)
     return FeatureParts(
-        install=install, latest=latest, installs=installs, cod=cod,
-        keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod, inventory),
-        vehicle=latest_vehicle(scope, inventory), apps=app_summary(scope),
+        cod=cod, keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod, inventory),
+        vehicle=latest_vehicle(scope, inventory, rows), apps=app_summary(scope),
         device=device_signature(scope))
 
 

@@ -1,44 +1,44 @@
-"""Join helpers with an explicit, checked broadcast decision.
+"""Restricting a big table to the keys in hand.
 
-A side is broadcast only after a bounded count proves it has at most
-``limit`` rows (``limit(n + 1).count()`` stops reading once the bound is
-passed).  Beyond the bound the join stays a shuffled join, where AQE can still
-coalesce or split skewed partitions at run time.
+Keys are broadcast only if a plain count of rows that hold them (one number
+per partition, nothing is moved) proves them few.  Otherwise the semi join
+carries no hint: it is shuffled, and AQE may still broadcast or split by the
+sizes it measures.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; reads at most ``limit + 1``."""
-    return df.limit(limit + 1).count() <= limit
+def proven_small(rows: DataFrame, limit: int) -> bool:
+    """Whether ``rows``, and so any distinct keys in them, are at most ``limit``."""
+    return rows.count() <= limit
 
 
-def checked_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``limit`` rows, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, limit) else df
+class KeySet:
+    """Non-NULL keys, kept in the cache.
 
+    ``small`` says that the rows with keys are proven few: they are then
+    broadcast as they are, otherwise made distinct first.
+    """
 
-def key_set(df: DataFrame, col: str | Column, name: str) -> DataFrame:
-    """Distinct non-NULL values of ``col`` as a one-column frame called ``name``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return df.select(c.alias(name)).where(F.col(name).isNotNull()).distinct()
+    def __init__(self, rows: DataFrame, key: Column | str, small: bool = False):
+        c = F.col(key) if isinstance(key, str) else key
+        self.small = small
+        keys = rows.select(c.alias("key")).where("key IS NOT NULL")
+        self.frame = (keys if small else keys.distinct()).persist(StorageLevel.MEMORY_AND_DISK)
 
+    def side(self) -> DataFrame:
+        return F.broadcast(self.frame) if self.small else self.frame
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | Column,
-                     key_col: str | None = None, *, limit: int = 2_000_000) -> DataFrame:
-    """Rows of ``df`` whose ``on`` value is in ``keys`` (O05, a left semi join).
+    def restrict(self, df: DataFrame, on: Column | str) -> DataFrame:
+        """Rows of ``df`` whose ``on`` is one of the keys; no key gives no row."""
+        k = self.side()
+        c = df[on] if isinstance(on, str) else on
+        return df.join(k, c == k["key"], "left_semi")
 
-    This is the Spark form of sending a literal ID list to a remote source:
-    with a small key set the semi join is a broadcast hash join evaluated on
-    the scan's partitions, so the big table is never shuffled.  An empty key
-    set gives an empty result.  ``keys`` should be distinct (see
-    :func:`key_set`) and persisted by the caller when it is reused.
-    """
-    key_col = key_col or keys.columns[0]
-    k = checked_broadcast(keys, limit)
-    left = F.col(on) if isinstance(on, str) else on
-    return df.join(k, left == k[key_col], "left_semi")
+    def release(self) -> None:
+        self.frame.unpersist()

@@ -1,43 +1,22 @@
-"""Top-1 row per group without collecting a group into one task.
+"""Top-1 row per group without bringing a group into one task.
 
-``DISTINCT ON (keys) ... ORDER BY`` and ``ROW_NUMBER() ... = 1`` are written
-as a hash/sort aggregate that keeps the max (or min) of a struct whose leading
-fields are the ordering keys.  The aggregate has a partial (map-side) phase,
-so a key holding a third of all rows reaches the shuffle as one row per map
-partition.  NULL placement is encoded with a leading boolean per key.
+``DISTINCT ON (keys) ... ORDER BY`` is ``row_number() = 1``, which Spark plans
+as a group limit on both sides of the shuffle: each map task passes on one row
+per key, so a key with a third of all rows is no larger there than any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _key_fields(order, descending: bool):
-    fields = []
-    for i, spec in enumerate(order):
-        col, nulls_first = spec if isinstance(spec, tuple) else (spec, None)
-        c = F.col(col) if isinstance(col, str) else col
-        if nulls_first is None:
-            # PostgreSQL default: NULLs first for DESC, last for ASC.
-            nulls_first = descending
-        # max() prefers True, min() prefers False.
-        null_key = c.isNull() if nulls_first == descending else c.isNotNull()
-        fields += [null_key.alias(f"_n{i}"), c.alias(f"_k{i}")]
-    return fields
-
-
-def first_per_group(df: DataFrame, keys: list[str], order: list, values: list[str],
+def first_per_group(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                     descending: bool) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (all DESC or all ASC).
+    """One row per ``keys``: the first by ``order``, all DESC or all ASC, ties broken by ``values``.
 
-    ``order`` items are a column or ``(column, nulls_first)``.  Ties on the
-    whole order are broken by ``values`` in the same direction, so the pick
-    is deterministic.  Returns ``keys + values``.
+    NULLs as in PostgreSQL: first for DESC, last for ASC.  Returns ``keys + values``.
     """
-    fields = _key_fields(order, descending)
-    fields += [F.col(v).alias(f"_v{j}") for j, v in enumerate(values)]
-    packed = F.struct(*fields)
-    agg = F.max(packed) if descending else F.min(packed)
-    out = df.groupBy(*keys).agg(agg.alias("_top"))
-    return out.select(*keys, *[F.col(f"_top._v{j}").alias(v) for j, v in enumerate(values)])
+    by = [F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in dict.fromkeys([*order, *values])]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return df.withColumn("_first", first).where("_first = 1").select(*keys, *values)

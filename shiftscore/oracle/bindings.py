@@ -42,7 +42,12 @@ BINDINGS: dict[str, str] = {
     "customers": f"""
         SELECT c_custkey AS id, CAST({FX.KNOWN_PREFIX} + c_custkey AS VARCHAR) AS mobile,
                c_nationkey AS geo_region_id
-        FROM customer""",
+        FROM customer
+        UNION ALL
+        SELECT c_custkey + {FX.SHARED_SHIFT}, CAST({FX.KNOWN_PREFIX} + c_custkey AS VARCHAR), c_nationkey
+        FROM customer WHERE c_custkey % {FX.SHARED_PHONE} = 0
+        UNION ALL
+        SELECT c_custkey + {FX.NO_PHONE_SHIFT}, NULL, c_nationkey FROM customer WHERE c_custkey % {FX.NO_PHONE} = 0""",
     "geo_regions": "SELECT n_nationkey AS id, n_name AS name FROM nation",
     "orders_v": f"""
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, {PICKUP_TIME} AS pickup_time,
@@ -55,10 +60,13 @@ BINDINGS: dict[str, str] = {
                {pick(FX.PLACES, "(o_orderkey // 8) % 8")} AS to_address,
                {pick(FX.PLACES, "o_orderkey % 8")} AS from_address
         FROM orders WHERE o_orderstatus = 'F'""",
-    "demand_inventory_logging_v2": """
+    "demand_inventory_logging_v2": f"""
         SELECT event_id AS id, user_id AS customer_id, CAST(90 + event_id % 10 AS INTEGER) AS vehicle_id,
                event_type AS drop_location
-        FROM events""",
+        FROM events
+        UNION ALL
+        SELECT event_id, user_id + 1, CAST(90 + event_id % 10 AS INTEGER), 'repeated'
+        FROM events WHERE event_id % {FX.REPEATED_ID} = 0""",
     "sf_customer_signup_requests": f"""
         SELECT CAST({FX.KNOWN_PREFIX} + user_id AS VARCHAR) AS mobile,
                {pick(FX.SIGNUP_SOURCES, "event_id % 2")} AS source,
@@ -68,16 +76,26 @@ BINDINGS: dict[str, str] = {
         SELECT CAST(CASE WHEN c_custkey % 3 <> 0 THEN {FX.KNOWN_PREFIX} ELSE {FX.NO_SIGNUP_PREFIX} END
                     + c_custkey AS VARCHAR) AS number,
                c_custkey + 1000000 AS detail_id
-        FROM customer""",
-    "sf_lead_spot_details": """
+        FROM customer
+        UNION ALL
+        SELECT CAST(CASE WHEN c_custkey % 3 <> 0 THEN {FX.KNOWN_PREFIX} ELSE {FX.NO_SIGNUP_PREFIX} END
+                    + c_custkey AS VARCHAR), c_custkey + {1000000 + FX.SECOND_SHIFT}
+        FROM customer WHERE c_custkey % {FX.SECOND_SPOT} = 0""",
+    "sf_lead_spot_details": f"""
         SELECT c_custkey + 1000000 AS id, c_custkey + 2000000 AS lead_spot_id,
                c_mktsegment AS geo_region_curated
-        FROM customer""",
+        FROM customer
+        UNION ALL
+        SELECT c_custkey + {1000000 + FX.SECOND_SHIFT}, c_custkey + {2000000 + FX.SECOND_SHIFT}, 'SECOND'
+        FROM customer WHERE c_custkey % {FX.SECOND_SPOT} = 0""",
     "sf_lead_spot_registration_attributions": f"""
         SELECT c_custkey + 2000000 AS lead_id,
                CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN {sql_str(C.PAID_ATTRIBUTION)}
                     ELSE 'organic' END AS attribution
-        FROM customer""",
+        FROM customer
+        UNION ALL
+        SELECT c_custkey + {2000000 + FX.SECOND_SHIFT}, {sql_str(C.PAID_ATTRIBUTION)}
+        FROM customer WHERE c_custkey % {FX.SECOND_PAID} = 0""",
     "user_application_logs": f"""
         SELECT 'customer_' || CAST(user_id AS VARCHAR) AS user_type_id,
                {pick(_app_slots(), f"event_id % {FX.APP_SLOTS}")} AS application_name,
@@ -91,10 +109,12 @@ BINDINGS: dict[str, str] = {
 }
 
 LEAD_COMMON = f"""
-    CASE WHEN o_orderkey % 7 = 0 THEN {FX.UNKNOWN_PREFIX} ELSE {FX.KNOWN_PREFIX} END + o_custkey AS mobile,
+    CASE WHEN o_orderkey % {FX.LEAD_WITHOUT_PHONE} <> 0 THEN
+         CASE WHEN o_orderkey % 7 = 0 THEN {FX.UNKNOWN_PREFIX} ELSE {FX.KNOWN_PREFIX} END + o_custkey END AS mobile,
     {pick(FX.LEAD_SOURCES, "o_orderkey % 8")} AS source,
     {pick(FX.PLACES, "o_orderkey % 8")} AS pickup_address,
-    {pick(FX.PLACES, "(o_orderkey // 8) % 8")} AS drop_address"""
+    CASE WHEN o_orderkey % {FX.LEAD_WITH_TAB} = 0 THEN {sql_str(FX.TAB_ADDRESS)}
+         ELSE {pick(FX.PLACES, "(o_orderkey // 8) % 8")} END AS drop_address"""
 
 BINDINGS["open_leads"] = f"""
     SELECT {LEAD_COMMON},

@@ -1,25 +1,28 @@
 """The scoring run as a batch job: leads in, four tables out.
 
-One run computes the customer feature table once, cuts its lineage with a
-reliable ``checkpoint()`` (written under the cluster's ``spark.checkpoint.dir``,
-so a lost executor costs a re-read, not a re-run of the warehouse joins),
-then writes:
+One run computes the customer feature table once and writes it to the shared
+scratch folder, so a lost executor costs a re-read, not a re-run of the
+warehouse joins; the folder is removed when the run ends.  It then writes:
 
-* ``<out>/active``              current active-lead scores   (overwrite)
+* ``<out>/active``              current active-lead scores    (overwrite)
 * ``<out>/remaining``           current remaining-lead scores (overwrite)
-* ``<out>/active_history``      headerless CSV, appended, partitioned by run date
+* ``<out>/active_history``      headerless CSV, partitioned by run date and run id
 * ``<out>/remaining_history``   same for remaining leads
+
+A run that is repeated under the same ``run_id`` replaces its own history.  The
+open variant renders days as text in all four, as the original does.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from ..config import DEFAULT, ScoringConfig
-from ..session import checkpoint_dir
-from ..sources.sinks import append_history, write_snapshot
+from ..session import delete_path, scratch_path
+from ..sources.sinks import write_history, write_snapshot
 from ..sources.warehouse import Warehouse
 from .pipelines import LeadJob
 
@@ -32,23 +35,23 @@ class RunResult:
 
 def run_scoring_job(wh: Warehouse, raw_leads: DataFrame, variant: str, out_dir: str,
                     as_of: str | None = None, cfg: ScoringConfig = DEFAULT,
-                    history: bool = True) -> RunResult:
+                    history: bool = True, run_id: str | None = None) -> RunResult:
+    """``run_id`` names the run in the history; a new one is made if it is not given."""
     spark = raw_leads.sparkSession
-    checkpoint_dir(spark)          # the shared folder; set only when the session names none
-    job = LeadJob.build(wh, raw_leads, variant, as_of, cfg)
-    try:
-        features = job.customer_score().checkpoint(eager=True)
-        active = job.active(features).persist()
-        remaining = job.remaining().persist()
-        out = out_dir.rstrip("/")
-        write_snapshot(active, f"{out}/active")
-        write_snapshot(remaining, f"{out}/remaining")
-        if history:
-            append_history(active, f"{out}/active_history")
-            append_history(remaining, f"{out}/remaining_history")
-        result = RunResult(active.count(), remaining.count())
-        active.unpersist()
-        remaining.unpersist()
-        return result
-    finally:
-        job.release()
+    run_id = run_id or uuid.uuid4().hex
+    scratch = scratch_path(spark, "features")
+    out, text = out_dir.rstrip("/"), variant == "open"
+    with LeadJob.build(wh, raw_leads, variant, as_of, cfg) as job:
+        try:
+            job.customer_score().write.parquet(scratch)
+            tables = {"active": job.active(spark.read.parquet(scratch)).persist(), "remaining": job.remaining().persist()}
+            for name, table in tables.items():
+                write_snapshot(table, f"{out}/{name}", days_as_text=text)
+                if history:
+                    write_history(table, f"{out}/{name}_history", run_id, days_as_text=text)
+            result = RunResult(tables["active"].count(), tables["remaining"].count())
+            for table in tables.values():
+                table.unpersist()
+            return result
+        finally:
+            delete_path(spark, scratch)

@@ -19,10 +19,10 @@ from ..functions.keywords import lead_address_match
 from ..functions.weights import (frequency_weight, interest_weight, society_flag,
                                  source_weight, unscored_society_flag, urgency_weight)
 from ..operators.features import LeadScope, created_at, customer_score
+from ..operators.joins import proven_small
 from ..operators.leads import (lead_frequency, prepare_call_leads, prepare_open_leads,
                                scored_leads_join, unscored_leads)
 from ..operators.ranking import rank_by_score
-from ..session import lead_partitions
 from ..sources.warehouse import Warehouse
 
 ACTIVE_COLUMNS = [
@@ -110,7 +110,10 @@ def score_remaining(unscored: DataFrame, variant: str, as_of: str | None,
 
 @dataclass
 class LeadJob:
-    """One run: the prepared leads and the lead scope over the warehouse."""
+    """One run: the prepared leads and the lead scope over the warehouse.
+
+    Holds cached tables until ``release()``, or the end of a ``with`` block.
+    """
 
     leads: DataFrame
     scope: LeadScope
@@ -122,16 +125,16 @@ class LeadJob:
     def build(cls, wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
               cfg: ScoringConfig = DEFAULT, persist_leads: bool = True) -> "LeadJob":
         leads = prepare_leads(raw_leads, variant)
+        # The sheet's rows bound the number of lead phones; counting them moves nothing.
+        few = proven_small(leads, cfg.broadcast_key_limit)
         # Every use of the lead list below (scored join, unscored anti join,
         # lead phones) comes after a whole-row distinct, so deduplicate once.
-        # Hash partitioning on all columns spreads a hot phone's rows over
-        # the partitions, and the fixed count keeps the CPU-heavy lead-side
-        # steps on every core even when the sheet arrives as one file; later
-        # distincts on this table need no shuffle.
-        leads = leads.repartition(lead_partitions(raw_leads.sparkSession), *leads.columns).distinct()
+        # Hash partitioning on all columns spreads a hot phone's rows over the
+        # partitions; AQE sizes them, and later distincts need no shuffle.
+        leads = leads.repartition(*leads.columns).distinct()
         if persist_leads:
             leads = leads.persist()
-        scope = LeadScope.build(wh, leads, cfg)
+        scope = LeadScope.build(wh, leads, cfg, few)
         if persist_leads:
             scope._held.append(leads)
         return cls(leads=leads, scope=scope, variant=variant, as_of=as_of, cfg=cfg)
@@ -172,7 +175,7 @@ class LeadJob:
         and does not wait for the feature build.
         """
         found = self.scope.keys(self.scope.customers, F.col("mobile").try_cast("bigint"),
-                                bound_by=self.scope.phones)
+                                small=self.scope.phones.small)
         return unscored_leads(self.leads, found.frame, "key", broadcast_ok=found.small)
 
     def remaining(self, rank: bool = True) -> DataFrame:
@@ -188,12 +191,8 @@ class LeadJob:
     def release(self) -> None:
         self.scope.release()
 
+    def __enter__(self) -> "LeadJob":
+        return self
 
-def active_leads(wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
-                 cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    return LeadJob.build(wh, raw_leads, variant, as_of, cfg).active()
-
-
-def remaining_leads(wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
-                    cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    return LeadJob.build(wh, raw_leads, variant, as_of, cfg).remaining()
+    def __exit__(self, *exc) -> None:
+        self.release()

@@ -8,6 +8,7 @@ agree one to one.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,12 @@ from ..functions.weights import source_weight, urgency_weight, interest_weight
 from ..operators import features as FT
 from ..operators.leads import (days_remaining, lead_frequency, lead_keys, prepare_call_leads,
                                prepare_open_leads, uncalled)
+from ..operators.ranking import with_position
 from ..session import scratch_path
 from ..sources.fixtures import bind_call_leads, bind_open_leads, bind_warehouse
 from ..sources.leads import (OPEN_LEAD_HEADERS, normalize_columns,
                              read_call_leads, read_open_leads, sheet_frame)
-from ..sources.sinks import append_history, read_history, write_snapshot
+from ..sources.sinks import read_history, write_history, write_snapshot
 from .pipelines import LeadJob, lead_match, repeat_weight, score_active, score_remaining
 
 AS_OF = "2024-06-01 00:00:00"
@@ -70,8 +72,10 @@ def _p1(spark, sf, variant="open"):
 
 def q_read_open_leads(spark, sf):
     path = scratch_path(spark, "open-leads-sheet")
-    (sheet_frame(_raw(spark, sf, "open"), OPEN_LEAD_HEADERS).write
-     .option("header", True).option("nullValue", "NA").csv(path))
+    sheet = sheet_frame(_raw(spark, sf, "open"), OPEN_LEAD_HEADERS)
+    dotted = sheet.toDF(*[re.sub(r"[^0-9A-Za-z]", ".", c) for c in sheet.columns]).withColumn(
+        "Remarks", F.lit('said "yes",\nthen left'))
+    dotted.write.options(header=True, nullValue="NA", escape='"').csv(path)
     return read_open_leads(spark, path, null_value="NA")
 
 
@@ -79,31 +83,24 @@ def call_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """The call-sheet export: 16 text columns, phone numbers written as doubles."""
     from ..sources import fixtures as FX
 
-    k = F.col("o_orderkey")
     none = F.lit(None).cast("string")
-    return FX.read_table(spark, sf, "orders").select(
-        k.cast("string").alias("Lead Id"),
-        FX.pick(FX.LEAD_SOURCES, "o_orderkey % 8").alias("Source"),
-        F.col("o_orderdate").cast("string").alias("Timestamp"),
-        F.col("o_orderpriority").alias("Name"),
-        (F.when(k % 7 == 0, F.lit(FX.UNKNOWN_PREFIX)).otherwise(F.lit(FX.KNOWN_PREFIX))
-         + F.col("o_custkey")).cast("double").cast("string").alias("Mobile Number"),
-        FX.pick(FX.PLACES, "o_orderkey % 8").alias("Pickup address"),
-        FX.pick(FX.PLACES, "(o_orderkey div 8) % 8").alias("Drop_address"),
-        F.date_add(F.to_date(F.col("o_orderdate")), ((k % 11) % 5 - 1).cast("int"))
-        .cast("string").alias("Tentative Shifting Date"),
-        FX.pick(FX.CALL_STATUSES, "(o_orderkey div 35) % 4").alias("Calling Timestamp"),
-        FX.pick(FX.WA_ANSWERS, "((o_orderkey div 5) % 9) % 5").alias("WA_Tentative Shifting Date"),
-        F.col("o_orderstatus").alias("Owner"),
-        none.alias("City"), none.alias("Remarks"), none.alias("Follow up"), none.alias("Agent"),
-        k.cast("string").alias("Sheet Row"))
+    return FX.bind_call_leads(spark, sf).select(
+        none.alias("Lead Id"), F.col("source").alias("Source"), F.col("lead_ts").cast("string").alias("Timestamp"),
+        none.alias("Name"), F.col("mobile").cast("double").cast("string").alias("Mobile Number"),
+        F.col("pickup_address").alias("Pickup address"), F.col("drop_address").alias("Drop_address"),
+        F.col("shifting_date").cast("string").alias("Tentative Shifting Date"),
+        F.col("calling_status").alias("Calling Timestamp"),
+        F.col("wa_shifting_date").alias("WA_Tentative Shifting Date"),
+        # Cells that the readers must not trip over.
+        F.lit('said "yes", twice').alias("Owner"), F.lit("first line\nsecond line").alias("City"),
+        none.alias("Remarks"), none.alias("Follow up"), none.alias("Agent"), none.alias("Sheet Row"))
 
 
 def q_read_call_leads(spark, sf):
     path = scratch_path(spark, "call-leads-sheet")
     # Exported with an explicit NA marker, so empty statuses stay "" and
     # missing ones NULL (the uncalled filter tells them apart).
-    call_sheet(spark, sf).write.option("header", True).option("nullValue", "NA").csv(path)
+    call_sheet(spark, sf).write.options(header=True, nullValue="NA", escape='"').csv(path)
     return read_call_leads(spark, path, null_value="NA")
 
 
@@ -165,12 +162,12 @@ def q_install_attribution(spark, sf):
 
 
 def q_latest_install(spark, sf):
-    return FT.latest_install(FT.install_attribution(_job(spark, sf).scope))
+    return FT.latest_install(_job(spark, sf).scope)
 
 
 def q_customer_installs(spark, sf):
     s = _job(spark, sf).scope
-    return FT.customer_installs(s, FT.latest_install(FT.install_attribution(s)))
+    return FT.customer_installs(s, FT.latest_install(s))
 
 
 def q_customer_orders(spark, sf):
@@ -315,11 +312,11 @@ def q_remaining_score(spark, sf):
 
 
 def q_ranked_active(spark, sf):
-    return _job(spark, sf, "call").active()
+    return with_position(_job(spark, sf, "call").active(rank=False))
 
 
 def q_ranked_remaining(spark, sf):
-    return _job(spark, sf, "call").remaining()
+    return with_position(_job(spark, sf, "call").remaining(rank=False))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -333,8 +330,9 @@ def q_write_snapshot(spark, sf):
 def q_append_history(spark, sf):
     path = scratch_path(spark, "remaining-history")
     df = _job(spark, sf).remaining()
-    append_history(df, path)
-    append_history(df, path)
+    write_history(df, path, "first")
+    for _ in range(2):  # the same run again replaces itself
+        write_history(df, path, "second")
     return read_history(spark, path, df.schema).drop("run_date")
 
 

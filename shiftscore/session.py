@@ -30,11 +30,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         b = b.config("spark.driver.memory", os.environ.get("SHIFTSCORE_DRIVER_MEM", "8g"))
-        # Local runs hold little data per stage but spend CPU per row (keyword
-        # tests, wide distincts): let AQE keep partitions from 256 KiB up so
-        # such stages still use every core.  Cluster defaults (1 MiB minimum,
-        # 64 MiB advisory) are left alone.
-        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in REQUIRED_CONF.items():
@@ -75,12 +70,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def lead_partitions(spark: SparkSession) -> int:
-    """Partitions for lead-sized intermediate tables.
-
-    Fixed-count repartitions are not coalesced by AQE, so this is capped by
-    the cluster's parallelism: enough partitions to keep every core busy on
-    the CPU-heavy lead-side steps without thousands of near-empty tasks.
-    """
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, spark.sparkContext.defaultParallelism))
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path of this job, in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

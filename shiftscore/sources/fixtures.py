@@ -8,9 +8,13 @@ Every derived relation keeps all rows of its base table except where the
 relation is by meaning a subset (sign-ups are ``signup`` events, completed
 orders are status 4).
 
-``lead_stride`` (default 1: every order is a lead) exists only so a test can
-rebuild the smaller lead list documented in FIXTURES.md and compare with its
-golden counts.
+``edges`` (the default) adds rows of the kinds that the plain binding lacks:
+customers that share a phone or have none, phones with two spots, an inventory
+id logged for two customers, leads without a phone, an address with a TAB.
+
+``lead_stride`` (default 1: every order is a lead) and ``edges=False`` exist only
+so a test can rebuild the lead list documented in FIXTURES.md and compare with
+its golden counts.
 """
 
 from __future__ import annotations
@@ -34,24 +38,22 @@ APP_SLOTS = 30          # app name index = event_id % 30; indexes >= 21 have no
 KNOWN_PREFIX = 9000000000
 UNKNOWN_PREFIX = 8000000000
 NO_SIGNUP_PREFIX = 7000000000
+TAB_ADDRESS = "Sri\tAditya"
+# Edge rows: every n-th key, and the shift of the ids that they get.
+SHARED_PHONE, SHARED_SHIFT = 11, 10000000
+NO_PHONE, NO_PHONE_SHIFT = 97, 20000000
+SECOND_SPOT, SECOND_SHIFT = 5, 500000
+SECOND_PAID = 10
+REPEATED_ID = 50
+LEAD_WITHOUT_PHONE, LEAD_WITH_TAB = 61, 41
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
 
-_OPENED: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, opened once per session (the file listing and footer
-    read are not repeated for every query that uses it)."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    df = _OPENED.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _OPENED[key] = df
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _sql_value(v) -> str:
@@ -66,7 +68,7 @@ def pick(values: list, index_sql: str) -> Column:
     return F.expr(f"array({arr})[CAST(({index_sql}) AS INT)]")
 
 
-def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def bind_warehouse(spark: SparkSession, sf_dir: str, edges: bool = True) -> Warehouse:
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     orders = read_table(spark, sf_dir, "orders")
@@ -135,6 +137,21 @@ def bind_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         F.col("ts").alias("event_timestamp"),
         F.col("event_id"))
 
+    if edges:
+        k = F.col("c_custkey")
+        customers = customers.union(customer.where(k % SHARED_PHONE == 0).select(
+            k + SHARED_SHIFT, (F.lit(KNOWN_PREFIX) + k).cast("string"), "c_nationkey"))
+        customers = customers.union(customer.where(k % NO_PHONE == 0).select(
+            k + NO_PHONE_SHIFT, F.lit(None).cast("string"), "c_nationkey"))
+        second = customer.where(k % SECOND_SPOT == 0)
+        number = F.when(k % 3 != 0, F.lit(KNOWN_PREFIX)).otherwise(F.lit(NO_SIGNUP_PREFIX)) + k
+        phones = phones.union(second.select(number.cast("string"), k + 1000000 + SECOND_SHIFT))
+        details = details.union(second.select(k + 1000000 + SECOND_SHIFT, k + 2000000 + SECOND_SHIFT, F.lit("SECOND")))
+        attributions = attributions.union(customer.where(k % SECOND_PAID == 0).select(
+            k + 2000000 + SECOND_SHIFT, F.lit(C.PAID_ATTRIBUTION)))
+        inventory = inventory.union(events.where(F.col("event_id") % REPEATED_ID == 0).select(
+            "event_id", F.col("user_id") + 1, (F.lit(90) + F.col("event_id") % 10).cast("int"), F.lit("repeated")))
+
     return Warehouse(
         customers=customers, orders=oms_orders, completed_spot_orders_mv=completed,
         demand_inventory_logging_v2=inventory, geo_regions=geo_regions,
@@ -150,33 +167,37 @@ def _lead_base(spark: SparkSession, sf_dir: str, lead_stride: int) -> DataFrame:
     return orders
 
 
-def _lead_common(k: Column) -> list[Column]:
+def _lead_common(k: Column, edges: bool) -> list[Column]:
+    mobile = F.when(k % 7 == 0, F.lit(UNKNOWN_PREFIX)).otherwise(F.lit(KNOWN_PREFIX)) + F.col("o_custkey")
+    drop = pick(PLACES, "(o_orderkey div 8) % 8")
+    if edges:
+        mobile = F.when(k % LEAD_WITHOUT_PHONE != 0, mobile)
+        drop = F.when(k % LEAD_WITH_TAB == 0, F.lit(TAB_ADDRESS)).otherwise(drop)
     return [
-        (F.when(k % 7 == 0, F.lit(UNKNOWN_PREFIX)).otherwise(F.lit(KNOWN_PREFIX))
-         + F.col("o_custkey")).alias("mobile"),
+        mobile.alias("mobile"),
         pick(LEAD_SOURCES, "o_orderkey % 8").alias("source"),
         pick(PLACES, "o_orderkey % 8").alias("pickup_address"),
-        pick(PLACES, "(o_orderkey div 8) % 8").alias("drop_address"),
+        drop.alias("drop_address"),
     ]
 
 
-def bind_open_leads(spark: SparkSession, sf_dir: str, lead_stride: int = 1) -> DataFrame:
+def bind_open_leads(spark: SparkSession, sf_dir: str, lead_stride: int = 1, edges: bool = True) -> DataFrame:
     """Open-opportunity lead sheet, normalised names (see sources.leads)."""
     k = F.col("o_orderkey")
     created = F.to_date(F.col("o_orderdate"))
     return _lead_base(spark, sf_dir, lead_stride).select(
-        *_lead_common(k),
+        *_lead_common(k, edges),
         F.date_add(created, ((k % 11) % 5 - 1).cast("int")).alias("shifting_date"),
         created.alias("created_date"),
         F.when(k % 13 == 12, F.lit(None)).otherwise(k % 13).cast("int").alias("order_interests"))
 
 
-def bind_call_leads(spark: SparkSession, sf_dir: str, lead_stride: int = 1) -> DataFrame:
+def bind_call_leads(spark: SparkSession, sf_dir: str, lead_stride: int = 1, edges: bool = True) -> DataFrame:
     """Call-sheet lead list, normalised names (see sources.leads)."""
     k = F.col("o_orderkey")
     created = F.to_date(F.col("o_orderdate"))
     return _lead_base(spark, sf_dir, lead_stride).select(
-        *_lead_common(k),
+        *_lead_common(k, edges),
         F.col("o_orderdate").alias("lead_ts"),
         F.date_add(created, ((k % 11) % 5 - 1).cast("int")).alias("shifting_date"),
         pick(CALL_STATUSES, "(o_orderkey div 35) % 4").alias("calling_status"),

@@ -1,9 +1,14 @@
 """Lead-sheet readers.
 
-Sheets arrive as CSV exports (or Parquet).  Nothing is inferred: CSV is read
-with every column as a string, the header names are normalised, and the
-columns the job uses are converted with ``try_cast`` so a bad cell becomes
-NULL instead of failing the job (ANSI mode is on).
+Sheets arrive as CSV exports (or Parquet).  CSV is read by RFC 4180: quoted
+cells may hold commas, doubled quotes and line breaks, so a file is one task; a
+sheet too large for that belongs into Parquet.  Every column is a string by an
+explicit schema, nothing is inferred; headers are matched by their letters and
+digits, so ``House Shifting Date``, ``House.Shifting.Date`` and
+``house_shifting_date`` are one; a column that the job needs and the sheet
+lacks is an error.  Cells are converted with ``try_cast``, so a bad cell becomes
+NULL (ANSI mode is on); rows with too many or too few cells are counted by
+``malformed_rows``.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Sheet header -> column name used here (open-opportunity sheet).
 OPEN_LEAD_HEADERS = {
@@ -65,13 +71,19 @@ def snake_case(name: str) -> str:
     return s or "col"
 
 
+def header_key(name: str) -> str:
+    """What two forms of one header have in common: letters and digits."""
+    return re.sub(r"[^0-9a-z]+", "", name.lower())
+
+
 def normalize_columns(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Rename sheet headers (O03): mapped names first, the rest to snake_case."""
-    mapping = mapping or {}
+    """Rename sheet headers (O03): mapped names by their letters and digits, the rest to snake_case."""
+    known = {header_key(k): v for k, v in (mapping or {}).items()}
+    known |= {header_key(v): v for v in (mapping or {}).values() if header_key(v) not in known}
     names, seen = [], set()
     for c in df.columns:
-        n = mapping.get(c) or mapping.get(c.strip()) or snake_case(c)
-        base, i = n, 1
+        base = n = known.get(header_key(c)) or snake_case(c)
+        i = 1
         while n in seen:
             i += 1
             n = f"{base}_{i}"
@@ -88,11 +100,11 @@ def _phone(col) -> F.Column:
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Keep the typed columns of a normalised sheet, converting text with try_cast."""
+    missing = [name for name in types if name not in df.columns]
+    if missing:
+        raise ValueError(f"the sheet has no column for {', '.join(missing)}; it has {', '.join(df.columns)}")
     out = []
     for name, t in types.items():
-        if name not in df.columns:
-            out.append(F.lit(None).cast("bigint" if t == "phone" else t).alias(name))
-            continue
         c = F.col(name)
         if t == "phone":
             c = _phone(c)
@@ -104,11 +116,29 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*out)
 
 
-def _read_csv(spark: SparkSession, path: str, null_value: str) -> DataFrame:
-    # Every column as text; a field equal to ``null_value`` (blank by default,
-    # as a sheet's empty cell) is NULL, a quoted empty field is "".
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .option("nullValue", null_value).csv(path))
+CSV_OPTIONS = {"header": True, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": True}
+MALFORMED = "_malformed"
+
+
+def _read_csv(spark: SparkSession, path: str, null_value: str, malformed: bool = False) -> DataFrame:
+    # A field equal to ``null_value`` (blank by default, as a sheet's empty
+    # cell) is NULL, a quoted empty field is "".
+    reader = spark.read.options(**CSV_OPTIONS).option("nullValue", null_value)
+    names = reader.csv(path).columns  # reads the header alone
+    schema = StructType([StructField(n, StringType()) for n in names])
+    if malformed:
+        schema = schema.add(MALFORMED, StringType())
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return reader.schema(schema).csv(path)
+
+
+def malformed_rows(spark: SparkSession, path: str, null_value: str = "") -> int:
+    """Rows of a CSV sheet whose number of cells isn't that of the header."""
+    rows = _read_csv(spark, path, null_value, malformed=True)
+    cells = [F.col(f"`{c}`") for c in rows.columns if c != MALFORMED]
+    # Spark wants the parsed cells looked at too.
+    seen = F.when(F.col(MALFORMED).isNotNull() | F.coalesce(*cells).isNull(), F.col(MALFORMED).isNotNull().cast("int"))
+    return rows.agg(F.coalesce(F.sum(seen), F.lit(0))).first()[0]
 
 
 def read_open_leads(spark: SparkSession, path: str, fmt: str = "csv",

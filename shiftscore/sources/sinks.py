@@ -1,40 +1,44 @@
-"""Sinks (O60, O61): current snapshot and append-only history.
-
-The snapshot is overwritten each run (Parquet).  The history is an append-only
-headerless CSV log, partitioned by run date so a run's rows can be found or
-re-written without scanning the whole log; NULLs are written as ``NA``.
-Unlike the original, Spark quotes every field (numbers and ``NA`` included).
-Both writes go through Spark's commit protocol, so a failed or retried task
-leaves no partial files behind.
+"""Sinks (O60, O61): current snapshot and history log.
+
+The snapshot is overwritten each run (Parquet).  The history is a headerless
+CSV log that grows by one partition per run date and run id, so a run that is
+repeated replaces its own rows and adds none.  NULLs are written as ``NA``, as
+the original does, so a text that is really ``NA`` reads back as NULL.  Unlike
+the original, Spark quotes every field (numbers and ``NA`` included).  Both
+writes go through Spark's commit protocol, so a failed or retried task leaves
+no partial files behind.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 HISTORY_OPTIONS = {"header": "false", "quoteAll": "true", "nullValue": "NA", "sep": ","}
+RUN_COLUMNS = ["run_date", "run_id"]
 
 
-def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet",
-                   days_as_text: bool = False) -> None:
-    """Overwrite the current table.  ``days_as_text`` renders days as strings first."""
+def _rendered(df: DataFrame, days_as_text: bool) -> DataFrame:
     if days_as_text and "days_remaining" in df.columns:
         df = df.withColumn("days_remaining", F.col("days_remaining").cast("string"))
-    df.write.mode("overwrite").format(fmt).save(path)
+    return df
 
 
-def append_history(df: DataFrame, path: str, run_date_col: str = "run_date",
-                   stamp_col: str = "created_at") -> None:
-    """Append one run to the CSV history, partitioned by the run's date."""
-    out = df.withColumn(run_date_col, F.to_date(F.col(stamp_col)))
-    (out.write.mode("append").partitionBy(run_date_col)
-     .options(**HISTORY_OPTIONS).csv(path))
+def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet", days_as_text: bool = False) -> None:
+    """Overwrite the current table.  ``days_as_text`` renders days as strings first."""
+    _rendered(df, days_as_text).write.mode("overwrite").format(fmt).save(path)
 
 
-def read_history(spark, path: str, schema, run_date_col: str = "run_date") -> DataFrame:
-    """Read the history back with the table's schema (no inference)."""
-    from pyspark.sql.types import DateType, StructField, StructType
+def write_history(df: DataFrame, path: str, run_id: str, days_as_text: bool = False,
+                  stamp_col: str = "created_at") -> None:
+    """Put one run into the CSV history, in place of what the same run wrote before."""
+    out = _rendered(df, days_as_text).withColumn("run_date", F.to_date(F.col(stamp_col))).withColumn("run_id", F.lit(run_id))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN_COLUMNS)
+     .options(**HISTORY_OPTIONS).csv(path))
+
 
-    full = StructType(list(schema.fields) + [StructField(run_date_col, DateType(), True)])
-    return (spark.read.schema(full).options(**HISTORY_OPTIONS).csv(path))
+def read_history(spark, path: str, schema: StructType) -> DataFrame:
+    """Read the history back with the table's schema (no inference) and the run columns."""
+    full = StructType([*schema.fields, StructField("run_date", DateType()), StructField("run_id", StringType())])
+    return spark.read.schema(full).options(**HISTORY_OPTIONS).csv(path)

@@ -27,7 +27,7 @@ def summary(df):
 @pytest.mark.parametrize("variant", ["open", "call"])
 def test_golden_scores(spark, variant):
     bind = bind_open_leads if variant == "open" else bind_call_leads
-    job = LeadJob.build(bind_warehouse(spark, SF01), bind(spark, SF01, lead_stride=5), variant,
+    job = LeadJob.build(bind_warehouse(spark, SF01, edges=False), bind(spark, SF01, lead_stride=5, edges=False), variant,
                         "2024-06-01 00:00:00")
     try:
         assert summary(job.active()) == GOLDEN[variant]["active"]

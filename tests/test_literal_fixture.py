@@ -136,7 +136,7 @@ def test_shared_phone_counts_without_pairing_rows(spark):
     rel = {k: v for k, v in frames.items() if k != "open_leads"}
     rel["orders"] = rel.pop("orders_v")
     job = LeadJob.build(Warehouse(**rel), leads, "open", AS_OF)
-    cod = FT.customer_orders(job.scope, FT.latest_install(FT.install_attribution(job.scope)))
+    cod = FT.customer_orders(job.scope, FT.latest_install(job.scope))
     got = {(r.customer_id, r.source): r.total_orders for r in cod.collect()}
     assert len(got) == n_cust * 2
     for i in range(n_cust):

@@ -52,8 +52,24 @@ def test_status_filter_pushed_on_a_real_orders_table(spark, tmp_path):
     wh.orders.write.parquet(path)
     wh.orders = spark.read.parquet(path)
     job = LeadJob.build(wh, bind_open_leads(spark, SF001), "open", "2024-06-01 00:00:00")
-    cod = FT.customer_orders(job.scope, FT.latest_install(FT.install_attribution(job.scope)))
+    cod = FT.customer_orders(job.scope, FT.latest_install(job.scope))
     plan = executed_plan(cod)
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,4)" in plan
     assert "ReadSchema: struct<order_id:bigint,customer_id:bigint,pickup_time:bigint,status:int>" in plan
     job.release()
+
+
+def test_p1_scans_the_inventory_log_once(spark, tmp_path):
+    from shiftscore.plans.pipelines import LeadJob
+    from shiftscore.sources.fixtures import bind_open_leads, bind_warehouse
+
+    wh = bind_warehouse(spark, SF001)
+    path = str(tmp_path / "inventory-log")
+    wh.demand_inventory_logging_v2.write.parquet(path)
+    wh.demand_inventory_logging_v2 = spark.read.parquet(path)
+    with LeadJob.build(wh, bind_open_leads(spark, SF001), "open", "2024-06-01 00:00:00") as job:
+        p1 = job.customer_score()
+        cached = str(p1._jdf.queryExecution().optimizedPlan())
+        full = str(p1._jdf.queryExecution().withCachedData())
+        assert "inventory-log" not in cached and cached.count("InMemoryRelation") >= 2
+        assert "drop_location" in full

@@ -1,7 +1,9 @@
 """Sheet readers: header normalisation, positional typing, blank cells."""
 
+import pytest
+
 from shiftscore.operators.leads import uncalled
-from shiftscore.sources.leads import normalize_columns, read_call_leads, read_open_leads, snake_case
+from shiftscore.sources.leads import malformed_rows, normalize_columns, read_call_leads, read_open_leads, snake_case
 
 HEADER = ("Lead Id,Source,Timestamp,Name,Mobile Number,Pickup address,Drop_address,"
           "Tentative Shifting Date,Calling Timestamp,WA_Tentative Shifting Date,A,B,C,D,E,F")
@@ -51,3 +53,41 @@ def test_open_sheet(spark, tmp_path):
                           "created_date", "order_interests"]
     rows = df.collect()
     assert rows[0].order_interests == 3 and rows[1].mobile is None
+
+
+OPEN_DOTTED = ("Mobile,Source,Pickup.Address,Drop.Address,House.Shifting.Date,"
+               "House.Shifting.Opportunity..Created.Date,Count.of.order.interests")
+
+
+def test_quotes_commas_and_line_breaks_in_cells(spark, tmp_path):
+    path = write(tmp_path, "open.csv", [
+        OPEN_DOTTED,
+        '9000000001,app,"He said ""A"", block","Line one',
+        'line two",2024-01-07,2024-01-05,3',
+        '9000000002,app,x,"y, z",2024-01-08,2024-01-05,2',
+    ])
+    rows = {r.mobile: r for r in read_open_leads(spark, path).collect()}
+    assert set(rows) == {9000000001, 9000000002}
+    r = rows[9000000001]
+    assert r.pickup_address == 'He said "A", block' and r.drop_address == "Line one\nline two"
+    assert str(r.shifting_date) == "2024-01-07" and r.order_interests == 3
+    assert malformed_rows(spark, path) == 0
+
+
+def test_dotted_call_headers(spark, tmp_path):
+    head = HEADER.replace("Mobile Number", "Mobile.Number").replace("Calling Timestamp", "Calling.Timestamp")
+    path = write(tmp_path, "call.csv", [head, "1,app,2024-01-05 10:00:00,x,9000000001,T,L,2024-01-07,Call not done,NOW,,,,,,"])
+    row = read_call_leads(spark, path).collect()[0]
+    assert (row.mobile, row.calling_status) == (9000000001, "Call not done")
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    path = write(tmp_path, "open.csv", ["phone,Source", "9000000001,app"])
+    with pytest.raises(ValueError, match="mobile"):
+        read_open_leads(spark, path)
+
+
+def test_malformed_rows_are_counted(spark, tmp_path):
+    path = write(tmp_path, "open.csv", [OPEN_DOTTED, "9000000001,app,a,b,2024-01-07,2024-01-05,3", "9000000002,app", "9,a,b,c,d,e,f,g,h"])
+    assert malformed_rows(spark, path) == 2
+    assert read_open_leads(spark, path).count() == 3
