@@ -21,6 +21,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def set_apart(docs: DataFrame, needed: tuple[str, ...]) -> DataFrame:
+    """``docs`` with all columns but the needed ones renamed, so that no name of an operator's own can clash.
+
+    ``df.select(*set_apart(docs, ...).columns).toDF(*docs.columns)`` undoes it.
+    """
+    return docs.toDF(*[c if c in needed else f"_x{k}" for k, c in enumerate(docs.columns)])
+
+
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in batches of at most ``rows``, so that long ones don't pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import documents, remainder, text_batches
+from shiftscore.llm.common import documents, remainder, set_apart, text_batches
 
 FEATURES = 1 << 15
 ORDERS = (1, 2, 3)
@@ -89,7 +89,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     sums = texts.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     rows = sums.toPandas()  # one row for each feature
     seen = np.zeros(FEATURES + 1, dtype=np.int64)
-    seen[rows["feature"].to_numpy()] = rows["n"].to_numpy()  # -1 is the last one
+    seen[rows["feature"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)  # -1 is the last one
     return seen[:-1], int(seen[-1])
 
 
@@ -203,19 +203,19 @@ def predict(docs: DataFrame, model: Broadcast) -> DataFrame:
 
 
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
-    """``docs`` with ``held_out, lang_pred, score``; learns from the documents outside fold 0 that have a lang."""
+    """``docs`` with ``held_out, lang_pred, score`` (in place of columns of these names); learns from the documents outside fold 0 that have a lang."""
     spark = docs.sparkSession
     text_batches(spark)
     held = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(False))
     model = spark.sparkContext.broadcast(train(docs.filter(~held)))
-    return predict(docs.withColumn("held_out", held), model)
+    return predict(docs.drop("lang_pred", "score").withColumn("held_out", held), model)
 
 
 def identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """``docs`` without the documents that are in no known language or whose language is unsure."""
-    columns = docs.columns
-    found = identify(docs.select(*columns))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*columns)
+    named = set_apart(docs, ("doc_id", "text", "lang"))
+    found = identify(named).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return found.select(*named.columns).toDF(*docs.columns)
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

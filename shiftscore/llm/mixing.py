@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import WORD, documents, keep, n_words, running_sum, slots_for
+from shiftscore.llm.common import WORD, documents, keep, n_words, running_sum, set_apart, slots_for
 
 MAX_REPEATS = 3
 
@@ -55,8 +55,9 @@ def with_targets(sources: DataFrame, budget: int, max_repeats: int = MAX_REPEATS
     level = 0.0
     while True:
         over = F.lit(level) * F.col("weight") > cap
-        taken, weight = sources.agg(F.sum(F.when(over, cap).otherwise(0)), F.sum(F.when(over, 0).otherwise(F.col("weight")))).first()
-        new = (budget - taken) / weight if weight else level
+        taken, weight = (x or 0 for x in sources.agg(
+            F.sum(F.when(over, cap).otherwise(0)), F.sum(F.when(over, 0).otherwise(F.col("weight")))).first())
+        new = (budget - taken) / weight if weight else level  # no weight is left, or there is no source
         if new <= level:
             break
         level = new
@@ -124,11 +125,13 @@ def mixed_documents(docs: DataFrame, seed: int = 42) -> DataFrame:
     """The mix itself: every document as many times as it is taken, with the columns of ``docs``."""
     times = (mix(docs, seed=seed).groupBy("doc_id", "ident").agg(F.sum("times").alias("_times"))
              .filter("_times > 0").withColumnsRenamed({"doc_id": "_doc_id", "ident": "_ident"}))
-    once = (docs.withColumn("_key", F.xxhash64("text", "source"))
+    named = set_apart(docs, ("doc_id", "text", "source"))
+    once = (named.withColumn("_key", F.xxhash64("text", "source"))
             .withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "_key").orderBy(F.lit(1))))
             .filter("_copy = 1"))
     joined = once.join(times, once["doc_id"].eqNullSafe(times["_doc_id"]) & (once["_key"] == times["_ident"]))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
+    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(
+        *named.columns).toDF(*docs.columns)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import documents
+from shiftscore.llm.common import documents, set_apart
 
 MARK, GROUP, FOREIGN = "\x01", "\x02", "\x03"
 
@@ -118,12 +118,13 @@ def is_secret(holds: tuple[str, ...], bits: float) -> Callable[[Column], Column]
 
 
 def add_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """Add ``spans``: array of (start, ord, end, kind), by start, then kind as listed; code points, end exclusive.
+    """Add ``spans`` (in place of a column of that name): array of (start, ord, end, kind), by start, then kind as listed; code points, end exclusive.
 
     ``ord`` is the place of ``kind`` in ``KINDS``; the first three are the fixed patterns.
     """
+    named = set_apart(docs, (text,))
     raw = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn("_text", F.replace(F.replace(raw, F.lit(MARK), F.lit(FOREIGN)), F.lit(GROUP), F.lit(FOREIGN)))
+    df = named.withColumn("_text", F.replace(F.replace(raw, F.lit(MARK), F.lit(FOREIGN)), F.lit(GROUP), F.lit(FOREIGN)))
     low = F.lower(F.col("_text"))
     has_word = F.lit(False)
     for w in ASSIGN_WORDS:
@@ -146,7 +147,9 @@ def add_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Data
         df = df.withColumn(f"_{kind}", as_spans(F.filter(f"_{kind}", is_secret(holds, bits)), kind).cast(SPAN))
     found = F.concat("_base", *[F.col(f"_{k}") for k in CLASSES])
     df = df.withColumn(spans, F.when(F.size(found) > 0, F.array_sort(found)).otherwise(F.array().cast(SPAN)))
-    return df.drop("_text", "_assign", "_access", "_hex", "_base", *[f"_{k}" for k in CLASSES])
+    kept = [c for c in docs.columns if c != spans]
+    place = dict(zip(docs.columns, named.columns))
+    return df.select(*[F.col(place[c]).alias(c) for c in kept], spans)
 
 
 def span_text(spans: Column) -> Column:
@@ -156,8 +159,9 @@ def span_text(spans: Column) -> Column:
 
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mask``, spans that overlap as one; ``n_chars`` follows the text."""
-    columns = docs.columns
-    df = add_spans(docs, spans="_spans")
+    named = set_apart(docs, ("text", "n_chars"))
+    columns = named.columns
+    df = add_spans(named, spans="_spans")
     # Left to right; `at` is the first code point not yet passed on.
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -171,7 +175,7 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     df = df.withColumn("text", F.when(F.size("_spans") > 0, clean).otherwise(F.col("text")))
     if "n_chars" in columns:
         df = df.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return df.select(*columns)
+    return df.select(*columns).toDF(*docs.columns)
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import documents, keep, text_batches
+from shiftscore.llm.common import documents, keep, set_apart, text_batches
 from shiftscore.llm.components import components
 
 SHINGLE_WORDS, RADIUS, SEED = 3, 2, 42
@@ -100,9 +100,10 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     member = near_duplicates(docs, shingle_words, radius)
     kept = member.filter("doc_id = component_id OR component_id IS NULL").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    named = set_apart(docs, ("doc_id", "text"))
+    keyed = named.withColumn("_text", F.xxhash64("text"))
     left = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text"] == kept["_key"]), "left_semi")
-    return left.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    return left.dropDuplicates(["doc_id", "_text"]).select(*named.columns).toDF(*docs.columns)
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import Remembered, documents, remainder, store, text_batches
+from shiftscore.llm.common import Remembered, documents, remainder, set_apart, store, text_batches
 
 WORD_SHARE, ENTRY_SHARE = 5e-7, 1e-6
 LEAST_COUNT, DISCOUNT = 2, 0.75
@@ -255,11 +255,13 @@ def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
 
 
 def score(docs: DataFrame, tree: Broadcast, counts: DataFrame) -> DataFrame:
-    """``docs`` without ``text``, with ``n_tokens, n_known, train_tokens, base_score, score``."""
+    """``docs`` without ``text``, with ``n_tokens, n_known, train_tokens, base_score, score`` (in place of columns of these names)."""
     text_batches(docs.sparkSession)
     total = tree.value.total
     train_tokens = tree.value.n
-    others = [c for c in docs.columns if c != "text"]
+    added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    named = set_apart(docs.drop(*added), ("text",))
+    others = [c for c in named.columns if c != "text"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +279,7 @@ def score(docs: DataFrame, tree: Broadcast, counts: DataFrame) -> DataFrame:
                  pa.array(np.add.reduceat(log, starts)), words],
                 [*others, "_row", "n_tokens", "_known", "_root", "_log", "_rare"])
 
-    rows = docs.select(*others, F.monotonically_increasing_id().alias("_row"), "text")
+    rows = named.select(*others, F.monotonically_increasing_id().alias("_row"), "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
     read = store(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _root double, _log double, _rare array<long>"), "scored")
 
@@ -290,7 +292,8 @@ def score(docs: DataFrame, tree: Broadcast, counts: DataFrame) -> DataFrame:
     return read.join(rest, "_row", "left").select(
         *others, "n_tokens", (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("_root") + F.coalesce("_rest", none)).alias("base_score"), (F.col("_log") + F.coalesce("_rest", none)).alias("score"))
+        (F.col("_root") + F.coalesce("_rest", none)).alias("base_score"), (F.col("_log") + F.coalesce("_rest", none)).alias("score")).toDF(
+        *[c for c in docs.columns if c not in ("text", *added)], *added)
 
 
 def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,12 +211,13 @@ def counted(docs: DataFrame, vocabulary: str | None = None, with_text: bool = Fa
     """``docs`` (with ``text`` and ``edits``) less these two columns, with the counts before and after the edits.
 
     Adds ``n_tokens, n_pretokens, n_edited_tokens, n_edited_chars, n_reencoded``
-    (pre-tokens encoded for the edits), and ``edited_text`` if asked for.
+    (pre-tokens encoded for the edits), and ``edited_text`` if asked for, in place of
+    columns of these names.
     """
     text_batches(docs.sparkSession)
     path = vocabulary or default_vocabulary()
-    others = [c for c in docs.columns if c not in ("text", "edits")]
     numbers = ["n_tokens", "n_pretokens", "n_edited_tokens", "n_edited_chars", "n_reencoded"]
+    others = [c for c in docs.columns if c not in ("text", "edits", "edited_text", *numbers)]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path)
