@@ -51,8 +51,17 @@ KINDS = ("assign", "access", "hex", *CLASSES)
 SPAN = "array<struct<start:bigint,ord:int,end:bigint,kind:string>>"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, not at each place and step where ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def part_starts(lengths: Column) -> Column:
     """Running sums of an array, each without its own element; chunked, so a long array isn't copied per element."""
+    return bound(lengths, _part_starts)
+
+
+def _part_starts(lengths: Column) -> Column:
     size = 256
     chunks = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(lengths) / size).cast("int") - 1, F.lit(0)))
 
@@ -73,24 +82,27 @@ def add_matches(df: DataFrame, text: str, when: Column, pattern: str, group: int
     mark = f"{MARK}$0{GROUP}${group or 0}{MARK}"
     df = df.withColumn("_parts", F.when(when, F.split(F.regexp_replace(F.col(text), pattern, mark), MARK)))
     df = df.withColumn("_values", F.transform("_parts", lambda p: F.substring_index(p, GROUP, 1)))
-    df = df.withColumn("_starts", part_starts(F.transform("_values", lambda p: F.length(p).cast("bigint"))))
-    found = F.transform(F.sequence(F.lit(2), F.size("_parts") - 1, F.lit(2)), lambda i: F.struct(
-        F.element_at("_starts", i).alias("start"), F.element_at("_values", i).alias("value"),
-        F.substring_index(F.element_at("_parts", i), GROUP, -1).alias("own")))
+    starts = part_starts(F.transform("_values", lambda p: F.length(p).cast("bigint")))
+
+    def matches(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(2), F.size(all_["parts"]) - 1, F.lit(2)), lambda i: F.struct(
+            F.element_at(all_["starts"], i).alias("start"), F.element_at(all_["values"], i).alias("value"),
+            F.substring_index(F.element_at(all_["parts"], i), GROUP, -1).alias("own")))
+
+    found = bound(F.struct(starts.alias("starts"), F.col("_values").alias("values"), F.col("_parts").alias("parts")), matches)
     none = F.array().cast("array<struct<start:bigint,value:string,own:string>>")
-    return df.withColumn(name, F.when(F.size("_parts") > 1, found).otherwise(none)).drop("_parts", "_values", "_starts")
+    return df.withColumn(name, F.when(F.size("_parts") > 1, found).otherwise(none)).drop("_parts", "_values")
 
 
 def entropy_at_least(value: Column, bits: float, window: int = WINDOW) -> Column:
     """True if some window of ``value`` has a Shannon entropy of ``bits`` or more a character."""
     table = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
-    chars = F.split(value, "")
     most = window * (math.log2(window) - bits) + 1e-9  # H >= bits just if the sum is no more than this
 
     def weight(c: Column) -> Column:
         return F.element_at(table, c + 1)
 
-    def step(s: Column, j: Column) -> Column:
+    def step(chars: Column, s: Column, j: Column) -> Column:
         # The window before this step ends at j - 1 and has at most `window` characters.
         full = j > window
         before = F.slice(chars, F.greatest(j - window, F.lit(1)), F.least(j - 1, F.lit(window)))
@@ -102,7 +114,8 @@ def entropy_at_least(value: Column, bits: float, window: int = WINDOW) -> Column
         return F.struct(total.alias("total"), F.when(j >= window, F.least(s["least"], total)).otherwise(s["least"]).alias("least"))
 
     zero = F.struct(F.lit(0.0).alias("total"), F.lit(float("inf")).alias("least"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, step, lambda s: s["least"]) <= most
+    return bound(F.split(value, ""), lambda chars: F.aggregate(
+        F.sequence(F.lit(1), F.size(chars)), zero, lambda s, j: step(chars, s, j), lambda s: s["least"])) <= most
 
 
 def is_secret(holds: tuple[str, ...], bits: float) -> Callable[[Column], Column]:

@@ -204,13 +204,17 @@ def retained(context: np.ndarray, n: np.ndarray, parent: np.ndarray, total: np.n
     which contexts diverge, log10 of the mass that each leaves to its parent, and log10 of each listed word."""
     size = len(total)
     share = n / total[context]
-    rest = np.maximum(1 - np.bincount(context, share, size), 0.0)
-    rest_parent = np.maximum(1 - np.bincount(context, parent, size), 1e-12)
-    divergence = np.bincount(context, share * np.log(share / parent), size)
+
+    def summed(x: np.ndarray) -> np.ndarray:
+        return np.bincount(context, x, size).astype(np.float64)
+
+    rest = np.maximum(1 - summed(share), 0.0)
+    rest_parent = np.maximum(1 - summed(parent), 1e-12)
+    divergence = summed(share * np.log(share / parent))
     divergence += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_parent), 0.0)
     words = np.bincount(context, minlength=size)
     keep = (words > 0) & (total * divergence > 0.5 * np.log(np.maximum(total, 1)) * words)
-    left = 1 - np.bincount(context, (n - DISCOUNT) / total[context], size)
+    left = 1 - summed((n - DISCOUNT) / total[context])
     log = np.log10((n - DISCOUNT) / total[context] + left[context] * parent)
     return keep, np.log10(np.maximum(left, 1e-300)), log
 
