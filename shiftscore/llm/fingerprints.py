@@ -67,7 +67,7 @@ def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     exploded = df.select(*keys, F.explode_outer(terms(F.col(text))).alias("_term"))
     weighted = exploded.select(
         *keys, F.xxhash64("_term").alias("_hash"),
-        F.coalesce(F.least(F.length("_term"), F.lit(MAX_WEIGHT)), F.lit(0)).cast("long").alias("_weight"))
+        F.when(F.col("_term").isNull(), 0).otherwise(F.least(F.length("_term"), F.lit(MAX_WEIGHT))).cast("long").alias("_weight"))
     return weighted.groupBy(*keys).agg(*vote_sums()).select(*keys, majority().alias("fingerprint"))
 
 

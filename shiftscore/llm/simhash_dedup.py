@@ -81,7 +81,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, text_key, fingerprint, component_id`` of every document."""
+    """``doc_id, text_key, fingerprint, group_key, component_id`` of every document; group_key is a group's least fingerprint."""
     found = keep(fingerprints(docs, shingle_words))
     distinct = keep(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     groups = components(links(distinct, radius))
@@ -90,19 +90,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     # Fingerprints without a link are alone; the others take the least doc_id of their component.
     linked = keep(member.filter("component IS NOT NULL"))
     least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = member.filter("component IS NULL").select("fingerprint", F.col("first_id").alias("component_id")).union(
-        linked.join(least, "component").select("fingerprint", "component_id"))
-    return found.join(classes, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")
+    alone = member.filter("component IS NULL").select("fingerprint", F.col("fingerprint").alias("group_key"), F.col("first_id").alias("component_id"))
+    classes = alone.union(linked.join(least, "component").select("fingerprint", F.col("component").alias("group_key"), "component_id"))
+    return found.join(classes, "fingerprint").select("doc_id", "text_key", "fingerprint", "group_key", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component left: the one with the least doc_id (rows without any id stay)."""
-    member = near_duplicates(docs, shingle_words, radius)
-    kept = member.filter("doc_id = component_id OR component_id IS NULL").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    """``docs`` with one document of each group left: the one with the least doc_id (then text hash), one without an id only if all are."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    kept = near_duplicates(docs, shingle_words, radius).groupBy("group_key").agg(least).select(
+        F.col("first.doc_id").alias("_id"), F.col("first.text_key").alias("_key"))
     named = set_apart(docs, ("doc_id", "text"))
     keyed = named.withColumn("_text", F.xxhash64("text"))
     left = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text"] == kept["_key"]), "left_semi")
+    # Rows that repeat both the id and the text are one.
     return left.dropDuplicates(["doc_id", "_text"]).select(*named.columns).toDF(*docs.columns)
 
 
