@@ -163,9 +163,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The windows that two doc_ids hold, with the least of these."""
-    return rows.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last")).filter(
-        "first_doc < _last").drop("_last")
+    """The windows that two doc_ids hold, with the least of these.
+
+    Written out, so that a join with ``rows`` deals both sides anew and Spark
+    can split the rows of a window that many documents hold.
+    """
+    return store(rows.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("_last")).filter(
+        "first_doc < _last").drop("_last"), "repeated")
 
 
 def candidates(texts: DataFrame, digests: DataFrame, window: int) -> DataFrame:
