@@ -146,3 +146,26 @@ def suffix_tree(train, least=2, discount=0.75):
         return p1(b, w)
 
     return counts, n, v, root, p, one, two
+
+
+def mix_times(rows):
+    """How often rows (doc_id, source, size) are taken: cyclic weights, all words as budget, finish times in order."""
+    sizes = Counter()
+    for _, s, n in rows:
+        sizes[s] += n
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
+    target = targets(sizes, {s: k % 3 + 1 for k, s in enumerate(order)})
+    copies = []
+    for s in order:
+        through = 0
+        for key, doc_id, n in sorted((hashlib.md5(f"42:{d}".encode()).hexdigest(), d, n) for d, x, n in rows if x == s):
+            through += n
+            for epoch in range(1, int(np.ceil(target[s] / sizes[s])) + 1 if target[s] else 1):
+                copies.append((((epoch - 1) * sizes[s] + through) / target[s], order.index(s), epoch, key, doc_id, n))
+    taken, total = Counter(), 0
+    for *_, doc_id, n in sorted(copies):
+        total += n
+        if total > sum(sizes.values()):
+            break
+        taken[doc_id] += 1
+    return taken
