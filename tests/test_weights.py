@@ -84,3 +84,22 @@ def test_base_score_range(spark):
     ones = spark.createDataFrame([tuple([1] * len(names)), tuple([None] * len(names))],
                                  ", ".join(f"{n} int" for n in names))
     assert [r[0] for r in ones.select(base_score()).collect()] == [27, 0]
+
+
+def test_keyword_lists_and_app_categories_as_stated():
+    """Written out once more, apart from the configuration that both engines read."""
+    from shiftscore import config as C
+
+    names = ("Prestige|Brigade|Sobha|Godrej|Mahindra|Birla|Ark|Countryside|Lodha|Runwal|Kalpataru|Dosti|Wadhwa|Piramal|Jain|Marg|"
+             "Unitech|DLF|Raheja|DGR|Adarsh|Ashiana|Parsvnath|Nagpal|Fortune|Ramky|Salapuria|{}|Jayabheri|Manbhum|Rustomjee")
+    spaced, tabbed = names.format("Sri Aditya").split("|"), names.format("Sri\tAditya").split("|")
+    assert list(C.ORDER_ADDRESS_KEYWORDS) == ["Apartment", "Housing", "Sociecty", "Tower", "Block", *spaced]
+    assert list(C.LEAD_PICKUP_KEYWORDS) == ["Housing", "Apartment", "Sociecty", "Tower", "Block", *spaced]
+    assert list(C.LEAD_DROP_KEYWORDS) == ["Housing", "Apartment", "Sociecty", "Tower", "Block", *tabbed]
+    assert {cat: set(apps) for cat, apps in C.APP_CATEGORIES} == {
+        "competitor": {"LYNK", "Packers & Movers by NoBroker"},
+        "luxury": {"CRED", "LinkedIn", "Netflix", "Quora", "Spotify"},
+        "daily convenience": {"Ola", "Swiggy", "Uber", "Zomato"},
+        "E-Commerce": {"Amazon", "Curefit", "Flipkart", "Jiomart", "Myntra", "Snapdeal"},
+        "house_shifting": {"ADDA - The Apartment Super App", "JioGate", "MyGate", "NoBrokerHOOD"},
+    }
