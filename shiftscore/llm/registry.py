@@ -34,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
+    "op7_secrets": secrets.ORACLE,
     "op8_embedding_dedup": embedding_dedup.ORACLE,
     "op9_substrings": substrings.ORACLE,
 }

@@ -202,3 +202,59 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def oracle() -> str:
+    """DuckDB SQL: places as lengths of what stands before, entropy of every window from its own counts."""
+    def matches(name: str, pattern: str, group: int) -> str:
+        return f"""
+{name} AS (
+  SELECT rid, start, start + length(value) AS stop, value, own FROM (
+    SELECT rid, i, split_part(part, chr(2), 1) AS value, split_part(part, chr(2), 2) AS own,
+           coalesce(sum(length(split_part(part, chr(2), 1))) OVER (
+             PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM (SELECT rid, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM (
+      SELECT rid, string_split(regexp_replace(text, {_sql_text(pattern)}, chr(1) || '\\0' || chr(2) || '\\{group}' || chr(1), 'g'), chr(1)) AS parts
+      FROM docs))) WHERE i % 2 = 0)"""
+
+    found = [matches("assigns", ASSIGN, 2), matches("accesses", ACCESS, 0), matches("hexes", HEX, 0)]
+    base = """
+base AS (
+  SELECT rid, start, 0 AS ord, stop, 'assign' AS kind FROM assigns WHERE length(own) >= 8
+  UNION ALL SELECT rid, start, 1, stop, 'access' FROM accesses WHERE length(value) >= 16
+  UNION ALL SELECT rid, start, 2, stop, 'hex' FROM hexes)"""
+    more, unions = [], []
+    for k, (kind, (pattern, holds, bits)) in enumerate(CLASSES.items()):
+        tests = " AND ".join(f"regexp_matches(value, {_sql_text(h)})" for h in holds)
+        more.append(matches(f"runs_{k}", pattern, 0))
+        more.append(f"""
+windows_{k} AS (
+  SELECT rid, start, stop, string_split(value[w:w + {WINDOW - 1}], '') AS chars FROM (
+    SELECT rid, start, stop, value, unnest(generate_series(1, length(value) - {WINDOW - 1})) AS w FROM runs_{k} r
+    WHERE {tests} AND NOT regexp_matches(value, {_sql_text(ALLOW)})
+      AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = r.rid AND b.start <= r.start AND r.stop <= b.stop)))""")
+        unions.append(f"""
+  UNION ALL SELECT DISTINCT rid, start, {3 + k}, stop, '{kind}' FROM windows_{k}
+  WHERE list_sum(list_transform(chars, lambda c: -log2(len(list_filter(chars, lambda x: x = c)) / {WINDOW}.0) / {WINDOW})) >= {bits} - 1e-9""")
+    steps = ",".join([*found, base, *more])
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, replace(replace(coalesce(text, ''), chr(1), chr(3)), chr(2), chr(3)) AS text FROM documents),{steps},
+spans AS (
+  SELECT * FROM base{''.join(unions)}),
+listed AS (
+  SELECT rid, countif(kind = 'assign')::BIGINT AS n_assign, countif(kind = 'access')::BIGINT AS n_access, countif(kind = 'hex')::BIGINT AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (WHERE ord < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)
+"""
+
+
+ORACLE = oracle()

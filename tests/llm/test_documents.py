@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -416,6 +417,9 @@ def test_secrets(spark, edge, tmp_path):
         want.append([doc_id, n["assign"], n["access"], n["hex"], R.sha(spell(base)), spell(every)])
     assert got == sorted(want, key=repr)
     assert any("entropy_base64" in w[5] for w in want)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(([*r] for r in con.execute(secrets.ORACLE).fetchall()), key=repr) == got
 
 
 def test_redaction(spark):
