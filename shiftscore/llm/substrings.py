@@ -172,6 +172,12 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
         "first_doc < _last").drop("_last"), "repeated")
 
 
+def _with_first(digests: DataFrame) -> DataFrame:
+    """Add ``is_first``: whether the row has the least doc_id of its text; the ids are written out for the same reason."""
+    first = store(digests.groupBy("text_key").agg(F.min("doc_id").alias("first_id")), "first")
+    return digests.join(first, "text_key").withColumn("is_first", F.col("doc_id") == F.col("first_id")).drop("first_id")
+
+
 def candidates(texts: DataFrame, digests: DataFrame, window: int) -> DataFrame:
     """Windows whose half repeats, of one document for each text."""
     halves = digests.filter("is_first").select("doc_id", "text_key", F.explode("halves").alias("half"))
@@ -188,8 +194,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFram
     text_batches(docs.sparkSession)
     texts = _keyed(docs)
     digests = store(_digests(texts, window), "digests")
-    first = digests.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
-    digests = digests.join(first, "text_key").withColumn("is_first", F.col("doc_id") == F.col("first_id")).drop("first_id")
+    digests = _with_first(digests)
     found = candidates(texts, digests, window)
     least = _repeated(found, ["h0", "h1"])
     removed = found.join(least, ["h0", "h1"]).filter("doc_id > first_doc").groupBy("doc_id", "text_key").agg(
@@ -207,8 +212,7 @@ def longest_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     text_batches(docs.sparkSession)
     texts = _keyed(docs)
     digests = store(_digests(texts, window), "digests")
-    first = digests.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
-    digests = digests.join(first, "text_key").withColumn("is_first", F.col("doc_id") == F.col("first_id"))
+    digests = _with_first(digests)
     found, length, levels = candidates(texts, digests, window), window, None
     while True:
         alive = store(found.join(_repeated(found, ["h0", "h1"]).drop("first_doc"), ["h0", "h1"]), "alive")
