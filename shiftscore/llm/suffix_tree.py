@@ -1,23 +1,25 @@
 """Scoring texts with a probabilistic suffix tree over words.
 
 States are contexts of no word (the root), one word and two words.  A context
-is a candidate if it is at least as frequent as a share of all training tokens,
-and is retained if its next words diverge from those of its parent (the context
-without its first word): its count times the divergence must exceed half the
-logarithm of the count for each next word that it lists.  A token is scored in
-the longest retained state, by absolute discounting: listed words have their
-discounted share plus the parent's probability of the mass that is left, all
-others that mass times the parent's probability.  The root is add-one over all
-training words and one unknown word, so every state's probabilities sum to one.
-
-Word counts cover the whole vocabulary, which stays a distributed table.  What
-is broadcast is bounded by shares of the training tokens: at most
-``1 / WORD_SHARE`` frequent words and ``1 / ENTRY_SHARE`` listed pairs and
-triples.  Tokens that are frequent words are scored where they are read; the
-others meet the word counts in a join and are all below that share, so no key of
-the join is hot in training.  Counts of pairs and triples cover all documents.
-
-Words are known by a 63-bit hash.
+is a candidate if it lists a next word, which is one that follows it
+``LEAST_COUNT`` times or more, at every size of the corpus.  It is retained if
+its next words diverge from those of its parent (the context without its first
+word): its count times the divergence must exceed half the logarithm of the
+count for each next word that it lists.  A token is scored in the longest
+retained state, by absolute discounting: listed words have their discounted
+share plus the parent's probability of the mass that is left, all others that
+mass times the parent's probability.  The root is add-one over all training
+words and one unknown word, so every state's probabilities sum to one.
+
+The counts, the retained states and the listed words are tables and grow with
+the corpus.  The logarithm of a token's probability is a sum of what its word,
+its pair and its triple add (``train``), so texts are scored by a join of their
+n-grams to one table of such sums.  Only two things are broadcast, and neither
+changes a result: the sums of the n-grams above a share of the training tokens
+(so no key of the join is hot in training), and a filter that knows most of the
+pairs and triples that add nothing.
+
+Words are known by a 63-bit hash, pairs and triples in the join by a 64-bit one.
 
 Edge cases: a NULL or empty text is the end token alone; a NULL doc_id is never
 held out; repeated rows are scored one by one; without training documents all
@@ -33,16 +35,24 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftscore.llm.common import Remembered, documents, remainder, set_apart, store, text_batches
+from shiftscore.session import delete_path
 
+#: Shares of the training tokens from which words, and pairs and triples, are also broadcast.
 WORD_SHARE, ENTRY_SHARE = 5e-7, 1e-6
 LEAST_COUNT, DISCOUNT = 2, 0.75
 CACHE_WORDS = 400_000
+#: Spark's setting that removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tokens that a task counts before it hands on what it has.
 FLUSH_TOKENS = 2_000_000
+#: Bits of a filter for each key, and the most bits, as a power of two.
+KEY_BITS, FILTER_BITS = 12, 28
+#: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
+ROUNDS = 4
 
 
 def word_hash(word: bytes) -> int:
@@ -50,219 +60,248 @@ def word_hash(word: bytes) -> int:
 
 
 #: No word holds a line break.
-END = word_hash(b"\n")
+END, START = word_hash(b"\n"), word_hash(b"\n\n")
+#: Stands for the word before, where a word is counted by itself.
+ALONE = -1
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``store``, without leaving the shuffle files of the way there."""
+    conf = df.sparkSession.conf
+    before_ = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return store(df, name)
+    finally:
+        conf.set(CLEANUP, before_)
+
+
+def drop(stored: DataFrame) -> None:
+    """Remove a stored table that nothing reads any more."""
+    delete_path(stored.sparkSession, stored.inputFiles()[0].rsplit("/", 1)[0])
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()  # of bytes: A-Z, and ASCII white space
 
 
-def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``keys`` in a sorted table, and whether they are there."""
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return at, table[at] == keys if len(table) else np.zeros(len(keys), dtype=bool)
+def joined(a: np.ndarray, b: np.ndarray, by: int) -> np.ndarray:
+    """``a`` rotated left, xor ``b``."""
+    u = a.view(np.uint64)
+    return ((u << np.uint64(by)) | (u >> np.uint64(64 - by))).view(np.int64) ^ b
 
 
-def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a << np.int64(32)) | b
+def joined_column(a: str, b: str, by: int) -> Column:
+    return F.shiftleft(a, by).bitwiseOR(F.shiftrightunsigned(a, 64 - by)).bitwiseXOR(F.col(b))
 
 
-class Tree:
-    """Frequent words, and the retained contexts with the words that they list; arrays in order of their keys.
+#: How far the first part is rotated in the key of a pair (of two words) and of a triple (of two pairs).
+PAIR, TRIPLE = 21, 13
 
-    A frequent word's code is its place in ``words``; ``start`` stands before
-    the first word of a text, ``end`` after the last one.  Any other word's code
-    is negative: -1 less its hash.
-    """
+_known = Remembered(word_hash)
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, n: int, v: int):
-        self.words, self.counts, self.n, self.v = words, counts, n, v
-        self.total = n + v + 1
-        self.root = np.log10((counts + 1) / self.total)
-        self.start = len(words)
-        self.end = int(np.searchsorted(words, END)) if END in words else -1 - END
-        none = np.zeros(0, dtype=np.int64)
-        self.one, self.one_rest = np.zeros(len(words) + 1, dtype=bool), np.zeros(len(words) + 1)
-        self.listed1, self.listed1_log = none, np.zeros(0)
-        self.two, self.two_rest = none, np.zeros(0)
-        self.listed2, self.listed2_log = none, np.zeros(0)
-        self.known: Remembered | None = None
-
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": None}
-
-    def _code(self, word: bytes) -> int:
-        h = word_hash(word)
-        at = int(np.searchsorted(self.words, h))
-        return at if at < len(self.words) and self.words[at] == h else -1 - h
-
-    def codes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all texts one after the other, each with its end, and where each text starts."""
-        if self.known is None:
-            self.known = Remembered(self._code)
-        out, lengths = [], []
-        for text in texts:
-            words = words_of(text)
-            out += [np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)), np.array([self.end], dtype=np.int64)]
-            lengths.append(len(words) + 1)
-            self.known.rotate(CACHE_WORDS)
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-        return np.concatenate(out), starts
-
-    def before(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the code before it, and the one before that (-1 if there is none)."""
-        one = np.concatenate(([self.start], codes[:-1]))
-        one[starts] = self.start
-        two = np.concatenate(([-1], one[:-1]))
-        two[starts] = -1
-        return one, two
-
-    def listed_pairs(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(context, word) of frequent words."""
-        one, _ = self.before(codes, starts)
-        ok = (one >= 0) & (codes >= 0)
-        return pair(one[ok], codes[ok])
-
-    def listed_triples(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(place of the two-word context, word), where the last word of the context lists the word."""
-        one, two = self.before(codes, starts)
-        ok = (two >= 0) & (one >= 0) & (codes >= 0)
-        one, two, own = one[ok], two[ok], codes[ok]
-        at, there = find(self.two, pair(two, one))
-        at, one, own = at[there], one[there], own[there]
-        _, listed = find(self.listed1, pair(one, own))
-        return pair(at[listed], own[listed])
-
-    def log_probabilities(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 in the root and in the longest state; of a word that isn't frequent without the root's part."""
-        one, two = self.before(codes, starts)
-        frequent = codes >= 0
-        root = np.zeros(len(codes))
-        root[frequent] = self.root[codes[frequent]]
-        log = root.copy()
-        at = np.flatnonzero((one >= 0) & self.one[np.maximum(one, 0)])
-        place, there = find(self.listed1, pair(one[at], np.maximum(codes[at], 0)))
-        there &= frequent[at]
-        log[at] += self.one_rest[one[at]]
-        log[at[there]] = self.listed1_log[place[there]]
-        at = np.flatnonzero((two >= 0) & (one >= 0))
-        context, there = find(self.two, pair(two[at], one[at]))
-        at, context = at[there], context[there]
-        place, there = find(self.listed2, pair(context, np.maximum(codes[at], 0)))
-        there &= frequent[at]
-        log[at] += self.two_rest[context]
-        log[at[there]] = self.listed2_log[place[there]]
-        return root, log
-
-
-def counted(docs: DataFrame, keys_of: Callable[[list], np.ndarray]) -> DataFrame:
-    """``key, n``: how often each key of ``keys_of(texts)`` is in all texts."""
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held) if held else np.zeros(0, dtype=np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+def hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' words one after the other, each text with its end, and where each text starts."""
+    out, lengths, end = [], [], np.array([END], dtype=np.int64)
+    for text in texts:
+        words = words_of(text)
+        out += [np.fromiter(map(_known.__getitem__, words), np.int64, len(words)), end]
+        lengths.append(len(words) + 1)
+        _known.rotate(CACHE_WORDS)
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
+    return np.concatenate(out), starts
 
-        for batch in batches:
-            held.append(keys_of(batch.column(0).to_pylist()))
-            size += len(held[-1])
-            if size >= FLUSH_TOKENS:
-                yield flush()
-                held, size = [], 0
-        yield flush()
 
-    return docs.select("text").mapInArrow(of, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def before(own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The word before each word, or the start."""
+    out = np.concatenate(([START], own[:-1]))
+    out[starts] = START
+    return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``key, n`` of all words' hashes and the end token."""
-    known = Remembered(word_hash)
+def pairs_before(pairs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The key of the pair before each pair, and whether there is one in the text."""
+    there = np.ones(len(pairs), dtype=bool)
+    there[starts] = False
+    return np.concatenate(([0], pairs[:-1])), there
 
-    def keys(texts: list) -> np.ndarray:
-        out = [np.full(len(texts), END, dtype=np.int64)]
-        for text in texts:
-            words = words_of(text)
-            out.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            known.rotate(CACHE_WORDS)
-        return np.concatenate(out)
 
-    return counted(docs, keys)
+def distinct(key: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    _, at, n = np.unique(key, return_index=True, return_counts=True)
+    return first[at], second[at], n
 
 
-def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in order, and their counts.  The caller bounds the rows."""
-    table = rows.select("key", "n").toArrow()
-    keys, n = (np.concatenate([c.to_numpy(zero_copy_only=False) for c in table.column(k).chunks] or [np.zeros(0)]).astype(np.int64) for k in (0, 1))
-    order = np.argsort(keys)
-    return keys[order], n[order]
+def words_and_pairs(own: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    b = before(own, starts)
+    return [distinct(own, np.full(len(own), ALONE), own), distinct(joined(b, own, PAIR), b, own)]
 
 
-def retained(context: np.ndarray, n: np.ndarray, parent: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of listed words (their context's place, count, probability in the parent) and the contexts' counts:
-    which contexts diverge, log10 of the mass that each leaves to its parent, and log10 of each listed word."""
-    size = len(total)
-    share = n / total[context]
+class Filter:
+    """Bits of keys: a key without its bit isn't in the table, one with it may be."""
 
-    def summed(x: np.ndarray) -> np.ndarray:
-        return np.bincount(context, x, size).astype(np.float64)
+    def __init__(self, keys: DataFrame):
+        self.log = min(FILTER_BITS, max(6, (KEY_BITS * keys.count()).bit_length()))
+        at = F.shiftrightunsigned("key", 64 - self.log)
+        slots = keys.select(F.shiftrightunsigned(at, 6).alias("slot"), F.call_function(
+            "shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+        table = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^FILTER_BITS / 64
+        self.bits = np.zeros(1 << (self.log - 6), dtype=np.int64)
+        self.bits[table.column(0).to_numpy()] = table.column(1).to_numpy()
 
-    rest = np.maximum(1 - summed(share), 0.0)
-    rest_parent = np.maximum(1 - summed(parent), 1e-12)
-    divergence = summed(share * np.log(share / parent))
-    divergence += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_parent), 0.0)
-    words = np.bincount(context, minlength=size)
-    keep = (words > 0) & (total * divergence > 0.5 * np.log(np.maximum(total, 1)) * words)
-    left = 1 - summed((n - DISCOUNT) / total[context])
-    log = np.log10((n - DISCOUNT) / total[context] + left[context] * parent)
-    return keep, np.log10(np.maximum(left, 1e-300)), log
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.view(np.uint64) >> np.uint64(64 - self.log)
+        return (self.bits.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def counted(docs: DataFrame, grams_of: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
+    """``a, b, n``: how often each (a, b) of ``grams_of(hashes, starts)`` is in all texts."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            lengths = np.cumsum([0, *(len(own) for own, _ in held)])
+            own = np.concatenate([own for own, _ in held])
+            for a, b, n in grams_of(own, np.concatenate([s + at for (_, s), at in zip(held, lengths)])):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(hashes(batch.column(0).to_pylist()))
+            size += len(held[-1][0])
+            if size >= FLUSH_TOKENS:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
+
+    return docs.select("text").mapInArrow(of, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def states(listed: DataFrame, totals: DataFrame) -> DataFrame:
+    """``context, total, left``: the contexts of ``listed`` (context, n, parent) that diverge, and the mass that each leaves to its parent.
+
+    ``totals`` has the ``total`` of each ``context``.
+    """
+    sums = listed.groupBy("context").agg(
+        F.sum("n").alias("s"), F.count("*").alias("k"), F.sum("parent").alias("p"),
+        F.sum(F.col("n") * (F.log(F.col("n").cast("double")) - F.log("parent"))).alias("d"))
+    total = F.col("total").cast("double")
+    rest = F.greatest(1 - F.col("s") / total, F.lit(0.0))
+    rest_parent = F.greatest(1 - F.col("p"), F.lit(1e-12))
+    divergence = (F.col("d") - F.col("s") * F.log(total)) / total + F.when(rest > 0, rest * F.log(rest / rest_parent)).otherwise(0.0)
+    left = F.greatest(1 - (F.col("s") - DISCOUNT * F.col("k")) / total, F.lit(1e-300))
+    return sums.join(totals, "context").filter(total * divergence > 0.5 * F.log(F.greatest(total, F.lit(1.0))) * F.col("k")).select(
+        "context", "total", left.alias("left"))
+
+
+def within(listed: DataFrame, kept: DataFrame, how: str = "inner") -> DataFrame:
+    """The words that retained contexts list, with their probability ``own`` and ``delta``, what it adds to the logarithm."""
+    own = (F.col("n") - DISCOUNT) / F.col("total") + F.col("left") * F.col("parent")
+    return listed.join(kept, "context", how).withColumn("own", own).withColumn(
+        "delta", F.log10("own") - F.log10("parent") - F.log10("left"))
+
+
+class Model:
+    """The sums of the frequent n-grams, in order of their keys, and the filter of all pairs and triples."""
+
+    def __init__(self, frequent: DataFrame, filter_: Filter, n: int, v: int):
+        self.n, self.total, self.filter = n, n + v + 1, filter_
+        table = frequent.select("key", "base", "delta", "known").toArrow()  # the caller bounds the rows
+        key = table.column("key").to_numpy()
+        self.keys, at = np.unique(key, return_inverse=True)
+        self.base, self.delta, self.known = (
+            np.bincount(at, table.column(c).to_numpy(), len(self.keys)).astype(np.float64) for c in ("base", "delta", "known"))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``keys``, and whether they are there."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return at, self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
+
+    def sums(self, own: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each token what the frequent n-grams add: base, delta, known; and places and keys of the n-grams to be joined."""
+        pairs = joined(before(own, starts), own, PAIR)
+        last, there = pairs_before(pairs, starts)
+        triples = joined(last, pairs, TRIPLE)
+        base, delta, known = np.zeros(len(own)), np.zeros(len(own)), np.zeros(len(own))
+        places, keys = [], []
+        second, third = np.flatnonzero(self.filter.may_hold(pairs)), np.flatnonzero(there & self.filter.may_hold(triples))
+        for at, key in ((np.arange(len(own)), own), (starts, np.full(len(starts), START)), (second, pairs[second]), (third, triples[third])):
+            place, found = self.find(key)
+            hit, place = at[found], place[found]
+            base[hit] += self.base[place]
+            delta[hit] += self.delta[place]
+            known[hit] += self.known[place]
+            places.append(at[~found])
+            keys.append(key[~found])
+        return base, delta, known, np.concatenate(places), np.concatenate(keys)
 
 
 def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
-    """The tree of all ``docs`` (broadcast), and the table of all word counts."""
+    """The model of all ``docs`` (broadcast), and the table ``key, base, delta, known`` of the n-grams that aren't in it.
+
+    A token's probability has the logarithm log10(1 / total), plus ``base`` of
+    its word, plus ``delta`` of its word as a context (for the next token), of
+    its pair as listed and as a context, and of its triple as listed.
+    """
     spark = docs.sparkSession
     text_batches(spark)
-    counts = store(word_counts(docs), "words")
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = Tree(*_collected(counts.filter(F.col("n") >= WORD_SHARE * n)), n, v)  # at most 1 / WORD_SHARE
-    least = max(LEAST_COUNT, ENTRY_SHARE * n)
-
-    def counts_of(method: str) -> tuple[np.ndarray, np.ndarray]:
-        shared = spark.sparkContext.broadcast(tree)
-        rows = counted(docs, lambda texts: getattr(shared.value, method)(*shared.value.codes(texts)))
-        return _collected(rows.filter(F.col("n") >= least))  # at most 1 / ENTRY_SHARE
-
-    # One word: every frequent word and the start of a text.
-    keys, listed = counts_of("listed_pairs")
-    context, word = keys >> 32, keys & 0xFFFFFFFF
-    n_docs = tree.counts[tree.end] if tree.end >= 0 else 0
-    total = np.append(tree.counts, max(int(n_docs), 1))
-    parent = 10 ** tree.root[word]
-    tree.one, tree.one_rest, log = retained(context, listed, parent, total)
-    kept = tree.one[context]
-    tree.listed1, tree.listed1_log = keys[kept], log[kept]
-
-    # Two words: listed pairs whose last word is retained, and isn't the end.
-    ok = (word != tree.end) & tree.one[word]
-    candidates, total = keys[ok], listed[ok]
-    tree.two = candidates
-    triples, listed = counts_of("listed_triples")
-    context, word = triples >> 32, triples & 0xFFFFFFFF
-    place, _ = find(tree.listed1, pair(candidates[context] & 0xFFFFFFFF, word))
-    keep, rest, log = retained(context, listed, 10 ** tree.listed1_log[place], total)
-    place = np.cumsum(keep) - 1
-    tree.two, tree.two_rest = candidates[keep], rest[keep]
-    kept = keep[context]
-    tree.listed2, tree.listed2_log = pair(place[context[kept]], word[kept]), log[kept]
-    return spark.sparkContext.broadcast(tree), counts
-
-
-def score(docs: DataFrame, tree: Broadcast, counts: DataFrame) -> DataFrame:
+    grams = written(counted(docs, words_and_pairs).filter((F.col("a") == ALONE) | (F.col("n") >= LEAST_COUNT)), "grams")
+    words = written(grams.filter(F.col("a") == ALONE).select(F.col("b").alias("word"), "n"), "words")
+    n, v, n_docs = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
+                             F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0))).first()
+    total = float(n + v + 1)
+
+    # One word: every word and the start of a text.
+    root = words.select(F.col("word").alias("b"), ((F.col("n") + 1) / F.lit(total)).alias("parent"))
+    pairs = written(grams.filter(F.col("a") != ALONE).join(root, "b").select(
+        F.col("a").alias("context"), joined_column("a", "b", PAIR).alias("key"), "n", "parent"), "pairs")
+    drop(grams)
+    start = spark.range(1).select(F.lit(START).alias("context"), F.lit(n_docs).alias("total"))
+    one = written(states(pairs, words.select(F.col("word").alias("context"), F.col("n").alias("total")).union(start)), "one")
+    every_pair = written(within(pairs, one, "left").select("key", "n", "own", "delta"), "every-pair")  # no own: the context isn't retained
+    drop(pairs)
+    listed1 = every_pair.filter("own IS NOT NULL")
+
+    # Two words: pairs whose last word is retained; next words are those that the last word lists.
+    firsts, seconds = spark.sparkContext.broadcast(Filter(every_pair)), spark.sparkContext.broadcast(Filter(listed1))
+
+    def triples_of(own: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        own = joined(before(own, starts), own, PAIR)
+        last, there = pairs_before(own, starts)
+        at = np.flatnonzero(there & seconds.value.may_hold(own) & firsts.value.may_hold(last))
+        return [distinct(joined(last[at], own[at], TRIPLE), last[at], own[at])]
+
+    parents = listed1.select(F.col("key").alias("b"), F.col("own").alias("parent"))
+    grams = written(counted(docs, triples_of).filter(F.col("n") >= LEAST_COUNT), "grams")
+    triples = written(grams.join(parents, "b").select(
+        F.col("a").alias("context"), joined_column("a", "b", TRIPLE).alias("key"), "n", "parent"), "triples")
+    drop(grams)
+    two = written(states(triples, every_pair.select(F.col("key").alias("context"), F.col("n").alias("total"))), "two")
+    listed2 = written(within(triples, two).select("key", "n", "delta"), "listed2")
+    drop(triples)
+    firsts.destroy()
+    seconds.destroy()
+
+    def added(df: DataFrame, share: float, key: str, n_: str, delta: Column, base: Column = F.lit(0.0), known: int = 0) -> DataFrame:
+        return df.select(F.col(key).alias("key"), base.alias("base"), delta.alias("delta"), F.lit(known).alias("known"),
+                         (F.col(n_) >= share * n).alias("frequent"))
+
+    left = F.log10("left")
+    more = added(listed1, ENTRY_SHARE, "key", "n", F.col("delta")).union(added(two, ENTRY_SHARE, "context", "total", left)).union(
+        added(listed2, ENTRY_SHARE, "key", "n", F.col("delta")))
+    every = added(words, WORD_SHARE, "word", "n", F.lit(0.0), F.log10(F.col("n") + 1), 1).union(
+        added(one, WORD_SHARE, "context", "total", left)).union(more)
+    model = Model(every.filter("frequent"), Filter(more), n, v)  # at most two for each share of a word, pair or triple
+    return spark.sparkContext.broadcast(model), every.filter("NOT frequent").drop("frequent")
+
+
+def score(docs: DataFrame, model: Broadcast, table: DataFrame) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens, n_known, train_tokens, base_score, score`` (in place of columns of these names)."""
     text_batches(docs.sparkSession)
-    total = tree.value.total
-    train_tokens = tree.value.n
+    train_tokens, unknown = model.value.n, -np.log10(float(model.value.total))
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     named = set_apart(docs.drop(*added), ("text",))
     others = [c for c in named.columns if c != "text"]
@@ -271,32 +310,35 @@ def score(docs: DataFrame, tree: Broadcast, counts: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            codes, starts = tree.value.codes(batch.column(batch.num_columns - 1).to_pylist())
-            root, log = tree.value.log_probabilities(codes, starts)
-            rare = codes < 0
-            ends = np.cumsum(np.add.reduceat(rare, starts, dtype=np.int64))
-            n = np.diff(np.append(starts, len(codes)))
-            known = n - np.add.reduceat(rare, starts, dtype=np.int64)
-            words = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(-1 - codes[rare]))
+            own, starts = hashes(batch.column(batch.num_columns - 1).to_pylist())
+            base, delta, known, places, keys = model.value.sums(own, starts)
+            order = np.argsort(places, kind="stable")
+            ends = np.searchsorted(places[order], np.append(starts, len(own)))
+            n = np.diff(np.append(starts, len(own)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n), pa.array(known), pa.array(np.add.reduceat(root, starts)),
-                 pa.array(np.add.reduceat(log, starts)), words],
-                [*others, "_row", "n_tokens", "_known", "_root", "_log", "_rare"])
+                [*batch.columns[:-1], pa.array(n), pa.array(np.add.reduceat(known, starts).astype(np.int64)),
+                 pa.array(np.add.reduceat(base, starts) + n * unknown), pa.array(np.add.reduceat(delta, starts)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order]))],
+                [*others, "_row", "n_tokens", "_known", "_base", "_delta", "_keys"])
 
     rows = named.select(*others, F.monotonically_increasing_id().alias("_row"), "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    read = store(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _root double, _log double, _rare array<long>"), "scored")
-
-    # The words that aren't frequent: their root probability comes from the table of all words.
-    met = read.select("_row", F.explode("_rare").alias("key")).join(counts, "key", "left")
-    c = F.coalesce("n", F.lit(0))
-    rest = met.groupBy("_row").agg(F.sum(F.log10((c + 1) / F.lit(float(total)))).alias("_rest"),
-                                   F.sum((c > 0).cast("long")).alias("_found"))
+    read = written(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _base double, _delta double, _keys array<long>"), "scored")
+
+    # The n-grams that aren't frequent.
+    keys, found = read.select("_row", F.explode("_keys").alias("key")), None
+    for k in range(ROUNDS):
+        part = F.pmod("key", F.lit(ROUNDS)) == k
+        met = written(keys.filter(part).join(table.filter(part), "key").groupBy("_row").agg(
+            F.sum("base").alias("base"), F.sum("delta").alias("delta"), F.sum("known").alias("known")), "met")
+        found = met if found is None else found.union(met)
+    rest = found.groupBy("_row").agg(F.sum("base").alias("_more_base"), F.sum("delta").alias("_more_delta"), F.sum("known").alias("_more_known"))
     none = F.lit(0.0)
-    return read.join(rest, "_row", "left").select(
-        *others, "n_tokens", (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
+    base = F.col("_base") + F.coalesce("_more_base", none)
+    return read.drop("_keys").join(rest, "_row", "left").select(
+        *others, "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("_root") + F.coalesce("_rest", none)).alias("base_score"), (F.col("_log") + F.coalesce("_rest", none)).alias("score")).toDF(
+        base.alias("base_score"), (base + F.col("_delta") + F.coalesce("_more_delta", none)).alias("score")).toDF(
         *[c for c in docs.columns if c not in ("text", *added)], *added)
 
 
@@ -304,5 +346,5 @@ def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents`` scored, learning from those outside fold 2 of 7."""
     held = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
     docs = documents(spark, sf_dir).select("doc_id", held.alias("held_out"), "text")
-    tree, counts = train(docs.filter("NOT held_out"))
-    return score(docs, tree, counts)
+    model, table = train(docs.filter("NOT held_out"))
+    return score(docs, model, table)

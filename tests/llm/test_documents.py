@@ -291,6 +291,22 @@ def test_suffix_tree_rare_words_meet_the_table(spark, tmp_path, monkeypatch):
         assert r.n_known == sum(counts[w] > 0 for w in tokens)
 
 
+def test_suffix_tree_counts_alike_at_every_size(spark, tmp_path, monkeypatch):
+    """Pairs and triples that are rarer than the broadcast share count as on a small table."""
+    monkeypatch.setattr(suffix_tree, "WORD_SHARE", 0.05)
+    monkeypatch.setattr(suffix_tree, "ENTRY_SHARE", 0.05)
+    rng = random.Random(11)
+    phrases = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "On THE mat sat a cat", "rare birds sing in rare trees"]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = [[*R.words(R.lower_ascii(t)), "\n"] for _, t in rows]
+    *_, p, one, two = R.suffix_tree([t for (d, _), t in zip(rows, tokens) if R.fold(d, 7) != 2])
+    assert len(one) > 5 and len(two) > 3
+    for r in registry.QUERIES["op5_suffix_tree"](spark, str(tmp_path)).collect():
+        seq = [None, "<s>", *tokens[r.doc_id]]
+        assert r.score == pytest.approx(sum(math.log10(p(*seq[k:k + 3])) for k in range(len(seq) - 2)))
+
+
 def test_suffix_tree_on_edge_rows(spark, edge):
     rows = registry.QUERIES["op5_suffix_tree"](spark, edge).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in rows) == sorted((r[0] or -1, len(R.words(r[1])) + 1) if r[0] != 0 else (-1, len(R.words(r[1])) + 1) for r in ROWS)
