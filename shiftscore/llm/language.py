@@ -4,8 +4,9 @@ Documents are hashed n-gram counts (1 to 3 letters, runs of anything else as
 one space).  Document frequencies cover all training documents.  The weights
 are fitted by follow-the-regularised-leader (per-coordinate steps, L1 and L2
 penalty) on a sample that is bounded by ``SAMPLE_PER_LANGUAGE`` documents of
-each language in expectation, drawn by a hash of doc_id; a part of the sample
-is kept back to fit the temperature that calibrates the scores.
+each language in expectation, drawn by a hash of doc_id and text, whatever ids
+repeat or are missing; a part of the sample is kept back to fit the temperature
+that calibrates the scores.
 
 Edge cases: a text that is NULL or has no letter is ``und`` with score 0, and so
 is every text if nothing could be learned; rows with a NULL lang or text, or a
@@ -153,6 +154,26 @@ class Model:
         return self.languages[best], float(p[best])
 
 
+def drawn(labelled: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """``doc_id, text, lang``: a share of the rows of each language.
+
+    Of n rows that are equal in all columns, n times the share are taken, up or
+    down to a whole number by their hash, so the shares hold in expectation for
+    every table.
+    """
+    share = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, v)])
+    own = labelled.withColumn("text_key", F.xxhash64("text"))
+    taken = F.col("n") * share[F.col("lang")] + F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
+    # No text is moved before the draw; the keys drawn are bounded by the sample.
+    keys = own.groupBy("lang", "doc_id", "text_key").agg(F.count("*").alias("n")).withColumn(
+        "draw", F.xxhash64("doc_id", "text_key")).select(
+        F.col("lang").alias("_lang"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "draw",
+        F.floor(taken).cast("int").alias("times")).filter("times > 0")
+    met = own.join(F.broadcast(keys), (own["lang"] == keys["_lang"]) & own["doc_id"].eqNullSafe(keys["_id"]) & (own["text_key"] == keys["_key"]))
+    one = met.groupBy("lang", "doc_id", "text_key", "times").agg(F.min("text").alias("text"))
+    return one.select("doc_id", "text", "lang", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("col")
+
+
 def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on ``doc_id, text, lang``; document frequencies from all rows, weights from the bounded sample."""
     labelled = labelled.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
@@ -163,9 +184,7 @@ def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -
     if not languages or not n:
         return Model([], idf, np.zeros((0, FEATURES)), 1.0)
 
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_per_language / sizes[k]))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.withColumn("draw", F.xxhash64("doc_id")).filter(draw < share[F.col("lang")])
+    sample = drawn(labelled, {k: min(1.0, sample_per_language / n) for k, n in sizes.items()})
     codes = {k: i for i, k in enumerate(languages)}
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +199,7 @@ def train(labelled: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -
         scale = temperature([weights[:, at] @ x for _, at, x in held], [k for k, _, _ in held])
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([scale])], ["weights", "scale"])
 
-    one = sample.repartition(1).sortWithinPartitions("draw", "doc_id", F.xxhash64("text")).select("lang", "text")  # bounded by the sample
+    one = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "lang").select("lang", "text")  # bounded by the sample
     row = one.mapInArrow(fit, "weights binary, scale double").first()
     return Model(languages, idf, np.frombuffer(row["weights"], dtype=np.float64).reshape(len(languages), FEATURES), row["scale"])
 

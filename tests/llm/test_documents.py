@@ -514,6 +514,18 @@ def test_language_with_one_or_no_label(spark):
     assert {(r.lang_pred, r.score) for r in language.identify(one).collect()} == {("en", 1.0)}
 
 
+def test_language_sample_is_bounded_without_ids(spark):
+    """Rows without an id, with one id for all, or equal in all columns are drawn like others."""
+    ids = {"none": lambda k: None, "same": lambda k: 7, "own": lambda k: k}
+    rows = [(of(k), f"text {k} in {lang}", lang) for lang, of in ids.items() for k in range(4000)]
+    rows += [(None, "copies", "copies")] * 4000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = Counter(r.lang for r in language.drawn(df, dict.fromkeys([*ids, "copies"], 0.05)).collect())
+    assert set(got) == {*ids, "copies"} and all(140 <= n <= 260 for n in got.values())
+    few = [(None, f"some words number {k}", "en" if k % 2 else "fr") for k in range(40)]
+    assert language.drawn(spark.createDataFrame(few, "doc_id long, text string, lang string"), {"en": 1.0, "fr": 1.0}).count() == 40
+
+
 def test_long_texts_are_counted_in_chunks(monkeypatch):
     text = "The quick brown fox, 12 jumps; über das Meer. " * 40
     whole = language.ngram_counts(text)
