@@ -47,6 +47,11 @@ CLASSES = {
 ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy|your[_-]|xxxx|0123456789|123456789|abcdefgh"
          r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^sha(1|256|384|512)-|^//")
 
+#: In redaction the allow list hides no more than it knows: whole runs, the piece between separators that holds a
+#: placeholder, and the short pieces of an address.
+ALLOW_WHOLE = (r"^(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$|^(?i:sha(1|256|384|512))-[A-Za-z0-9+/]+=*$")
+PLACEHOLDER = (r"(?i)[^/=_-]*(?:example|sample|placeholder|changeme|dummy|your(?=[_-])|xxxx|0123456789|123456789|abcdefgh)[^/=_-]*")
+
 KINDS = ("assign", "access", "hex", *CLASSES)
 SPAN = "array<struct<start:bigint,ord:int,end:bigint,kind:string>>"
 
@@ -118,22 +123,35 @@ def entropy_at_least(value: Column, bits: float, window: int = WINDOW) -> Column
         F.sequence(F.lit(1), F.size(chars)), zero, lambda s, j: step(chars, s, j), lambda s: s["least"])) <= most
 
 
-def is_secret(holds: tuple[str, ...], bits: float) -> Callable[[Column], Column]:
-    """The test of a candidate of one class; cheap parts first."""
+def is_secret(holds: tuple[str, ...], bits: float, inside: bool = False) -> Callable[[Column], Column]:
+    """The test of a candidate of one class; cheap parts first.  ``inside``: also of what the allow list hides."""
+    def stretch(value: Column) -> Column:
+        ok = F.length(value) >= WINDOW
+        for h in holds:
+            ok = ok & value.rlike(h)
+        return F.when(ok, entropy_at_least(value, bits)).otherwise(False)
+
+    def hidden(value: Column) -> Column:
+        rest = F.when(value.startswith("//"), F.split(value, f"{PLACEHOLDER}|[/=_-]")).otherwise(F.split(value, PLACEHOLDER))
+        return F.when(value.rlike(ALLOW) & ~value.rlike(ALLOW_WHOLE), F.exists(rest, stretch)).otherwise(False)
+
     def test(m: Column) -> Column:
         end = m["start"] + F.length(m["value"])
-        ok = ~F.exists("_base", lambda b: (b["start"] <= m["start"]) & (end <= b["end"])) & ~m["value"].rlike(ALLOW)
+        bare = ~F.exists("_base", lambda b: (b["start"] <= m["start"]) & (end <= b["end"]))
+        ok = bare & ~m["value"].rlike(ALLOW)
         for h in holds:
             ok = ok & m["value"].rlike(h)
-        return F.when(ok, entropy_at_least(m["value"], bits)).otherwise(False)
+        found = F.when(ok, entropy_at_least(m["value"], bits))
+        return (found.when(bare, hidden(m["value"])) if inside else found).otherwise(False)
 
     return test
 
 
-def add_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
+def add_spans(docs: DataFrame, text: str = "text", spans: str = "spans", inside: bool = False) -> DataFrame:
     """Add ``spans`` (in place of a column of that name): array of (start, ord, end, kind), by start, then kind as listed; code points, end exclusive.
 
     ``ord`` is the place of ``kind`` in ``KINDS``; the first three are the fixed patterns.
+    With ``inside``, a secret that is joined to something that the allow list knows is a span too.
     """
     named = set_apart(docs, (text,))
     raw = F.coalesce(F.col(text), F.lit(""))
@@ -157,7 +175,7 @@ def add_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Data
         as_spans(F.col("_hex"), "hex")).cast(SPAN))
     for kind, (pattern, holds, bits) in CLASSES.items():
         df = add_matches(df, "_text", F.col("_text").rlike(pattern), pattern, None, f"_{kind}")
-        df = df.withColumn(f"_{kind}", as_spans(F.filter(f"_{kind}", is_secret(holds, bits)), kind).cast(SPAN))
+        df = df.withColumn(f"_{kind}", as_spans(F.filter(f"_{kind}", is_secret(holds, bits, inside)), kind).cast(SPAN))
     found = F.concat("_base", *[F.col(f"_{k}") for k in CLASSES])
     df = df.withColumn(spans, F.when(F.size(found) > 0, F.array_sort(found)).otherwise(F.array().cast(SPAN)))
     kept = [c for c in docs.columns if c != spans]
@@ -174,7 +192,7 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mask``, spans that overlap as one; ``n_chars`` follows the text."""
     named = set_apart(docs, ("text", "n_chars"))
     columns = named.columns
-    df = add_spans(named, spans="_spans")
+    df = add_spans(named, spans="_spans", inside=True)
     # Left to right; `at` is the first code point not yet passed on.
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 

@@ -453,6 +453,17 @@ def test_redaction(spark):
         assert r.n_chars == (None if want is None else len(want))
 
 
+def test_redaction_of_secrets_beside_placeholders(spark):
+    secret = "Zx81kQ0pLm4Tr9Yb2Wc7Vd3Se6"
+    gone = [f"a sample-key={secret} z", f"https://ghp_{secret}@github.com", f"your_{secret}", "sample-key=wJalrXUtnFEMI/K7MDENG/bPxRfiCY"]
+    kept = ["EXAMPLE1a2B3c4D5e6F7g8H9i0J", "//Path1/Segment2/file3name4X5", f"EXAMPLE{secret}",
+            "sha256-Zx81kQ0pLm4Tr9Yb2Wc7Vd3Se6Zx81kQ0pLm4Tr9Yb2=", "123E4567-e89b-42d3-a456-426614174000"]
+    df = spark.createDataFrame(list(enumerate(gone + kept)), "doc_id int, text string")
+    got = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert all("[SECRET]" in got[k] and secret not in got[k] for k in range(len(gone)))
+    assert [got[len(gone) + k] for k in range(len(kept))] == kept
+
+
 # --- 9 ----------------------------------------------------------------------
 
 def test_substrings(spark, edge):
