@@ -13,7 +13,7 @@ from shiftscore.session import scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without letters or with an unsure language go."""
+    """Documents in a known language; those without letters or with a score near chance go."""
     return language.identified(docs)
 
 

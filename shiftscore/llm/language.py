@@ -36,6 +36,8 @@ SAMPLE_PER_LANGUAGE = 1000
 #: FTRL: learning rate and its offset, penalties, passes over the sample.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.1, 2
 UNKNOWN = "und"
+#: A score under this many times 1 / languages is near chance; of two languages the best one has 0.5 at least and is kept.
+OVER_CHANCE = 1.2
 
 
 @lru_cache(maxsize=1)
@@ -223,17 +225,23 @@ def predict(docs: DataFrame, model: Broadcast) -> DataFrame:
 
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
     """``docs`` with ``held_out, lang_pred, score`` (in place of columns of these names); learns from the documents outside fold 0 that have a lang."""
+    return _identify(docs, folds)[0]
+
+
+def _identify(docs: DataFrame, folds: int = 5) -> tuple[DataFrame, int]:
+    """``identify``, and the number of languages learned."""
     spark = docs.sparkSession
     text_batches(spark)
     held = F.coalesce(remainder(F.col("doc_id"), folds) == 0, F.lit(False))
     model = spark.sparkContext.broadcast(train(docs.filter(~held)))
-    return predict(docs.drop("lang_pred", "score").withColumn("held_out", held), model)
+    return predict(docs.drop("lang_pred", "score").withColumn("held_out", held), model), len(model.value.languages)
 
 
-def identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """``docs`` without the documents that are in no known language or whose language is unsure."""
+def identified(docs: DataFrame, over_chance: float = OVER_CHANCE) -> DataFrame:
+    """``docs`` without the documents that are in no known language: ``und``, or a score near that of chance among the learned languages."""
     named = set_apart(docs, ("doc_id", "text", "lang"))
-    found = identify(named).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    found, languages = _identify(named)
+    found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min(0.5, over_chance / max(languages, 1))))
     return found.select(*named.columns).toDF(*docs.columns)
 
 

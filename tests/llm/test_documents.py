@@ -537,6 +537,25 @@ def test_language_sample_is_bounded_without_ids(spark):
     assert language.drawn(spark.createDataFrame(few, "doc_id long, text string, lang string"), {"en": 1.0, "fr": 1.0}).count() == 40
 
 
+def test_identified_keeps_short_and_mixed_documents(spark):
+    """With many languages a clean document may have a best score under a half."""
+    rng = random.Random(12)
+    letters = {k: "aeiou" + c for k, c in zip(["l1", "l2", "l3", "l4", "l5", "l6"], ["bcdf", "ghjk", "lmnp", "qrst", "vwxy", "zñçß"])}
+
+    def words(lang, n):
+        return " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    rows = [(i, words(lang, 40), lang) for i, lang in enumerate(list(letters) * 40)]
+    mixed = [(1000 + i, " ".join(words(lang, 12) for lang in ("l1", "l2", "l3")), None) for i in range(12)]
+    short = [(2000 + i, words("l4", 1), None) for i in range(4)]
+    df = spark.createDataFrame(rows + mixed + short + [(3000, "12 34", None)], "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in language.identify(df).collect()}
+    assert any(0.2 <= scores[d] < 0.5 for d, *_ in mixed + short)
+    kept = {r.doc_id for r in language.identified(df).collect()}
+    assert kept == {d for d, s in scores.items() if s >= 0.2} and 3000 not in kept
+    assert {d for d, *_ in mixed + short} <= kept
+
+
 def test_long_texts_are_counted_in_chunks(monkeypatch):
     text = "The quick brown fox, 12 jumps; über das Meer. " * 40
     whole = language.ngram_counts(text)
