@@ -4,7 +4,8 @@ Fixed patterns: assignments (``password = ...``), access keys and long hex
 strings.  The entropy part takes candidate strings (runs of one character
 class), slides a window over each and keeps the sum of ``c * log2(c)`` over
 its character counts up to date: a step changes the count of the character
-that leaves and of the one that enters, nothing else.  A candidate with a
+that leaves and of the one that enters, nothing else.  The counts themselves
+aren't kept: these two are counted anew within the window.  A candidate with a
 window above the threshold of its class is a span, unless the allow list knows
 it or a span of the fixed patterns covers it.
 
