@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftscore.llm import (
+    alignment,
     embedding_dedup,
     fingerprints,
     language,
+    license_scan,
     mixing,
     packing,
     secrets,
@@ -17,6 +19,7 @@ from shiftscore.llm import (
     substrings,
     suffix_tree,
     token_counts,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_substrings": substrings.op9_substrings,
     "op10_language": language.op10_language,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_license_scan": license_scan.op12_license_scan,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
@@ -37,4 +43,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": secrets.ORACLE,
     "op8_embedding_dedup": embedding_dedup.ORACLE,
     "op9_substrings": substrings.ORACLE,
+    "op12_license_scan": license_scan.ORACLE,
 }
