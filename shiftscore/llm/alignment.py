@@ -26,8 +26,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import Remembered, documents, store, text_batches
+from shiftscore.llm.common import documents, store, text_batches
 
 #: Links after which a chunk is full.
 CHUNK_LINKS = 1 << 20
@@ -52,39 +54,41 @@ PAIR_BITS = 32
 SETTLED = re.compile(r"[\t\n\x20-\x7E\xA1-\xA9\xAB-\xB1\xB4-\xB8\xBB\xBF-\u024F\u0391-\u03A1\u03A3-\u03C9\u0410-\u044F\u2010-\u2027\u2030-\u205E\u3041-\u3094\u30A1-\u30F6\u4E00-\u9FA5\uAC00-\uD7A3]*")
 #: Units of a text: white space and what follows it. Neither side merges from other characters to white space.
 UNIT = re.compile(r"\s*\S+|\s+")
+#: Where a space is beside other white space, a text's units are not simply its words with the space before each.
+BESIDE = ("  ", " \n", "\n ", " \t", "\t ")
 
 
 class ByteLevel:
     """The left tokenizer, a byte-level one: ids of a text (a space is put before it) and the bytes of every id."""
 
-    #: Fixed value: the pattern of byte-level vocabularies without one of their own, for settled texts.
-    PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    #: Fixed value: the pattern of byte-level vocabularies without one of their own.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         steps = json.loads(self.tokenizer.to_str())
-        before = steps["pre_tokenizer"] or {}
-        #: Whether a settled text's ids are those of its units.
-        self.by_unit = (steps["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
-                        and not before.get("add_prefix_space"))
         # Byte-level alphabet: printable bytes stand for themselves, the n-th other one for the code point 256 + n.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
-        self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
-        back = {c: b for b, c in self.letters.items()}
+        back = {**{chr(b): b for b in shown}, **{chr(256 + n): b for n, b in enumerate(hidden)}}
         self.bytes = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         for token, k in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes[k] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-        self.parts = Remembered(self._part)
-
-    def _part(self, part: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in part.encode()]))]
-
-    def unit(self, unit: str) -> list[int]:
-        return [k for part in self.PATTERN.findall(unit) for k in (self.parts[part] if len(part) <= LONGEST_UNIT else self._part(part))]
+        before, model = steps["pre_tokenizer"] or {}, steps["model"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        made = [model["vocab"][a + b] for a, b in merges] if model["type"] == "BPE" else []
+        # Where ids follow the order of the merges, they are the ranks that the faster encoder goes by.
+        self.by_unit = (steps["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                        and not before.get("add_prefix_space") and not model.get("ignore_merges") and bool(made)
+                        and made == sorted(made) and len(made) + 256 == len(model["vocab"]) - len(set(model["vocab"]) & {t["content"] for t in steps["added_tokens"]}))
+        if self.by_unit:
+            special = {t["id"] for t in steps["added_tokens"]}
+            ranks = {b: k for k, b in enumerate(self.bytes) if k not in special}
+            self.encode = tiktoken.Encoding("left", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
@@ -110,8 +114,7 @@ class Pieces:
         if unit[0] == " ":
             return self.model.encode(unit[1:]) if len(unit) > 1 else [self.lone]
         # The space that the model puts before it isn't part of this unit.
-        ids = self.model.encode("\n" + unit)
-        first = self.model.encode("\n")
+        ids, first = self.model.encode("\n" + unit), self.model.encode("\n")
         if ids[:len(first)] != first:
             raise ValueError("a unit is merged with the line end before it")
         return ids[len(first):]
@@ -121,7 +124,11 @@ class Pieces:
 
 
 class Sides:
-    """Both tokenizers, with the lengths and decimal texts of their ids; ids of units are remembered."""
+    """Both tokenizers, with the lengths and decimal texts of their ids.
+
+    Ids of units are remembered: ``place`` has each unit's number, and the two
+    lists of ids, one after the other, are cut by ``starts``.
+    """
 
     def __init__(self, left: str, right: str):
         self.left, self.right = ByteLevel(left), Pieces(right)
@@ -133,36 +140,92 @@ class Sides:
         self.name_sizes = np.char.str_len(names)
         self.last_a, self.shift_b, self.last_b = n, 2 * n, m
         self.by_unit = self.left.by_unit and self.right.by_unit
-        self.units, self.words = Remembered(self._unit), Remembered(lambda word: self._unit(" " + word))
+        self.forget()
 
-    def _unit(self, unit: str) -> tuple[bytes, bytes] | None:
-        a, b = self.left.unit(unit), self.right.unit(unit)
-        return tuple(np.array(x, dtype="<u4").tobytes() for x in (a, b)) if self.spell(a, b, unit) else None
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.unspelt: set[int] = set()
+        self.ids = (array("I"), array("I"))
+        self.starts = (array("q", [0]), array("q", [0]))
 
     def spell(self, a: list[int], b: list[int], text: str) -> bool:
         """Whether the bytes of both sides are those of ``text``."""
         whole = text.encode("utf-8", "surrogatepass")
         return b"".join([self.left.bytes[k] for k in a]) == whole and b"".join([self.right.bytes[k] for k in b]) == whole
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both sides, or None if either doesn't spell a space and the text."""
-        if self.by_unit and SETTLED.fullmatch(text):
-            # Where no space is beside other white space, a text's units are its words with the one space before each.
-            padded = " " + text
-            plain = text[-1] != " " and not any([x in padded for x in ("  ", " \n", "\n ", " \t", "\t ")])
-            cut, known = (text.split(" "), self.words) if plain else (UNIT.findall(padded), self.units)
-            if max(map(len, cut)) <= LONGEST_UNIT:
-                units = list(map(known.__getitem__, cut))
-                known.rotate(CACHE_UNITS)
-            else:
-                units = [known[u] if len(u) <= LONGEST_UNIT else known.make(u) for u in cut]
-            self.left.parts.rotate(CACHE_UNITS)
-            if None not in units:
-                return tuple(np.frombuffer(b"".join([u[side] for u in units]), dtype="<u4") for side in (0, 1))
-        a, b = self.left.whole(text), self.right.whole(text)
-        if not self.spell(a, b, " " + text):
+    def learn(self, words: list[str]) -> None:
+        """Remember units; a word without white space before it stands for the one after a space."""
+        white = " \t\n"
+        plain = [w for w in words if w and w[0] not in white and w[-1] not in white]
+        if plain:
+            # Nothing is merged or cut across from a unit to the next one's space: one call of each side encodes them all.
+            text = " " + " ".join(plain)
+            size = np.array([len(w.encode()) + 1 for w in plain], dtype=np.int64)
+            a = np.array(self.left.encode(text), dtype=np.uint32)
+            b = self.right.model.encode(plain, num_threads=1)
+            count = np.array(list(map(len, b)), dtype=np.int64)
+            b = np.array(list(chain.from_iterable(b)), dtype=np.uint32)
+            to_a, to_b = np.searchsorted(np.cumsum(self.lengths[0][a]), np.cumsum(size)) + 1, np.cumsum(count)
+            first = len(self.place)
+            self.place.update(zip(plain, range(first, first + len(plain))))
+            for side, (ids, to) in enumerate(((a, to_a), (b, to_b))):
+                self.starts[side].frombytes((to + len(self.ids[side])).astype(np.int64).tobytes())
+                self.ids[side].frombytes(ids.tobytes())
+            if not self.spell(a.tolist(), b.tolist(), text) or (np.diff(np.cumsum(self.lengths[1][b])[to_b - 1], prepend=0) != size).any():
+                at, bt = 0, 0
+                for k, w in enumerate(plain):
+                    if not self.spell(a[at:to_a[k]].tolist(), b[bt:to_b[k]].tolist(), " " + w):
+                        self.unspelt.add(first + k)
+                    at, bt = to_a[k], to_b[k]
+        for word in words:
+            if word not in self.place:
+                unit = word if word and word[0] in white else " " + word
+                one, two = self.left.encode(unit), self.right.unit(unit)
+                if not self.spell(one, two, unit):
+                    self.unspelt.add(len(self.place))
+                self.place[word] = len(self.place)
+                for side, ids in enumerate((one, two)):
+                    self.ids[side].extend(ids)
+                    self.starts[side].append(len(self.ids[side]))
+
+    def cut(self, text: str) -> list[str] | None:
+        """Words (units after one space) or units of a text, if its ids are those of its units."""
+        if not (self.by_unit and SETTLED.fullmatch(text)):
             return None
-        return np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32)
+        padded = " " + text
+        words = UNIT.findall(padded) if text[-1] == " " or any([x in padded for x in BESIDE]) else text.split(" ")
+        return words if max(map(len, words)) <= LONGEST_UNIT else None
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides of each text, or None if either doesn't spell a space and the text."""
+        if not texts:
+            return []
+        if len(self.place) > CACHE_UNITS:
+            self.forget()
+        cuts = [self.cut(t) for t in texts]
+        words = list(chain.from_iterable([c for c in cuts if c]))
+        numbers = list(map(self.place.get, words))
+        if None in numbers:
+            self.learn(list({w: None for w, k in zip(words, numbers) if k is None}))
+            numbers = list(map(self.place.__getitem__, words))
+        units = np.array(numbers, dtype=np.int64)
+        ends = np.cumsum([len(c) if c else 0 for c in cuts])
+        sides = []
+        for ids, starts in zip(self.ids, self.starts):
+            at = np.frombuffer(starts, dtype=np.int64)
+            size = at[units + 1] - at[units]
+            flat = np.frombuffer(ids, dtype=np.uint32)[_spread(at[units], size)] if ids else np.empty(0, dtype=np.uint32)
+            to = np.concatenate([[0], np.cumsum(size)])[ends]
+            sides.append((flat, to.tolist()))
+        bad = np.isin(units, list(self.unspelt)) if self.unspelt else None
+        out, (a, to_a), (b, to_b) = [], *sides
+        for k, (text, cut) in enumerate(zip(texts, cuts)):
+            if cut and (bad is None or not bad[ends[k] - len(cut):ends[k]].any()):
+                out.append((a[to_a[k - 1] if k else 0:to_a[k]], b[to_b[k - 1] if k else 0:to_b[k]]))
+            else:
+                one, two = self.left.whole(text), self.right.whole(text)
+                out.append((np.array(one, dtype=np.uint32), np.array(two, dtype=np.uint32)) if self.spell(one, two, " " + text) else None)
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -175,27 +238,26 @@ def worker_tokenizers(left: str, right: str) -> Sides:
 BEYOND = 1 << 60
 
 
-def walk(a: list[int], b: list[int]) -> list[int]:
-    """Groups of two lists of ends, up to the last ends that meet: ``i, i_end, j, j_end`` of each, in one flat list.
+def walk(a: list[int], b: list[int]) -> tuple[list[int], int, int]:
+    """Irregular groups of two lists of ends, ``i, i_end, j, j_end`` of each in one flat list, and where the walk ends.
 
-    A run of one-to-one tokens is one entry, whose tokens are a group each; an
-    irregular group has ``~j`` in place of ``j``.
+    Between them, and after the last one, tokens go one to one.  A group that
+    goes on beyond the lists is left out, and the walk ends before it.
     """
-    groups: list[int] = []
+    odd: list[int] = []
     a, b = a + [BEYOND], b + [BEYOND + 1]
     i = j = 0
+    x, y = a[0], b[0]
     while True:
-        x, y = a[i], b[j]
         if x == y:
-            at, bt = i, j
-            i += 1
-            j += 1
-            x, y = a[i], b[j]
-            if x == y:
+            step = 1
+            while step < 4 and x == y:  # first probes at this shift, one by one
+                step += 1
                 i += 1
                 j += 1
-                step = 2
-                while a[i:i + step] == b[j:j + step]:  # doubled probes at this shift
+                x, y = a[i], b[j]
+            if x == y:
+                while a[i:i + step] == b[j:j + step]:  # doubled ones
                     i += step
                     j += step
                     step += step
@@ -206,34 +268,45 @@ def walk(a: list[int], b: list[int]) -> list[int]:
                         j += step
                     step >>= 1
                 x, y = a[i], b[j]
-            groups += at, i, bt, j
         p, q = i, j
         while x != y:
             if x < y:
                 if y >= BEYOND:
-                    return groups
+                    return odd, i, j
                 p += 1
                 x = a[p]
             else:
                 if x >= BEYOND:
-                    return groups
+                    return odd, i, j
                 q += 1
                 y = b[q]
-        groups += i, p + 1, ~j, q + 1
-        i, j = p + 1, q + 1
+        p += 1
+        q += 1
+        odd += i, p, j, q
+        i, j, x, y = p, q, a[p], b[q]
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray, piece: int = PIECE) -> Iterator[tuple[int, int, np.ndarray]]:
     """Groups of both sides' ends by pieces that follow one another without a gap: the first index of each side, then
-    rows ``i, i_end, j, j_end`` from there on (see ``walk``)."""
+    rows ``i, i_end, j, j_end`` from there on.
+
+    A run of one-to-one tokens is one row, whose tokens are a group each; an
+    irregular group has ``~j`` in place of ``j``.
+    """
     at, bt, size = 0, 0, piece
     while at < len(ends_a):
-        groups = walk(ends_a[at:at + size].tolist(), ends_b[bt:bt + size].tolist())
-        if not groups:  # one group is longer than the piece
+        flat, i, j = walk(ends_a[at:at + size].tolist(), ends_b[bt:bt + size].tolist())
+        if not i:  # one group is longer than the piece
             size *= 2
             continue
-        yield at, bt, np.array(groups, dtype=np.int64).reshape(-1, 4)
-        at, bt, size = at + groups[-3], bt + groups[-1], piece
+        odd = np.array(flat, dtype=np.int64).reshape(-1, 4)
+        groups = np.empty((2 * len(odd) + 1, 4), dtype=np.int64)
+        groups[1::2] = odd
+        groups[::2, 0], groups[::2, 2] = np.r_[0, odd[:, 1]], np.r_[0, odd[:, 3]]
+        groups[::2, 1], groups[::2, 3] = np.r_[odd[:, 0], i], np.r_[odd[:, 2], j]
+        groups[1::2, 2] = ~odd[:, 2]
+        yield at, bt, groups[(groups[:, 2] < 0) | (groups[:, 1] > groups[:, 0])]
+        at, bt, size = at + i, bt + j, piece
 
 
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -290,7 +363,8 @@ def aligned_texts(texts: list[str | None], sides: "Sides") -> tuple[list[tuple],
     The texts are walked as one: both sides end together at the end of every
     text, so no group goes beyond it.
     """
-    both = [sides.encode(t) if t else None for t in texts]
+    encoded = iter(sides.encode([t for t in texts if t]))
+    both = [next(encoded) if t else None for t in texts]
     none = np.empty(0, dtype=np.uint32)
     a, b = [np.concatenate([none, *[x[side] for x in both if x is not None]]) for side in (0, 1)]
     stop_a, stop_b = [np.cumsum([0 if x is None else len(x[side]) for x in both]) for side in (0, 1)]

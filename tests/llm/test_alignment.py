@@ -116,17 +116,16 @@ def test_walk_skips_runs():
     probes = []
     ends = list(range(1, 100_001))
     other = ends[:50_000] + [50_001 - 0.5] + ends[50_000:]                 # one token is cut in two in the middle
-    groups = alignment.walk(Counted(ends), Counted(other))
-    assert groups == [0, 50_000, 0, 50_000, 50_000, 50_001, ~50_000, 50_002, 50_001, 100_000, 50_002, 100_001]
+    assert alignment.walk(Counted(ends), Counted(other)) == ([50_000, 50_001, 50_000, 50_002], 100_000, 100_001)
     assert len(probes) < 200
 
 
 def test_units_equal_whole_encoding():
     sides = alignment.worker_tokenizers(*alignment.default_tokenizers())
     assert sides.by_unit
-    for t in odd_texts():
+    texts = odd_texts()
+    for t, got in zip(texts, sides.encode(texts)):
         a, b = sides.left.whole(t), sides.right.whole(t)
-        got = sides.encode(t)
         if got is None:
             assert not sides.spell(a, b, " " + t)
         else:
