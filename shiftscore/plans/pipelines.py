@@ -23,6 +23,7 @@ from ..operators.joins import proven_small
 from ..operators.leads import (lead_frequency, prepare_call_leads, prepare_open_leads,
                                scored_leads_join, unscored_leads)
 from ..operators.ranking import rank_by_score
+from ..session import utc_now
 from ..sources.warehouse import Warehouse
 
 ACTIVE_COLUMNS = [
@@ -118,12 +119,13 @@ class LeadJob:
     leads: DataFrame
     scope: LeadScope
     variant: str
-    as_of: str | None
+    as_of: str
     cfg: ScoringConfig
 
     @classmethod
     def build(cls, wh: Warehouse, raw_leads: DataFrame, variant: str, as_of: str | None = None,
               cfg: ScoringConfig = DEFAULT, persist_leads: bool = True) -> "LeadJob":
+        as_of = as_of or utc_now()  # one time for all tables of the run
         leads = prepare_leads(raw_leads, variant)
         # The sheet's rows bound the number of lead phones; counting them moves nothing.
         few = proven_small(leads, cfg.broadcast_key_limit)

@@ -25,7 +25,7 @@ from ..session import scratch_path
 from ..sources.fixtures import bind_call_leads, bind_open_leads, bind_warehouse
 from ..sources.leads import (OPEN_LEAD_HEADERS, normalize_columns,
                              read_call_leads, read_open_leads, sheet_frame)
-from ..sources.sinks import read_history, write_history, write_snapshot
+from ..sources.sinks import read_history, read_snapshot, write_history, write_snapshot
 from .pipelines import LeadJob, lead_match, repeat_weight, score_active, score_remaining
 
 AS_OF = "2024-06-01 00:00:00"
@@ -323,17 +323,19 @@ def q_ranked_remaining(spark, sf):
 
 def q_write_snapshot(spark, sf):
     path = scratch_path(spark, "active-snapshot")
-    write_snapshot(_job(spark, sf).active(), path)
-    return spark.read.parquet(path)
+    job = _job(spark, sf)
+    write_snapshot(job.remaining(), path)
+    write_snapshot(job.active(), path)  # the last one is current
+    return read_snapshot(spark, path)
 
 
 def q_append_history(spark, sf):
     path = scratch_path(spark, "remaining-history")
     df = _job(spark, sf).remaining()
-    write_history(df, path, "first")
-    for _ in range(2):  # the same run again replaces itself
-        write_history(df, path, "second")
-    return read_history(spark, path, df.schema).drop("run_date")
+    write_history(df, path, "first", run_time="2024-06-01 23:59:00")
+    for day in ("2024-06-01 23:59:30", "2024-06-02 00:01:00"):  # the same run again, past midnight, replaces itself
+        write_history(df, path, "second", run_time=day)
+    return read_history(spark, path, df.schema).drop("run_time")
 
 
 # --- pipelines ----------------------------------------------------------------

@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +75,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch path of this job, in whatever store it is."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def utc_now() -> str:
+    """The time of this moment in UTC, as text: what a run takes as its one time."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
