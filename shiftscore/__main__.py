@@ -15,7 +15,7 @@ import argparse
 
 from .plans.job import run_scoring_job
 from .session import get_session
-from .sources.leads import read_call_leads, read_open_leads
+from .sources.leads import read_call_sheets, read_open_sheets
 from .sources.warehouse import load_warehouse
 
 
@@ -30,13 +30,14 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", default=None)
     p.add_argument("--run-id", default=None)
     p.add_argument("--no-history", action="store_true")
+    p.add_argument("--set-aside", action="store_true", help="leave rows with a wrong number of cells out of the list")
     a = p.parse_args(argv)
     spark = get_session()
     wh = load_warehouse(spark, a.warehouse, fmt=a.warehouse_format)
-    reader = read_open_leads if a.variant == "open" else read_call_leads
-    leads = reader(spark, a.leads, fmt=a.leads_format)
-    res = run_scoring_job(wh, leads, a.variant, a.out, a.as_of, history=not a.no_history, run_id=a.run_id)
-    print(f"active={res.active_rows} remaining={res.remaining_rows}")
+    reader = read_open_sheets if a.variant == "open" else read_call_sheets
+    sheets = reader(spark, a.leads, fmt=a.leads_format, set_aside=a.set_aside)
+    res = run_scoring_job(wh, sheets.leads, a.variant, a.out, a.as_of, history=not a.no_history, run_id=a.run_id, malformed=sheets.malformed)
+    print(f"active={res.active_rows} remaining={res.remaining_rows} malformed={res.malformed_rows}")
 
 
 if __name__ == "__main__":
