@@ -8,6 +8,8 @@ intended: "Ark" matches "Market", "Marg" matches inside words.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +35,14 @@ def contains_any(col_name: str, keywords) -> Column:
     return F.expr(contains_any_sql(col_name, keywords))
 
 
+def match_any(text: Column, keywords) -> Column:
+    """``contains_any`` for an expression."""
+    if not keywords:
+        return F.when(text.isNotNull(), F.lit(False))
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(k.lower())) for k in keywords])
+
+
 def address_match(col_names, keywords) -> Column:
     """SQL form: ``c1 ILIKE '%k%' OR ... OR c2 ILIKE '%k%'`` (three-valued)."""
     return F.expr(" OR ".join(contains_any_sql(c, keywords) for c in col_names))

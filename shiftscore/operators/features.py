@@ -21,6 +21,7 @@ Shape of the plan, built for a lead list that is small next to the warehouse:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import DEFAULT, ScoringConfig
 from ..functions.flags import app_category, base_score, feature_flags, premium_device
-from ..functions.keywords import address_match
+from ..functions.keywords import address_match, match_any
 from ..sources.warehouse import Warehouse
 from .joins import KeySet, proven_small
 from .topk import first_per_group
@@ -167,37 +168,48 @@ def customer_installs(scope: LeadScope, latest: DataFrame) -> DataFrame:
 
 # --- O19/O26 ---------------------------------------------------------------
 
-def customer_orders(scope: LeadScope, latest: DataFrame) -> DataFrame:
-    """Last order date, completed-order count and gap per install row.
+def install_rows(scope: LeadScope, latest: DataFrame) -> DataFrame:
+    """Lead customers with the latest installs of their phone: ``COD_KEYS`` and ``_times``.
 
     The original joins the customer table twice on the phone (once to find
     lead customers, once for the summary), so a phone shared by N customer
     rows makes N x N rows per install row before grouping, and COUNT sees
-    each order N times.  Here the install rows of a phone meet that phone's
-    customer rows once, and the duplicate count N is carried as a
-    multiplier: same groups and counts, output-sized work.  Orders are
-    pre-aggregated per customer (max pickup time, count) before the join.
+    each order N times.  Here equal customer rows are one row from the start,
+    each meets its phone's installs once, and ``_times`` is how often the
+    original would count each order.  The rows are already one for each group.
     """
-    cfg = scope.cfg
-    cust = scope.customers
-    dups = cust.groupBy("mobile").agg(F.count(F.lit(1)).alias("_dups"))
+    cust = scope.customers.groupBy("mobile", "id", "geo_region_id").agg(F.count(F.lit(1)).alias("_same"))
+    dups = scope.customers.groupBy(F.col("mobile").alias("_phone")).agg(F.count(F.lit(1)).alias("_dups"))
+    # One row per phone of the counted customer rows.
+    dups = F.broadcast(dups) if scope.customer_ids.small else dups
+    base = cust.join(dups, F.col("mobile") == F.col("_phone"))
     # A phone without sign-ups keeps one row with NULL install columns.
-    installs = dups.join(latest, "mobile", "left")
-    base = installs.join(
-        cust.select("mobile", "geo_region_id", F.col("id").alias("customer_id")), "mobile", "inner")
+    return base.join(latest, "mobile", "left").select(
+        *[F.col("id").alias(c) if c == "customer_id" else F.col(c) for c in COD_KEYS], (F.col("_same") * F.col("_dups")).alias("_times"))
+
+
+def order_summary(scope: LeadScope, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_last_pt`` and ``_n`` of their customer -> the order summary's columns."""
+    last = F.to_date(F.timestamp_seconds(F.col("_last_pt") + scope.cfg.local_offset_seconds))
+    return rows.withColumns({
+        "last_order_date": last,
+        "gap_between_app_install_first_order": F.datediff(last, F.col("app_install_date")),
+        "total_orders": F.col("_times") * F.coalesce(F.col("_n"), F.lit(0))})
+
+
+def customer_orders(scope: LeadScope, latest: DataFrame) -> DataFrame:
+    """Last order date, completed-order count and gap per install row.
+
+    Orders are pre-aggregated per customer (max pickup time, count) before the join.
+    """
     orders = scope.customer_ids.restrict(
-        scope.wh.orders.where(F.col("status") == cfg.completed_status)
+        scope.wh.orders.where(F.col("status") == scope.cfg.completed_status)
         .select("order_id", "customer_id", "pickup_time"), "customer_id")
     stats = orders.groupBy("customer_id").agg(
         F.max("pickup_time").alias("_last_pt"), F.count("order_id").alias("_n"))
-    g = base.join(stats, "customer_id", "left").groupBy(*COD_KEYS).agg(
-        F.max("_last_pt").alias("_last_pt"),
-        F.sum(F.col("_dups") * F.coalesce(F.col("_n"), F.lit(0))).alias("total_orders"))
-    last = F.to_date(F.timestamp_seconds(F.col("_last_pt") + cfg.local_offset_seconds))
-    return g.select(
-        *COD_KEYS, last.alias("last_order_date"),
-        F.datediff(last, F.col("app_install_date")).alias("gap_between_app_install_first_order"),
-        F.col("total_orders"))
+    rows = install_rows(scope, latest).join(stats, "customer_id", "left")
+    return order_summary(scope, rows).select(
+        *COD_KEYS, "last_order_date", "gap_between_app_install_first_order", "total_orders")
 
 
 def customer_keys(cod: DataFrame) -> DataFrame:
@@ -301,20 +313,28 @@ def app_summary(scope: LeadScope, rows: DataFrame | None = None) -> DataFrame:
     aggs = [F.sum(F.when(F.col("app_type") == cat, F.col("_n")).otherwise(F.lit(0))).alias(name)
             for cat, name in APP_COUNT_COLUMNS]
     apps = F.array_sort(F.collect_list(F.struct("application_name", F.col("_n").cast("int").alias("_n"))))
+    return per_app.groupBy("customer_id").agg(*aggs, rendered_apps(apps).alias("app_installed"))
+
+
+def rendered_apps(apps: Column) -> Column:
+    """``{a,a,b}`` from an array of (name, count) in order."""
     names = F.transform(apps, lambda x: F.substr(F.repeat(F.concat(F.lit(","), x["application_name"]), x["_n"]), F.lit(2)))
-    aggs.append(F.concat(F.lit("{"), F.concat_ws(",", names), F.lit("}")).alias("app_installed"))
-    return per_app.groupBy("customer_id").agg(*aggs)
+    return F.concat(F.lit("{"), F.concat_ws(",", names), F.lit("}"))
 
 
 # --- O25, O39 --------------------------------------------------------------
 
-def latest_device(scope: LeadScope) -> DataFrame:
-    """Device of each lead customer's latest app event, NULL time first."""
+def _lead_events(scope: LeadScope) -> DataFrame:
     ev = scope.wh.customer_app_events
     tie = [c for c in ("event_id",) if c in ev.columns]
-    cols = ["customer_id", "device_model", "device_platform_name", "event_timestamp", *tie]
-    ev = scope.customer_ids.restrict(ev.select(*cols), "customer_id")
-    return first_per_group(ev, ["customer_id"], ["event_timestamp", *tie],
+    return scope.customer_ids.restrict(
+        ev.select("customer_id", "device_model", "device_platform_name", "event_timestamp", *tie), "customer_id")
+
+
+def latest_device(scope: LeadScope) -> DataFrame:
+    """Device of each lead customer's latest app event, NULL time first."""
+    ev = _lead_events(scope)
+    return first_per_group(ev, ["customer_id"], [c for c in ("event_timestamp", "event_id") if c in ev.columns],
                            ["device_model", "device_platform_name"], descending=True)
 
 
@@ -327,53 +347,104 @@ def device_signature(scope: LeadScope, latest: DataFrame | None = None) -> DataF
         .alias("mobile_device_type"))
 
 
+# --- facts of P1 in one pass -------------------------------------------------
+
+def _ascending(*cols: str) -> list[Column]:
+    """Fields that make a struct compare as ASC NULLS LAST."""
+    return [x for k, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"_null{k}"), F.col(c))]
+
+
+def fact_rows(scope: LeadScope, inventory: DataFrame) -> DataFrame:
+    """Everything known of lead customers as one tagged union.
+
+    Each relation is read once, pruned, filtered and cut to lead customers in
+    its own scan stage, and fills its own columns, the rest is NULL: completed
+    orders and trips by day, inventory requests, listed apps, device events.
+    """
+    cfg, wh, ids = scope.cfg, scope.wh, scope.customer_ids
+    day = F.to_date(F.timestamp_seconds(F.col("pickup_time") + cfg.local_offset_seconds))
+    orders = ids.restrict(wh.orders.where(F.col("status") == cfg.completed_status).select("order_id", "customer_id", "pickup_time"), "customer_id")
+    trips = ids.restrict(wh.completed_spot_orders_mv.select(
+        "order_id", "customer_id", "order_date", "pickup_time", "to_address", "from_address"), "customer_id")
+    events = _lead_events(scope)
+    tie = [c for c in ("event_id",) if c in events.columns]
+    # DESC NULLS FIRST: the greatest struct wins, and a NULL is greater than any value.
+    device = F.struct(*_ascending("event_timestamp", *tie, "device_model", "device_platform_name"))
+    parts = [
+        orders.select("customer_id", day.alias("day"), F.col("pickup_time").alias("order_time"), F.col("order_id").isNotNull().cast("int").alias("order")),
+        trips.select("customer_id", F.col("order_date").alias("day"),
+                     F.struct(*_ascending("pickup_time", "order_id", "to_address", "from_address")).alias("trip")),
+        inventory.select("customer_id", F.col("id").alias("request"),
+                         (F.col("id").isNotNull() & F.coalesce(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids), F.lit(False))).cast("int").alias("helper")),
+        app_category_rows(scope).select("customer_id", F.col("application_name").alias("app")),
+        events.select("customer_id", device.alias("device")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def customer_facts(scope: LeadScope, inventory: DataFrame) -> DataFrame:
+    """One row for each lead customer with any fact.
+
+    The union is aggregated by customer and day, then by customer: the first
+    level is where the facts are shuffled, as one row per customer and day from
+    each map task, whatever a customer's share of them.  The trips of the last
+    order's day come out of the same pass, since that day's row has both.
+    """
+    apps = [F.count_if(F.col("app") == name).alias(f"_app{k}") for k, name in enumerate(scope.cfg.app_names)]
+    days = fact_rows(scope, inventory).groupBy("customer_id", "day").agg(
+        F.max("order_time").alias("pt"), F.sum("order").alias("n"), F.min("trip").alias("trip"),
+        F.max("request").alias("request"), F.sum("helper").alias("helper"), F.max("device").alias("device"), *apps)
+    last = F.max(F.when(F.col("pt").isNotNull(), F.struct("day", "pt", "trip")))
+    return days.groupBy("customer_id").agg(
+        last.alias("last"), F.sum("n").alias("_n"), F.max("request").alias("_max_id"), F.sum("helper").alias("_helper"),
+        F.max("device").alias("device"), *[F.sum(f"_app{k}").alias(f"_app{k}") for k in range(len(apps))])
+
+
+def fact_columns(scope: LeadScope) -> dict[str, Column]:
+    """The feature columns that follow from a row of :func:`customer_facts`."""
+    cfg = scope.cfg
+    trip = F.col("last.trip")
+    hit = F.coalesce(match_any(trip["to_address"], cfg.order_address_keywords), F.lit(False)) | match_any(
+        trip["from_address"], cfg.order_address_keywords)
+    count = {name: F.coalesce(F.col(f"_app{k}"), F.lit(0)) for k, name in enumerate(cfg.app_names)}
+    by_type = {cat: reduce(lambda a, b: a + b, [count[n] for n in names]) for cat, names in cfg.app_categories}
+    listed = F.array(*[F.struct(F.lit(n).alias("application_name"), count[n].cast("int").alias("_n")) for n in sorted(count)])
+    some = reduce(lambda a, b: a + b, count.values()) > 0
+    return {
+        "_last_pt": F.col("last.pt"), "order_id": trip["order_id"],
+        "trip_keyword_flag": F.when(F.col("last").isNotNull(), F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))),
+        **{name: by_type.get(cat, F.lit(0)).cast("bigint") for cat, name in APP_COUNT_COLUMNS},
+        "app_installed": F.when(some, rendered_apps(F.filter(listed, lambda x: x["_n"] > 0))),
+        "device_model": F.col("device.device_model"),
+        "mobile_device_type": F.when(F.col("device").isNotNull(), premium_device(
+            F.col("device.device_platform_name"), F.col("device.device_model"), cfg)),
+    }
+
+
 # --- O22, O40, O42 = P1 ----------------------------------------------------
 
-@dataclass
-class FeatureParts:
-    cod: DataFrame
-    keyword: DataFrame
-    helper: DataFrame
-    vehicle: DataFrame
-    apps: DataFrame
-    device: DataFrame
-
-
-def feature_parts(scope: LeadScope, persist: bool = True) -> FeatureParts:
-    latest = latest_install(scope)
-    cod = customer_orders(scope, latest)
-    rows = lead_inventory(scope)
-    if persist:
-        # Read several times below: compute once.  By customer id, which the
-        # joins below are on; AQE sizes the partitions.
-        cod = scope.keep(cod.repartition("customer_id"))
-        rows = scope.keep(rows)
-    inventory = inventory_summary(scope, rows)
-    return FeatureParts(
-        cod=cod, keyword=last_order_keyword(scope, cod), helper=helper_attempts(scope, cod, inventory),
-        vehicle=latest_vehicle(scope, inventory, rows), apps=app_summary(scope),
-        device=device_signature(scope))
-
-
-def customer_features(scope: LeadScope, parts: FeatureParts | None = None) -> DataFrame:
-    """The feature row per install row (O22): seven left joins on customer_id."""
-    p = parts or feature_parts(scope)
+def customer_features(scope: LeadScope, latest: DataFrame | None = None) -> DataFrame:
+    """The feature row per install row.
+
+    Install rows meet one row of facts per customer, the region and the
+    inventory row of the highest id.
+    """
+    rows = install_rows(scope, latest if latest is not None else latest_install(scope))
+    inventory = scope.keep(lead_inventory(scope))      # the one scan of the log
+    facts = scope.keep(customer_facts(scope, inventory))
+    vehicle = latest_vehicle(scope, facts, inventory)
+    # How many summary rows a customer has; there is one for each install row.
+    per = rows.where(F.col("customer_id").isNotNull()).groupBy(F.col("customer_id").alias("_id")).agg(F.count(F.lit(1)).alias("_m"))
+    # One pair of numbers per customer id of the counted customer rows.
+    per = F.broadcast(per) if scope.customer_ids.small else per
     # The region dimension meets a lead-sized table here, so no big side is at
     # stake: AQE broadcasts it from its measured size at run time.
     regions = scope.wh.geo_regions.select(F.col("id").alias("_region_id"), F.col("name").alias("city"))
-    j = (p.cod.join(p.helper, "customer_id", "left")
-         .join(p.apps, "customer_id", "left")
-         .join(p.keyword.select("customer_id", "order_id", "trip_keyword_flag"), "customer_id", "left")
-         .join(p.device, "customer_id", "left")
-         .join(regions, F.col("geo_region_id") == F.col("_region_id"), "left")
-         .join(p.vehicle, "customer_id", "left"))
-    cols = []
-    for c in FEATURE_COLUMNS:
-        if c in APP_COUNT_NAMES:
-            cols.append(F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c))
-        else:
-            cols.append(F.col(c))
-    return j.select(*cols)
+    j = (rows.join(facts, "customer_id", "left").join(per, F.col("customer_id") == F.col("_id"), "left")
+         .withColumns(fact_columns(scope)))
+    j = order_summary(scope, j).withColumn("helper_category_attempts", F.col("_m") * F.coalesce(F.col("_helper"), F.lit(0)))
+    return (j.join(regions, F.col("geo_region_id") == F.col("_region_id"), "left")
+            .join(vehicle, "customer_id", "left").select(*FEATURE_COLUMNS))
 
 
 def created_at(as_of: str | None, cfg: ScoringConfig = DEFAULT) -> Column:
@@ -383,10 +454,8 @@ def created_at(as_of: str | None, cfg: ScoringConfig = DEFAULT) -> Column:
     return base + F.expr(f"INTERVAL {cfg.local_offset_seconds} SECONDS")
 
 
-def customer_score(scope: LeadScope, as_of: str | None = None,
-                   parts: FeatureParts | None = None) -> DataFrame:
+def customer_score(scope: LeadScope, as_of: str | None = None) -> DataFrame:
     """Feature row + eight flags + base score + created_at."""
-    f = customer_features(scope, parts)
-    return (f.withColumns(feature_flags())
+    return (customer_features(scope).withColumns(feature_flags())
             .withColumn("weighted_score", base_score(scope.cfg))
             .withColumn("created_at", created_at(as_of, scope.cfg)))

@@ -58,14 +58,15 @@ def _job(spark: SparkSession, sf: str, variant: str = "open") -> LeadJob:
     return job
 
 
-def _parts(spark, sf, variant="open"):
+def _p1(spark, sf, variant="open"):
     job = _job(spark, sf, variant)
-    return job, FT.feature_parts(job.scope)
+    return job, FT.customer_score(job.scope, AS_OF)
 
 
-def _p1(spark, sf, variant="open"):
-    job, parts = _parts(spark, sf, variant)
-    return job, FT.customer_score(job.scope, AS_OF, parts)
+def _orders(spark, sf):
+    """The lead scope and its order summary, which several operators start from."""
+    scope = _job(spark, sf).scope
+    return scope, scope.keep(FT.customer_orders(scope, FT.latest_install(scope)))
 
 
 # --- sources ----------------------------------------------------------------
@@ -171,19 +172,19 @@ def q_customer_installs(spark, sf):
 
 
 def q_customer_orders(spark, sf):
-    return _parts(spark, sf)[1].cod
+    return _orders(spark, sf)[1]
 
 
 def q_last_order_keyword(spark, sf):
-    return _parts(spark, sf)[1].keyword
+    return FT.last_order_keyword(*_orders(spark, sf))
 
 
 def q_customer_keys(spark, sf):
-    return FT.customer_keys(_parts(spark, sf)[1].cod)
+    return FT.customer_keys(_orders(spark, sf)[1])
 
 
 def q_helper_attempts(spark, sf):
-    return _parts(spark, sf)[1].helper
+    return FT.helper_attempts(*_orders(spark, sf))
 
 
 def q_latest_vehicle(spark, sf):
@@ -211,8 +212,7 @@ def q_device_flag(spark, sf):
 
 
 def q_customer_features(spark, sf):
-    job, parts = _parts(spark, sf)
-    return FT.customer_features(job.scope, parts)
+    return FT.customer_features(_job(spark, sf).scope)
 
 
 FLAG_COLUMNS = ["luxury_apps_flag", "competitor_apps_flag", "daily_convenience_apps_flag",
