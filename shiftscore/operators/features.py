@@ -24,13 +24,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT, ScoringConfig
 from ..functions.flags import app_category, base_score, feature_flags, premium_device
-from ..functions.keywords import address_match, match_any
+from ..functions.keywords import address_match
 from ..sources.warehouse import Warehouse
 from .joins import KeySet, proven_small
 from .topk import first_per_group
@@ -312,13 +312,13 @@ def app_summary(scope: LeadScope, rows: DataFrame | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("_n"))
     aggs = [F.sum(F.when(F.col("app_type") == cat, F.col("_n")).otherwise(F.lit(0))).alias(name)
             for cat, name in APP_COUNT_COLUMNS]
-    apps = F.array_sort(F.collect_list(F.struct("application_name", F.col("_n").cast("int").alias("_n"))))
+    apps = F.array_sort(F.collect_list(F.struct(F.col("application_name").alias("app"), F.col("_n").cast("int").alias("logged"))))
     return per_app.groupBy("customer_id").agg(*aggs, rendered_apps(apps).alias("app_installed"))
 
 
 def rendered_apps(apps: Column) -> Column:
     """``{a,a,b}`` from an array of (name, count) in order."""
-    names = F.transform(apps, lambda x: F.substr(F.repeat(F.concat(F.lit(","), x["application_name"]), x["_n"]), F.lit(2)))
+    names = F.transform(apps, lambda x: F.substr(F.repeat(F.concat(F.lit(","), x["app"]), x["logged"]), F.lit(2)))
     return F.concat(F.lit("{"), F.concat_ws(",", names), F.lit("}"))
 
 
@@ -354,6 +354,9 @@ def _ascending(*cols: str) -> list[Column]:
     return [x for k, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"_null{k}"), F.col(c))]
 
 
+FACTS = ("customer_id", "day", "app", "order_time", "order", "trip", "request", "helper", "device")
+
+
 def fact_rows(scope: LeadScope, inventory: DataFrame) -> DataFrame:
     """Everything known of lead customers as one tagged union.
 
@@ -362,62 +365,61 @@ def fact_rows(scope: LeadScope, inventory: DataFrame) -> DataFrame:
     orders and trips by day, inventory requests, listed apps, device events.
     """
     cfg, wh, ids = scope.cfg, scope.wh, scope.customer_ids
-    day = F.to_date(F.timestamp_seconds(F.col("pickup_time") + cfg.local_offset_seconds))
     orders = ids.restrict(wh.orders.where(F.col("status") == cfg.completed_status).select("order_id", "customer_id", "pickup_time"), "customer_id")
     trips = ids.restrict(wh.completed_spot_orders_mv.select(
         "order_id", "customer_id", "order_date", "pickup_time", "to_address", "from_address"), "customer_id")
     events = _lead_events(scope)
-    tie = [c for c in ("event_id",) if c in events.columns]
     # DESC NULLS FIRST: the greatest struct wins, and a NULL is greater than any value.
-    device = F.struct(*_ascending("event_timestamp", *tie, "device_model", "device_platform_name"))
-    parts = [
-        orders.select("customer_id", day.alias("day"), F.col("pickup_time").alias("order_time"), F.col("order_id").isNotNull().cast("int").alias("order")),
-        trips.select("customer_id", F.col("order_date").alias("day"),
-                     F.struct(*_ascending("pickup_time", "order_id", "to_address", "from_address")).alias("trip")),
-        inventory.select("customer_id", F.col("id").alias("request"),
-                         (F.col("id").isNotNull() & F.coalesce(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids), F.lit(False))).cast("int").alias("helper")),
-        app_category_rows(scope).select("customer_id", F.col("application_name").alias("app")),
-        events.select("customer_id", device.alias("device")),
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    device = F.struct(*_ascending(*[c for c in ("event_timestamp", "event_id") if c in events.columns], "device_model", "device_platform_name"))
+    trip = F.struct(*_ascending("pickup_time", "order_id", "to_address", "from_address"))
+    types = {f.name: f.dataType for f in trips.select(trip.alias("trip")).schema.fields + events.select(device.alias("device")).schema.fields}
+    types |= {"customer_id": "bigint", "day": "date", "app": "string", "order_time": "bigint", "order": "int", "request": "bigint", "helper": "int"}
+
+    def rows(df: DataFrame, **given: Column) -> DataFrame:
+        return df.select(*[given.get(c, F.col(c) if c == "customer_id" else F.lit(None)).cast(types[c]).alias(c) for c in FACTS])
+
+    is_helper = F.col("id").isNotNull() & F.coalesce(F.col("vehicle_id").isin(*cfg.helper_vehicle_ids), F.lit(False))
+    return reduce(DataFrame.unionAll, [
+        rows(orders, day=F.to_date(F.timestamp_seconds(F.col("pickup_time") + cfg.local_offset_seconds)),
+             order_time=F.col("pickup_time"), order=F.col("order_id").isNotNull()),
+        rows(trips, day=F.col("order_date"), trip=trip),
+        rows(inventory, request=F.col("id"), helper=is_helper),
+        rows(app_category_rows(scope), app=F.col("application_name")),
+        rows(events, device=device)])
 
 
 def customer_facts(scope: LeadScope, inventory: DataFrame) -> DataFrame:
     """One row for each lead customer with any fact.
 
-    The union is aggregated by customer and day, then by customer: the first
-    level is where the facts are shuffled, as one row per customer and day from
-    each map task, whatever a customer's share of them.  The trips of the last
-    order's day come out of the same pass, since that day's row has both.
+    The union is aggregated by customer, day and app, then by customer: the
+    first level is where the facts are shuffled, as one row per group from each
+    map task, whatever a customer's share of them.  The trips of the last
+    order's day come out of the same pass, since that day's row has both.  A
+    customer has at most one row per day and per listed app.
     """
-    apps = [F.count_if(F.col("app") == name).alias(f"_app{k}") for k, name in enumerate(scope.cfg.app_names)]
-    days = fact_rows(scope, inventory).groupBy("customer_id", "day").agg(
-        F.max("order_time").alias("pt"), F.sum("order").alias("n"), F.min("trip").alias("trip"),
-        F.max("request").alias("request"), F.sum("helper").alias("helper"), F.max("device").alias("device"), *apps)
+    groups = fact_rows(scope, inventory).groupBy("customer_id", "day", "app").agg(
+        F.max("order_time").alias("pt"), F.sum("order").alias("n"), F.min("trip").alias("trip"), F.max("request").alias("request"),
+        F.sum("helper").alias("helper"), F.max("device").alias("device"), F.count("app").alias("logged"))
     last = F.max(F.when(F.col("pt").isNotNull(), F.struct("day", "pt", "trip")))
-    return days.groupBy("customer_id").agg(
+    apps = F.collect_list(F.when(F.col("app").isNotNull(), F.struct("app", F.col("logged").cast("int").alias("logged"))))
+    kind = app_category(F.col("app"), scope.cfg)
+    return groups.groupBy("customer_id").agg(
         last.alias("last"), F.sum("n").alias("_n"), F.max("request").alias("_max_id"), F.sum("helper").alias("_helper"),
-        F.max("device").alias("device"), *[F.sum(f"_app{k}").alias(f"_app{k}") for k in range(len(apps))])
+        F.max("device").alias("device"), F.array_sort(apps).alias("apps"),
+        *[F.sum(F.when(kind == cat, F.col("logged")).otherwise(F.lit(0))).alias(name) for cat, name in APP_COUNT_COLUMNS])
 
 
 def fact_columns(scope: LeadScope) -> dict[str, Column]:
     """The feature columns that follow from a row of :func:`customer_facts`."""
-    cfg = scope.cfg
-    trip = F.col("last.trip")
-    hit = F.coalesce(match_any(trip["to_address"], cfg.order_address_keywords), F.lit(False)) | match_any(
-        trip["from_address"], cfg.order_address_keywords)
-    count = {name: F.coalesce(F.col(f"_app{k}"), F.lit(0)) for k, name in enumerate(cfg.app_names)}
-    by_type = {cat: reduce(lambda a, b: a + b, [count[n] for n in names]) for cat, names in cfg.app_categories}
-    listed = F.array(*[F.struct(F.lit(n).alias("application_name"), count[n].cast("int").alias("_n")) for n in sorted(count)])
-    some = reduce(lambda a, b: a + b, count.values()) > 0
+    cfg, last, device = scope.cfg, F.col("last"), F.col("device")
+    hit = address_match([last["trip"]["to_address"], last["trip"]["from_address"]], cfg.order_address_keywords)
     return {
-        "_last_pt": F.col("last.pt"), "order_id": trip["order_id"],
-        "trip_keyword_flag": F.when(F.col("last").isNotNull(), F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))),
-        **{name: by_type.get(cat, F.lit(0)).cast("bigint") for cat, name in APP_COUNT_COLUMNS},
-        "app_installed": F.when(some, rendered_apps(F.filter(listed, lambda x: x["_n"] > 0))),
-        "device_model": F.col("device.device_model"),
-        "mobile_device_type": F.when(F.col("device").isNotNull(), premium_device(
-            F.col("device.device_platform_name"), F.col("device.device_model"), cfg)),
+        "_last_pt": last["pt"], "order_id": last["trip"]["order_id"],
+        "trip_keyword_flag": F.when(last.isNotNull(), F.when(hit, F.lit(C.KEYWORD_TRIP)).otherwise(F.lit(C.OTHER_TRIP))),
+        **{name: F.coalesce(F.col(name), F.lit(0).cast("bigint")) for _, name in APP_COUNT_COLUMNS},
+        "app_installed": F.when(F.size("apps") > 0, rendered_apps(F.col("apps"))),
+        "device_model": device["device_model"],
+        "mobile_device_type": F.when(device.isNotNull(), premium_device(device["device_platform_name"], device["device_model"], cfg)),
     }
 
 
@@ -433,16 +435,14 @@ def customer_features(scope: LeadScope, latest: DataFrame | None = None) -> Data
     inventory = scope.keep(lead_inventory(scope))      # the one scan of the log
     facts = scope.keep(customer_facts(scope, inventory))
     vehicle = latest_vehicle(scope, facts, inventory)
-    # How many summary rows a customer has; there is one for each install row.
-    per = rows.where(F.col("customer_id").isNotNull()).groupBy(F.col("customer_id").alias("_id")).agg(F.count(F.lit(1)).alias("_m"))
-    # One pair of numbers per customer id of the counted customer rows.
-    per = F.broadcast(per) if scope.customer_ids.small else per
     # The region dimension meets a lead-sized table here, so no big side is at
     # stake: AQE broadcasts it from its measured size at run time.
     regions = scope.wh.geo_regions.select(F.col("id").alias("_region_id"), F.col("name").alias("city"))
-    j = (rows.join(facts, "customer_id", "left").join(per, F.col("customer_id") == F.col("_id"), "left")
-         .withColumns(fact_columns(scope)))
-    j = order_summary(scope, j).withColumn("helper_category_attempts", F.col("_m") * F.coalesce(F.col("_helper"), F.lit(0)))
+    # How many summary rows a customer has: one for each install row.  Rows without an id are no group, and are spread.
+    own = Window.partitionBy("customer_id", F.when(F.col("customer_id").isNull(), F.xxhash64("mobile", "source")))
+    attempts = F.when(F.col("customer_id").isNotNull(), F.count(F.lit(1)).over(own) * F.coalesce(F.col("_helper"), F.lit(0)))
+    j = rows.join(facts, "customer_id", "left").withColumns({**fact_columns(scope), "helper_category_attempts": attempts})
+    j = order_summary(scope, j)
     return (j.join(regions, F.col("geo_region_id") == F.col("_region_id"), "left")
             .join(vehicle, "customer_id", "left").select(*FEATURE_COLUMNS))
 

@@ -19,17 +19,18 @@ def proven_small(rows: DataFrame, limit: int) -> bool:
 
 
 class KeySet:
-    """Non-NULL keys, kept in the cache.
+    """Non-NULL keys.
 
     ``small`` says that the rows with keys are proven few: they are then
-    broadcast as they are, otherwise made distinct first.
+    broadcast as they are, otherwise made distinct and kept in the cache.
     """
 
     def __init__(self, rows: DataFrame, key: Column | str, small: bool = False):
         c = F.col(key) if isinstance(key, str) else key
         self.small = small
         keys = rows.select(c.alias("key")).where("key IS NOT NULL")
-        self.frame = (keys if small else keys.distinct()).persist(StorageLevel.MEMORY_AND_DISK)
+        # A small set is cut from rows that are cached themselves, and one query broadcasts it once.
+        self.frame = keys if small else keys.distinct().persist(StorageLevel.MEMORY_AND_DISK)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.frame) if self.small else self.frame
@@ -41,4 +42,5 @@ class KeySet:
         return df.join(k, c == k["key"], "left_semi")
 
     def release(self) -> None:
-        self.frame.unpersist()
+        if not self.small:
+            self.frame.unpersist()
