@@ -125,6 +125,9 @@ class ScoringConfig:
     # Key sets proven to have at most this many rows are broadcast (as longs
     # and short texts, tens of megabytes); larger ones are shuffled.
     broadcast_key_limit: int = 2_000_000
+    # Beyond that, big relations are cut before their shuffle by a filter of
+    # this many hash values (2 million words of 64 bits are broadcast at most); 0 is none.
+    key_filter_slots: int = 1 << 27
 
     @property
     def app_names(self) -> tuple:

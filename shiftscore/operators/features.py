@@ -6,16 +6,16 @@ Shape of the plan, built for a lead list that is small next to the warehouse:
    rows and the lead customers are counted once each; when a count proves the
    keys few they are broadcast, so every big relation (orders, inventory logs,
    app logs, app events, sign-ups) is cut to lead-relevant rows by a map-side
-   semi join before any shuffle.  Filters (status, app names, installed) are
-   pushed into the Parquet scan.
-2. Facts are aggregated per customer *before* they meet the fan-out rows of
-   the lead side, so a customer with a third of all orders is reduced by
-   partial aggregation instead of being joined row by row.
+   semi join before any shuffle; beyond that a filter of fixed size cuts it
+   there.  Filters (status, app names, installed) are pushed into the Parquet
+   scan.
+2. P1 takes all facts of lead customers as one tagged union and aggregates it
+   by customer, day and app, then by customer (:func:`customer_facts`), before
+   they meet the fan-out rows of the lead side, so a customer with a third of
+   all facts is reduced by partial aggregation instead of being joined row by
+   row.  The operators of single facts (O24-O30) stand on their own beside it.
 3. Top-1-per-group steps use :func:`first_per_group` (a group limit before the
    shuffle); no step collects an unbounded group.
-4. All feature joins are keyed by ``customer_id``; the lead-side aggregates are
-   hash-partitioned on it, so the final left-join chain reuses one
-   partitioning.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ class LeadScope:
               few: bool | None = None) -> "LeadScope":
         """``few``: whether the lead rows are known to be within the broadcast limit (else they are counted)."""
         few = proven_small(leads, cfg.broadcast_key_limit) if few is None else few
-        phones = KeySet(leads, F.col("mobile").cast("string"), few)
+        phones = KeySet(leads, F.col("mobile").cast("string"), few, cfg.key_filter_slots)
         cust = phones.restrict(wh.customers.select("id", "mobile", "geo_region_id"), "mobile")
         cust = cust.persist(StorageLevel.MEMORY_AND_DISK)
         return cls(wh=wh, phones=phones, customers=cust, cfg=cfg, _held=[cust])
@@ -85,7 +85,7 @@ class LeadScope:
         if self._customer_ids is None:
             # Counting the lead customers' rows also fills their cache.
             few = proven_small(self.customers, self.cfg.broadcast_key_limit)
-            self._customer_ids = KeySet(self.customers, "id", few)
+            self._customer_ids = KeySet(self.customers, "id", few, self.cfg.key_filter_slots)
             self._held.append(self._customer_ids)
         return self._customer_ids
 
@@ -96,7 +96,7 @@ class LeadScope:
 
     def keys(self, df: DataFrame, col, small: bool = False) -> KeySet:
         """Key set of ``df[col]``; ``small`` if it has no more keys than a set already counted."""
-        ks = KeySet(df, col, small)
+        ks = KeySet(df, col, small, self.cfg.key_filter_slots)
         self._held.append(ks)
         return ks
 
@@ -373,7 +373,8 @@ def fact_rows(scope: LeadScope, inventory: DataFrame) -> DataFrame:
     device = F.struct(*_ascending(*[c for c in ("event_timestamp", "event_id") if c in events.columns], "device_model", "device_platform_name"))
     trip = F.struct(*_ascending("pickup_time", "order_id", "to_address", "from_address"))
     types = {f.name: f.dataType for f in trips.select(trip.alias("trip")).schema.fields + events.select(device.alias("device")).schema.fields}
-    types |= {"customer_id": "bigint", "day": "date", "app": "string", "order_time": "bigint", "order": "int", "request": "bigint", "helper": "int"}
+    types |= {"customer_id": "bigint", "day": "date", "app": "string", "order": "int", "helper": "int",
+              "order_time": orders.schema["pickup_time"].dataType, "request": inventory.schema["id"].dataType}
 
     def rows(df: DataFrame, **given: Column) -> DataFrame:
         return df.select(*[given.get(c, F.col(c) if c == "customer_id" else F.lit(None)).cast(types[c]).alias(c) for c in FACTS])
