@@ -2,8 +2,8 @@
 
 On a cluster these are catalog tables or Parquet folders; ``load_warehouse``
 reads them with column pruning left to Catalyst (only the columns a plan
-selects reach ``ReadSchema``).  ``spark.read.jdbc`` can stand in for a live
-database: pass a ``reader`` callable.
+selects reach ``ReadSchema``).  A live database is read in parallel by the
+``reader`` of :mod:`.jdbc`.
 """
 
 from __future__ import annotations
