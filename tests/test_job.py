@@ -133,4 +133,4 @@ def test_few_jobs_before_the_first_action(spark):
         ran = len(sc.statusTracker().getJobIdsForGroup("run"))
         sc.setJobGroup("other", "other")
     print("jobs", planned, ran)
-    assert planned <= 15 and planned + ran <= 65
+    assert planned <= 11 and planned + ran <= 45
