@@ -68,28 +68,29 @@ def with_targets(sources: DataFrame, budget: int, max_repeats: int = MAX_REPEATS
 def schedule(sized: DataFrame, targets: DataFrame, budget: int, n_rows: int, seed: int = 42) -> DataFrame:
     """One row per queued copy of a document: its columns, ``epoch``, ``finish`` and ``taken_copy``.
 
-    ``sized`` holds ``doc_id, source, size, row``, with ``row`` unique.
+    ``sized`` holds ``doc_id, source, size, row``, with ``row`` unique.  Documents
+    without words and sources with target 0 are never queued.
     """
     slots = slots_for(n_rows, sized.sparkSession)
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = sized.withColumn("key", key)
+    rows = sized.filter("size > 0").withColumn("key", key)
     first_bits = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     rows = rows.withColumn("slot", F.shiftright(first_bits * slots, 32))
     rows = running_sum(rows, ["source"], "slot", ["key", "doc_id", "row"], "size", "through").drop("slot")
 
-    t = targets.select(F.col("source").alias("_source"), "source_size", "target")
+    t = targets.filter("target > 0").select(F.col("source").alias("_source"), "source_size", "target")
     rows = rows.join(t, rows["source"].eqNullSafe(t["_source"])).drop("_source")
-    epochs = F.when(F.col("target") > 0, F.ceil(F.col("target") / F.col("source_size"))).otherwise(1).cast("int")
+    epochs = F.ceil(F.col("target") / F.col("source_size")).cast("int")
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), epochs)))
     words = (F.col("epoch") - 1) * F.col("source_size") + F.col("through")
-    rows = rows.withColumn("finish", F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(float("inf"))))
+    rows = rows.withColumn("finish", words / F.col("target"))
 
     # Slots of equal width up to time 1, where all targets are met, and ever wider ones after it.
     place = F.when(F.col("finish") <= 1, F.col("finish")).otherwise(2 - 1 / F.col("finish"))
     rows = rows.withColumn("slot", F.floor(place * slots))
     order = ["finish", F.col("source").asc_nulls_last(), "epoch", "key", "doc_id", "row"]
     rows = running_sum(rows, [], "slot", order, "size", "total")
-    return rows.withColumn("taken_copy", (F.col("total") <= budget) & (F.col("target") > 0)).drop("slot", "through", "total", "key")
+    return rows.withColumn("taken_copy", F.col("total") <= budget).drop("slot", "through", "total", "key")
 
 
 def size_documents(docs: DataFrame) -> DataFrame:
@@ -115,10 +116,13 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, budget: int | None =
     total, n_rows = weighted.agg(F.sum("source_size"), F.sum("source_rows")).first()
     budget = int(total or 0) if budget is None else budget
     targets = with_targets(weighted, budget)
-    copies = schedule(sized, targets, budget, n_rows or 0, seed)
-    return (copies.groupBy("row", "doc_id", "source", "size", "source_size", "target", "ident")
-            .agg(F.sum(F.col("taken_copy").cast("long")).alias("times"))
-            .withColumn("taken", F.col("times") * F.col("size")).drop("row"))
+    columns = ["row", "doc_id", "source", "size", "source_size", "target", "ident"]
+    queued = schedule(sized, targets, budget, n_rows or 0, seed).groupBy(*columns).agg(
+        F.sum(F.col("taken_copy").cast("long")).alias("times"))
+    t = targets.select(F.col("source").alias("_source"), "source_size", "target")
+    left = sized.join(t, sized["source"].eqNullSafe(t["_source"])).filter("size = 0 OR NOT target > 0").select(
+        *columns, F.lit(0).cast("long").alias("times"))
+    return queued.union(left).withColumn("taken", F.col("times") * F.col("size")).drop("row")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 42) -> DataFrame:
