@@ -13,9 +13,10 @@ bit distance, and count in the first table where they meet.
 
 Edge cases: a NULL text is empty; a text without words has fingerprint zero, one
 with a single word has that word as its term; rows without doc_id come first in
-order; rows that repeat a doc_id are in order of their text hash, and rows that
-are equal in both are one; an empty table gives no row, a single row is its own
-next document.
+order; rows that repeat a doc_id are in order of their text hash; rows that are
+equal in both have one result each, all with the same next document, which is the
+first that differs from them; an empty table gives no row, a document without
+another one is its own next document.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,20 +32,20 @@ from shiftscore.llm.common import WORD, documents, keep, shuffle_partitions
 
 MAX_WEIGHT = 32
 RADIUS, BLOCKS = 3, 6
-#: Pairs of adjacent words: the second one is only looked at, so that it can be the first of the next pair.
-PAIRS = rf"(?=({WORD}[\x20\x09-\x0D]+{WORD})){WORD}"
 #: Characters of text in one block of documents that stand together in order, and the most blocks.
 BLOCK_CHARS, MOST_BLOCKS = 16_000_000, 20_000
+#: Rows for each block in the sample that its bounds are drawn from; bounds change the layout only.
+BLOCK_SAMPLE = 60
 
 LANES = (1 << 32) | 1
 LOW = (1 << 32) - 1
 
 
-def terms(text: Column) -> Column:
-    """Array of a text's terms, repeats included."""
-    low = F.lower(text)
-    pairs = F.regexp_extract_all(low, F.lit(PAIRS), F.lit(1))
-    return F.when(F.size(pairs) > 0, pairs).otherwise(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)))
+def terms(words: Column) -> Column:
+    """Array of the terms of an array of words, repeats included: neighbours joined by a space, or the only word."""
+    n = F.size(words)
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))  # NULL after the last word
+    return F.when(n > 1, F.slice(pairs, F.lit(1), F.greatest(n - 1, F.lit(0)))).otherwise(words)
 
 
 def vote_sums() -> list[Column]:
@@ -63,12 +65,14 @@ def majority() -> Column:
 
 
 def fingerprints(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` and ``fingerprint`` of every row's text; rows equal in ``keys`` count as one text."""
-    exploded = df.select(*keys, F.explode_outer(terms(F.col(text))).alias("_term"))
+    """``keys``, ``fingerprint`` and ``copies``: rows equal in ``keys`` count as one text, ``copies`` times."""
+    words = df.select(*keys, F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)).alias("_words"))
+    exploded = words.select(*keys, F.posexplode_outer(terms(F.col("_words"))).alias("_at", "_term"))
     weighted = exploded.select(
-        *keys, F.xxhash64("_term").alias("_hash"),
+        *keys, F.xxhash64("_term").alias("_hash"), (F.coalesce("_at", F.lit(0)) == 0).cast("long").alias("_first"),
         F.when(F.col("_term").isNull(), 0).otherwise(F.least(F.length("_term"), F.lit(MAX_WEIGHT))).cast("long").alias("_weight"))
-    return weighted.groupBy(*keys).agg(*vote_sums()).select(*keys, majority().alias("fingerprint"))
+    return weighted.groupBy(*keys).agg(*vote_sums(), F.sum("_first").alias("copies")).select(
+        *keys, majority().alias("fingerprint"), "copies")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -76,49 +80,78 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / 64.0
 
 
-def block_of(value: Column, bounds: list[int]) -> Column:
-    """How many of the ascending ``bounds`` are no greater than ``value``, by binary search; NULL is before all."""
+def block_of(value: tuple[Column, Column], bounds: list[tuple[int, int]]) -> Column:
+    """How many of the ascending pairs ``bounds`` are no greater than the pair ``value``, by binary search."""
     if not bounds:
         return F.lit(0)
-    table = F.array(*[F.lit(b).cast("long") for b in bounds])
+    first, second = (F.array(*[F.lit(b[k]).cast("long") for b in bounds]) for k in range(2))
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
-    found = F.aggregate(steps, F.lit(0), lambda at, s: F.when(
-        (at + s <= len(bounds)) & (F.get(table, at + s - 1) <= value), at + s).otherwise(at))
-    return F.when(value.isNull(), 0).otherwise(found)
+
+    def reached(k: Column) -> Column:
+        return (F.get(first, k) < value[0]) | ((F.get(first, k) == value[0]) & (F.get(second, k) <= value[1]))
+
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(bounds)) & reached(at + s - 1), at + s).otherwise(at))
+
+
+def block_bounds(pairs: DataFrame, n: int, blocks: int) -> tuple[list[tuple[int, int]], dict[int, int]]:
+    """Ascending bounds that cut ``pairs`` (two longs, ``n`` rows) into about ``blocks`` blocks; and into how many parts the blocks of hot pairs are dealt.
+
+    The bounds come from a sample of at most ``BLOCK_SAMPLE`` rows a block in
+    expectation.  A pair that has more of it than a block should have is a block
+    of its own, and is dealt into parts.
+    """
+    drawn = pairs.filter(F.rand(42) < BLOCK_SAMPLE * blocks / max(n, 1)).toArrow()
+    first, second = (drawn.column(k).to_numpy() for k in range(2))
+    order = np.lexsort((second, first))
+    chosen, counts = np.unique(np.stack((first, second), axis=1), axis=0, return_counts=True)
+    each = max(1.0, len(first) / blocks)
+    bounds = {(int(first[k]), int(second[k])) for k in order[[len(order) * k // blocks for k in range(1, blocks)]]} if len(order) else set()
+    hot = {(int(a), int(b)): math.ceil(c / each) for (a, b), c in zip(chosen[counts > each], counts[counts > each])}
+    bounds |= hot.keys() | {(a, b + 1) for a, b in hot if b + 1 < 1 << 63}
+    bounds = sorted(bounds)
+    return bounds, {bounds.index(p) + 1: parts for p, parts in hot.items()}
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, text, next_id, next_key, next_text``: each document and the next one by doc_id (after the last: the first).
 
-    Documents are dealt into blocks of adjacent ids, bounded by quantiles; the
-    first document of each block is also sent to the block before it.  One
-    shuffle moves each text once, and only block bounds and the first id of
-    each block come to the driver.
+    Documents are dealt into blocks of adjacent (doc_id, text hash), and each
+    block is also sent the first document of the one after it.  One shuffle
+    moves each text once, and only block bounds and the first pair of each block
+    come to the driver.  Rows without an id, or with one that repeats, are cut
+    by their text hash, and rows that are equal in both are dealt into parts.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    rows = rows.withColumns({"order_id": F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")), "text_key": F.xxhash64("text")})
     chars, n = rows.agg(F.sum(F.length("text").cast("long")), F.count("*")).first()
     blocks = min(MOST_BLOCKS, max(shuffle_partitions(spark), math.ceil((chars or 0) / BLOCK_CHARS)), max(1, n or 0))
-    found = rows.agg(F.percentile_approx("doc_id", [k / blocks for k in range(1, blocks)] or [0.5], 100_000)).first()[0] or []
-    bounds = sorted(set(found))
-    rows = rows.withColumn("block", block_of(F.col("doc_id"), bounds))
-    first = rows.groupBy("block").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).orderBy("block").collect()  # a row for each block
-    heads = [(first[k - 1]["block"], r["first"]["doc_id"], r["first"]["text_key"]) for k, r in enumerate(first)]
-    head = spark.createDataFrame(heads, "to_block int, _id long, _key long")
-    marked = rows.join(F.broadcast(head), rows["doc_id"].eqNullSafe(head["_id"]) & (rows["text_key"] == head["_key"]), "left")
-    # `tail` rows are copies of the next block's first document; they stand last and are only looked at.
-    copies = F.when(F.col("to_block").isNull(), F.array(F.struct(F.col("block"), F.lit(0).alias("tail")))).otherwise(
-        F.array(F.struct(F.col("block"), F.lit(0).alias("tail")), F.struct(F.col("to_block").alias("block"), F.lit(1).alias("tail"))))
-    dealt = marked.select("doc_id", "text_key", "text", F.explode(copies).alias("at")).select(
-        "doc_id", "text_key", "text", "at.block", "at.tail")
-    order = Window.partitionBy("block").orderBy("tail", F.col("doc_id").asc_nulls_first(), "text_key")
-    before = F.lag(F.struct("tail", "doc_id", "text_key")).over(order)
-    one = dealt.withColumn("_before", before).filter(
-        F.col("_before").isNull() | ~(F.col("_before.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_before.text_key") == F.col("text_key"))
-                                      & (F.col("_before.tail") == F.col("tail"))))
-    after = F.lead(F.struct("doc_id", "text_key", "text")).over(order)
-    return one.withColumn("_next", after).filter("tail = 0").select(
+    bounds, parts = block_bounds(rows.select("order_id", "text_key"), n or 0, blocks)
+    blocked = rows.withColumn("block", block_of((F.col("order_id"), F.col("text_key")), bounds))
+    first = blocked.groupBy("block").agg(F.min(F.struct("order_id", "text_key")).alias("first")).orderBy("block").collect()  # a row for each block
+
+    # Each part of a block gets a copy of the next block's first document; it stands last and is only looked at.
+    heads = [(first[k - 1]["block"], r["first"]["order_id"], r["first"]["text_key"], parts.get(first[k - 1]["block"], 1))
+             for k, r in enumerate(first)]
+    head = spark.createDataFrame(heads, "to_block int, _id long, _key long, _parts int")
+    tails = rows.join(F.broadcast(head), (rows["order_id"] == head["_id"]) & (rows["text_key"] == head["_key"])).groupBy(
+        "to_block", "_parts", "doc_id", "order_id", "text_key").agg(F.first("text").alias("text"))
+    columns = ["doc_id", "order_id", "text_key", "text", "block", "part", "tail"]
+    part = F.lit(0)
+    if parts:
+        dealt = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
+        part = F.pmod(F.monotonically_increasing_id(), F.coalesce(F.element_at(dealt, F.col("block")), F.lit(1))).cast("int")
+    dealt = blocked.select("*", part.alias("part"), F.lit(0).alias("tail")).select(columns).union(
+        tails.select("*", F.col("to_block").alias("block"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"),
+                     F.lit(1).alias("tail")).select(columns))
+
+    # Backwards, so that the next one that differs is the last one seen.
+    order = Window.partitionBy("block", "part").orderBy(F.desc("tail"), F.desc("order_id"), F.desc("text_key"))
+    here, seen = F.struct("doc_id", "text_key", "text"), F.lag(F.struct("doc_id", "text_key", "text")).over(order)
+    differs = ~F.col("_seen.doc_id").eqNullSafe(F.col("doc_id")) | (F.col("_seen.text_key") != F.col("text_key"))
+    after = F.last(F.when(F.col("_seen").isNotNull() & differs, F.col("_seen")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return dealt.withColumn("_seen", seen).withColumn("_next", F.coalesce(after, here)).filter("tail = 0").select(
         "doc_id", "text_key", "text", F.col("_next.doc_id").alias("next_id"), F.col("_next.text_key").alias("next_key"),
         F.col("_next.text").alias("next_text"))
 
@@ -165,7 +198,8 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("body"))))).select(
         *keys[:-1], "_side.is_edited", "_side.body")
     voted = fingerprints(sides, keys, "body")
-    per_doc = keep(voted.groupBy(*keys[:-1]).agg(
+    per_doc = keep(voted.groupBy(*keys[:-1]).agg(  # one row for rows that are equal in id and text
+        F.max("copies").alias("copies"),
         F.max(F.when(~F.col("is_edited"), F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("is_edited"), F.col("fingerprint"))).alias("edited_fingerprint")))
 
@@ -173,7 +207,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = per_doc.join(following, per_doc["next_id"].eqNullSafe(following["_id"]) & (per_doc["next_key"] == following["_key"]))
 
     distinct = keep(per_doc.groupBy("fingerprint").agg(
-        F.count("*").alias("n"), F.max((F.pmod("doc_id", F.lit(100)) == 0).cast("int")).alias("asked")))
+        F.sum("copies").alias("n"), F.max((F.pmod("doc_id", F.lit(100)) == 0).cast("int")).alias("asked")))
     near = within_radius(distinct.filter("asked = 1").select("fingerprint"), distinct.select("fingerprint"))
     weights = distinct.select(F.col("fingerprint").alias("other"), "n")
     found = near.join(weights, "other").groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
@@ -182,7 +216,8 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text_of(c: Column) -> Column:
         return F.lower(F.lpad(F.hex(c), 16, "0"))
 
-    return linked.join(found, "fingerprint", "left").select(
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return linked.join(found, "fingerprint", "left").withColumn("_copy", each).select(
         "doc_id", "n_chars", F.lower(F.hex("edited_hash")).alias("edited_sha256"),
         text_of(F.col("fingerprint")).alias("fingerprint"), text_of(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),

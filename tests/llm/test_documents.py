@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -113,11 +114,11 @@ def test_edits_that_are_null_or_outside(spark):
 def plain_fingerprint(text):
     import xxhash
 
-    low = (text or "").lower()
-    terms = [m.group(1) for m in re.finditer(fingerprints.PAIRS, low)] or R.words(low)
+    words = R.words((text or "").lower())
+    terms = [f"{a} {b}" for a, b in zip(words, words[1:])] or words
     votes, total = [0] * 64, 0
     for term in terms:
-        h, w = xxhash.xxh64_intdigest(term.encode(), 42), min(len(term), fingerprints.MAX_WEIGHT)
+        h, w = xxhash.xxh64_intdigest(term.encode(), 42), min(len(term), 32)
         total += w
         votes = [v + w * (h >> b & 1) for b, v in enumerate(votes)]
     return sum(1 << b for b in range(64) if 2 * votes[b] > total)
@@ -129,18 +130,20 @@ def test_fingerprints(spark, edge):
     def text_key(t):
         return xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64 if xxhash.xxh64_intdigest(t.encode(), 42) >> 63 else 0)
 
-    one = sorted({(r[0] is not None, r[0] or 0, text_key(r[1] or ""), r[1] or "") for r in ROWS})
-    rows = []
+    every = Counter((r[0] is not None, r[0] or 0, text_key(r[1] or ""), r[1] or "") for r in ROWS)
+    one, rows = sorted(every), []
+    assert len(one) < len(ROWS)
     for k, (has, doc_id, _, text) in enumerate(one):
         after = one[(k + 1) % len(one)][3]
         part = len(text) // 4
         edited = text[:len(text) - part] + after[:part]
         a, b, c = plain_fingerprint(text), plain_fingerprint(edited), plain_fingerprint(after)
-        rows.append([doc_id if has else None, len(text), R.sha(edited), f"{a:016x}", f"{b:016x}",
-                     1 - bin(a ^ b).count("1") / 64, 1 - bin(a ^ c).count("1") / 64])
+        rows += every[one[k]] * [[doc_id if has else None, len(text), R.sha(edited), f"{a:016x}", f"{b:016x}",
+                                  1 - bin(a ^ b).count("1") / 64, 1 - bin(a ^ c).count("1") / 64]]
     got = by_row(registry.QUERIES["op2_fingerprints"](spark, edge), "doc_id", "n_chars", "edited_sha256", "fingerprint",
                  "edited_fingerprint", "near_edited", "near_next")
     want = sorted(rows, key=repr)
+    assert len(got) == len(want) == len(ROWS)
     assert [g for g, w in zip(got, want) if g != w] == [w for g, w in zip(got, want) if g != w]
 
 
@@ -153,6 +156,38 @@ def test_next_document_across_blocks(spark):
     assert got == {i: (j, f"text {j}") for i, j in zip(ids, ids[1:] + ids[:1])}
 
 
+def test_next_document_among_hot_ids_and_rows(spark):
+    rows = [(None, f"text {i}") for i in range(900)] + [(7, "the same")] * 800 + [(i, f"other {i % 3}") for i in range(400)] * 2
+    random.Random(2).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    made = fingerprints.with_next(df)
+    sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    out = made.collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter(rows) and max(sizes) < len(rows) / 2
+    one = sorted({(r.doc_id is not None, r.doc_id or 0, r.text_key, r.text) for r in out})
+    after = {(b[1] if b[0] else None, b[3]): a[3] for b, a in zip(one, one[1:] + one[:1])}
+    assert all(r.next_text == after[(r.doc_id, r.text)] for r in out)
+    same = spark.createDataFrame([(1, "a")] * 5, "doc_id long, text string")
+    assert [r.next_text for r in fingerprints.with_next(same).collect()] == ["a"] * 5
+
+
+def test_hot_rows_are_cut_into_blocks(spark):
+    rows = [(-(1 << 63), k * 1_000_003) for k in range(4000)] + [(5, 1)] * 4000 + [(k, 1) for k in range(10, 4010)]
+    pairs = spark.createDataFrame(rows, "a long, b long")
+    bounds, parts = fingerprints.block_bounds(pairs, len(rows), 24)
+    got = pairs.groupBy(fingerprints.block_of((F.col("a"), F.col("b")), bounds).alias("block")).count().collect()
+    sizes = sorted(r["count"] / parts.get(r["block"], 1) for r in got)
+    assert sizes[-1] <= 2 * len(rows) / 24 and len(parts) == 1
+
+
+def test_fingerprint_of_a_long_word(spark):
+    rows = [(1, "x" * 1_000_000), (2, "one " + "y" * 1_000_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begun = time.monotonic()
+    got = {r.doc_id: r.fingerprint & (1 << 64) - 1 for r in fingerprints.fingerprints(df, ["doc_id"], "text").collect()}
+    assert got == {k: plain_fingerprint(t) for k, t in rows} and time.monotonic() - begun < 20
+
+
 def test_block_tables_find_all(spark):
     rng = random.Random(3)
     base = [rng.getrandbits(64) for _ in range(40)]
@@ -234,6 +269,21 @@ def test_mixing(spark, edge):
     assert by_row(again, *again.columns) == sorted(([r[c] for c in again.columns] for r in rows), key=repr)
 
 
+def test_documents_without_words_are_not_queued(spark):
+    rows = [(i, "" if i % 3 else "one two three", "empty" if i % 3 == 1 else f"s{i % 2}") for i in range(6000)]
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.keep(mixing.size_documents(docs_))
+    targets = mixing.with_targets(mixing.cyclic_weights(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), 6000)
+    copies = mixing.schedule(sized, targets, 6000, 6000)
+    assert copies.filter("size = 0").isEmpty()
+    place = F.floor(F.least(F.col("finish"), F.lit(1.0)) * 64)
+    slots = sorted(r["count"] for r in copies.filter("finish < 1").groupBy(place).count().collect())
+    assert slots[-1] < 10 * slots[len(slots) // 2]
+    out = mixing.mix(docs_).collect()
+    assert Counter(r.doc_id for r in out) == Counter(range(6000))
+    assert all(r.taken == r.times == 0 and r.source_size is not None for r in out if not r.size)
+
+
 def test_capped_targets_reshare(spark):
     sources = spark.createDataFrame([("a", 1, 1), ("b", 10, 5), ("c", 1000, 1), ("d", 0, 7), (None, 3, 100)],
                                     "source string, source_size long, weight long")
