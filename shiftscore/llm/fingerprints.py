@@ -147,11 +147,14 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     # Backwards, so that the next one that differs is the last one seen.
     order = Window.partitionBy("block", "part").orderBy(F.desc("tail"), F.desc("order_id"), F.desc("text_key"))
-    here, seen = F.struct("doc_id", "text_key", "text"), F.lag(F.struct("doc_id", "text_key", "text")).over(order)
-    differs = ~F.col("_seen.doc_id").eqNullSafe(F.col("doc_id")) | (F.col("_seen.text_key") != F.col("text_key"))
-    after = F.last(F.when(F.col("_seen").isNotNull() & differs, F.col("_seen")), ignorenulls=True).over(
+    # Plain columns, not one of structs, which would be made before the shuffle and move each text twice.
+    seen = dealt.withColumns({f"_{c}": F.lag(c).over(order) for c in ("tail", "doc_id", "text_key", "text")})
+    differs = ~F.col("_doc_id").eqNullSafe(F.col("doc_id")) | (F.col("_text_key") != F.col("text_key"))
+    other = F.struct(F.col("_doc_id").alias("doc_id"), F.col("_text_key").alias("text_key"), F.col("_text").alias("text"))
+    after = F.last(F.when(F.col("_tail").isNotNull() & differs, other), ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return dealt.withColumn("_seen", seen).withColumn("_next", F.coalesce(after, here)).filter("tail = 0").select(
+    here = F.struct("doc_id", "text_key", "text")
+    return seen.withColumn("_next", F.coalesce(after, here)).filter("tail = 0").select(
         "doc_id", "text_key", "text", F.col("_next.doc_id").alias("next_id"), F.col("_next.text_key").alias("next_key"),
         F.col("_next.text").alias("next_text"))
 
