@@ -44,11 +44,13 @@ from shiftscore.session import delete_path
 #: Shares of the training tokens from which words, and pairs and triples, are also broadcast.
 WORD_SHARE, ENTRY_SHARE = 5e-7, 1e-6
 LEAST_COUNT, DISCOUNT = 2, 0.75
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: Spark's setting that removes a query's shuffle files when the query ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tokens that a task counts before it hands on what it has.
-FLUSH_TOKENS = 2_000_000
+FLUSH_TOKENS = 250_000
+#: Rows of counts that a task hands on at a time.
+BATCH_ROWS = 65_536
 #: Bits of a filter for each key, and the most bits, as a power of two.
 KEY_BITS, FILTER_BITS = 12, 28
 #: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
@@ -162,8 +164,9 @@ def counted(docs: DataFrame, grams_of: Callable[[np.ndarray, np.ndarray], list])
         def flush() -> Iterator[pa.RecordBatch]:
             lengths = np.cumsum([0, *(len(own) for own, _ in held)])
             own = np.concatenate([own for own, _ in held])
-            for a, b, n in grams_of(own, np.concatenate([s + at for (_, s), at in zip(held, lengths)])):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
+            for grams in grams_of(own, np.concatenate([s + at for (_, s), at in zip(held, lengths)])):
+                for k in range(0, len(grams[0]), BATCH_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[k:k + BATCH_ROWS]) for x in grams], ["a", "b", "n"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -305,6 +308,7 @@ def score(docs: DataFrame, model: Broadcast, table: DataFrame) -> DataFrame:
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     named = set_apart(docs.drop(*added), ("text",))
     others = [c for c in named.columns if c != "text"]
+    listed = [f"_keys{k}" for k in range(ROUNDS)]  # a column for each round, which reads no other
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,30 +316,34 @@ def score(docs: DataFrame, model: Broadcast, table: DataFrame) -> DataFrame:
                 continue
             own, starts = hashes(batch.column(batch.num_columns - 1).to_pylist())
             base, delta, known, places, keys = model.value.sums(own, starts)
-            order = np.argsort(places, kind="stable")
-            ends = np.searchsorted(places[order], np.append(starts, len(own)))
-            n = np.diff(np.append(starts, len(own)))
+            cuts = np.append(starts, len(own))
+            lists = []
+            for k in range(ROUNDS):
+                order = np.flatnonzero(keys % ROUNDS == k)
+                order = order[np.argsort(places[order], kind="stable")]
+                lists.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(places[order], cuts), pa.int32()), pa.array(keys[order])))
+            n = np.diff(cuts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(n), pa.array(np.add.reduceat(known, starts).astype(np.int64)),
-                 pa.array(np.add.reduceat(base, starts) + n * unknown), pa.array(np.add.reduceat(delta, starts)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[order]))],
-                [*others, "_row", "n_tokens", "_known", "_base", "_delta", "_keys"])
+                 pa.array(np.add.reduceat(base, starts) + n * unknown), pa.array(np.add.reduceat(delta, starts)), *lists],
+                [*others, "_row", "n_tokens", "_known", "_base", "_delta", *listed])
 
     rows = named.select(*others, F.monotonically_increasing_id().alias("_row"), "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    read = written(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _base double, _delta double, _keys array<long>"), "scored")
+    read = written(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _base double, _delta double, "
+                                       + ", ".join(f"{c} array<long>" for c in listed)), "scored")
 
     # The n-grams that aren't frequent.
-    keys, found = read.select("_row", F.explode("_keys").alias("key")), None
-    for k in range(ROUNDS):
-        part = F.pmod("key", F.lit(ROUNDS)) == k
-        met = written(keys.filter(part).join(table.filter(part), "key").groupBy("_row").agg(
+    found = None
+    for k, column in enumerate(listed):
+        keys = read.select("_row", F.explode(column).alias("key"))
+        met = written(keys.join(table.filter(F.pmod("key", F.lit(ROUNDS)) == k), "key").groupBy("_row").agg(
             F.sum("base").alias("base"), F.sum("delta").alias("delta"), F.sum("known").alias("known")), "met")
         found = met if found is None else found.union(met)
     rest = found.groupBy("_row").agg(F.sum("base").alias("_more_base"), F.sum("delta").alias("_more_delta"), F.sum("known").alias("_more_known"))
     none = F.lit(0.0)
     base = F.col("_base") + F.coalesce("_more_base", none)
-    return read.drop("_keys").join(rest, "_row", "left").select(
+    return read.drop(*listed).join(rest, "_row", "left").select(
         *others, "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"), (base + F.col("_delta") + F.coalesce("_more_delta", none)).alias("score")).toDF(
