@@ -30,6 +30,7 @@ whole.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +55,7 @@ BATCH_ROWS = 65_536
 #: Bits of a filter for each key, and the most bits, as a power of two.
 KEY_BITS, FILTER_BITS = 12, 28
 #: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
-ROUNDS = 4
+ROUNDS = 8
 
 
 def word_hash(word: bytes) -> int:
@@ -67,15 +68,21 @@ END, START = word_hash(b"\n"), word_hash(b"\n\n")
 ALONE = -1
 
 
+@contextmanager
+def no_shuffle_left(spark: SparkSession) -> Iterator[None]:
+    """Queries that are made and run in here leave none of their shuffle files."""
+    before_ = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before_)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``store``, without leaving the shuffle files of the way there."""
-    conf = df.sparkSession.conf
-    before_ = conf.get(CLEANUP)
-    conf.set(CLEANUP, "true")
-    try:
+    with no_shuffle_left(df.sparkSession):
         return store(df, name)
-    finally:
-        conf.set(CLEANUP, before_)
 
 
 def drop(stored: DataFrame) -> None:
@@ -147,7 +154,8 @@ class Filter:
         at = F.shiftrightunsigned("key", 64 - self.log)
         slots = keys.select(F.shiftrightunsigned(at, 6).alias("slot"), F.call_function(
             "shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-        table = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^FILTER_BITS / 64
+        with no_shuffle_left(keys.sparkSession):
+            table = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^FILTER_BITS / 64
         self.bits = np.zeros(1 << (self.log - 6), dtype=np.int64)
         self.bits[table.column(0).to_numpy()] = table.column(1).to_numpy()
 
