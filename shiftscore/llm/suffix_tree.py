@@ -13,13 +13,14 @@ words and one unknown word, so every state's probabilities sum to one.
 
 The counts, the retained states and the listed words are tables and grow with
 the corpus.  The logarithm of a token's probability is a sum of what its word,
-its pair and its triple add (``train``), so texts are scored by a join of their
-n-grams to one table of such sums.  Only two things are broadcast, and neither
+its pair and its triple add (``train``), so texts are scored by a cogroup of their
+n-grams with one table of such sums: both are dealt to buckets by key, and the
+n-grams of a batch of texts go to a bucket as one row.  Only two things are broadcast, and neither
 changes a result: the sums of the n-grams above a share of the training tokens
 (so no key of the join is hot in training), and a filter that knows most of the
 pairs and triples that add nothing.
 
-Words are known by a 63-bit hash, pairs and triples in the join by a 64-bit one.
+Words are known by a 63-bit hash of their bytes, eight at a time, pairs and triples in the join by a 64-bit one.
 
 Edge cases: a NULL or empty text is the end token alone; a NULL doc_id is never
 held out; repeated rows are scored one by one; without training documents all
@@ -34,36 +35,35 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftscore.llm.common import Remembered, documents, remainder, set_apart, store, text_batches
+from shiftscore.llm.common import documents, remainder, set_apart, shuffle_partitions, store, text_batches
 from shiftscore.session import delete_path
 
 #: Shares of the training tokens from which words, and pairs and triples, are also broadcast.
 WORD_SHARE, ENTRY_SHARE = 5e-7, 1e-6
 LEAST_COUNT, DISCOUNT = 2, 0.75
-CACHE_WORDS = 100_000
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 #: Spark's setting that removes a query's shuffle files when the query ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tokens that a task counts before it hands on what it has.
-FLUSH_TOKENS = 250_000
+FLUSH_TOKENS = 1_000_000
 #: Rows of counts that a task hands on at a time.
 BATCH_ROWS = 65_536
 #: Bits of a filter for each key, and the most bits, as a power of two.
 KEY_BITS, FILTER_BITS = 12, 28
 #: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
-ROUNDS = 8
+ROUNDS = 2
+#: Training tokens for each bucket of n-grams, and rows of n-grams that a bucket looks up at a time.
+BUCKET_TOKENS, LOTS = 1_000_000, 256
 
-
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) >> 1
-
-
-#: No word holds a line break.
-END, START = word_hash(b"\n"), word_hash(b"\n\n")
+#: Hashes of what is no word.
+END, START = (xxhash.xxh64_intdigest(x) >> 1 for x in (b"\n", b"\n\n"))
 #: Stands for the word before, where a word is counted by itself.
 ALONE = -1
 
@@ -90,8 +90,34 @@ def drop(stored: DataFrame) -> None:
     delete_path(stored.sparkSession, stored.inputFiles()[0].rsplit("/", 1)[0])
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()  # of bytes: A-Z, and ASCII white space
+def mixed(h: np.ndarray) -> np.ndarray:
+    """One to one, each bit of the result depends on all of ``h``."""
+    h = h * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    """63-bit hashes of words, none of them empty."""
+    cuts = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    size = int(cuts[-1])
+    data = np.zeros(size + 8, np.uint8)
+    if size:
+        data[:size] = np.frombuffer(words.buffers()[2], np.uint8, size)
+    eight = np.ndarray(size + 1, "<u8", data, strides=(1,))  # the eight bytes from each byte on
+    at, left = cuts[:-1], np.diff(cuts)
+    out = mixed(left.astype(np.uint64))
+    for k in np.flatnonzero(left > LONG_WORD):
+        out[k] = xxhash.xxh64_intdigest(data[cuts[k]:cuts[k + 1]].tobytes())
+    where = np.flatnonzero(left <= LONG_WORD)
+    at, left = at[where], left[where]
+    while len(where):
+        beyond = (8 * (8 - np.clip(left, 1, 8))).astype(np.uint64)  # bits of other words
+        out[where] = mixed(out[where] ^ (eight[at] << beyond))
+        more = np.flatnonzero(left > 8)
+        where, at, left = where[more], at[more] + 8, left[more] - 8
+    return (out >> np.uint64(1)).view(np.int64)
 
 
 def joined(a: np.ndarray, b: np.ndarray, by: int) -> np.ndarray:
@@ -107,19 +133,17 @@ def joined_column(a: str, b: str, by: int) -> Column:
 #: How far the first part is rotated in the key of a pair (of two words) and of a triple (of two pairs).
 PAIR, TRIPLE = 21, 13
 
-_known = Remembered(word_hash)
-
 
-def hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' words one after the other, each text with its end, and where each text starts."""
-    out, lengths, end = [], [], np.array([END], dtype=np.int64)
-    for text in texts:
-        words = words_of(text)
-        out += [np.fromiter(map(_known.__getitem__, words), np.int64, len(words)), end]
-        lengths.append(len(words) + 1)
-        _known.rotate(CACHE_WORDS)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-    return np.concatenate(out), starts
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words = lists.flatten()
+    there = np.diff(np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]) > 0
+    cuts = np.concatenate(([0], np.cumsum(there)))[lists.offsets.to_numpy()]
+    n = np.diff(cuts)
+    out = np.full(cuts[-1] + len(n), END, dtype=np.int64)
+    out[np.arange(cuts[-1]) + np.repeat(np.arange(len(n)), n)] = word_hashes(words)[there]
+    return out, cuts[:-1] + np.arange(len(n))
 
 
 def before(own: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -136,8 +160,18 @@ def pairs_before(pairs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(([0], pairs[:-1])), there
 
 
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from the row before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
 def distinct(key: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    _, at, n = np.unique(key, return_index=True, return_counts=True)
+    """Each key once, as the two parts of one occurrence, and how often it is there."""
+    order = np.argsort(key)
+    at = runs(key[order])
+    n, at = np.diff(np.append(at, len(key))), order[at]
     return first[at], second[at], n
 
 
@@ -179,7 +213,7 @@ def counted(docs: DataFrame, grams_of: Callable[[np.ndarray, np.ndarray], list])
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(hashes(batch.column(0).to_pylist()))
+            held.append(hashes(batch.column(0)))
             size += len(held[-1][0])
             if size >= FLUSH_TOKENS:
                 yield from flush()
@@ -214,22 +248,33 @@ def within(listed: DataFrame, kept: DataFrame, how: str = "inner") -> DataFrame:
         "delta", F.log10("own") - F.log10("parent") - F.log10("left"))
 
 
+def summed(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The keys of ``key, base, delta, known`` in order, each once, and the sums of the other columns."""
+    key = table.column("key").to_numpy()
+    order = np.argsort(key)
+    key = key[order]
+    at = runs(key)
+    return key[at], [np.add.reduceat(table.column(c).to_numpy()[order].astype(np.float64), at) if len(at) else np.zeros(0)
+                     for c in ("base", "delta", "known")]
+
+
+def places_of(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in an ordered ``table``, and whether they are there."""
+    if not len(table):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    order = np.argsort(keys)  # neighbours are looked up one after the other
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
+    return at, table[at] == keys
+
+
 class Model:
     """The sums of the frequent n-grams, in order of their keys, and the filter of all pairs and triples."""
 
     def __init__(self, frequent: DataFrame, filter_: Filter, n: int, v: int):
         self.n, self.total, self.filter = n, n + v + 1, filter_
-        table = frequent.select("key", "base", "delta", "known").toArrow()  # the caller bounds the rows
-        key = table.column("key").to_numpy()
-        self.keys, at = np.unique(key, return_inverse=True)
-        self.base, self.delta, self.known = (
-            np.bincount(at, table.column(c).to_numpy(), len(self.keys)).astype(np.float64) for c in ("base", "delta", "known"))
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of ``keys``, and whether they are there."""
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return at, self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
+        # The caller bounds the rows.
+        self.keys, (self.base, self.delta, self.known) = summed(frequent.select("key", "base", "delta", "known").toArrow())
 
     def sums(self, own: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each token what the frequent n-grams add: base, delta, known; and places and keys of the n-grams to be joined."""
@@ -240,7 +285,7 @@ class Model:
         places, keys = [], []
         second, third = np.flatnonzero(self.filter.may_hold(pairs)), np.flatnonzero(there & self.filter.may_hold(triples))
         for at, key in ((np.arange(len(own)), own), (starts, np.full(len(starts), START)), (second, pairs[second]), (third, triples[third])):
-            place, found = self.find(key)
+            place, found = places_of(key, self.keys)
             hit, place = at[found], place[found]
             base[hit] += self.base[place]
             delta[hit] += self.delta[place]
@@ -306,52 +351,125 @@ def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
     every = added(words, WORD_SHARE, "word", "n", F.lit(0.0), F.log10(F.col("n") + 1), 1).union(
         added(one, WORD_SHARE, "context", "total", left)).union(more)
     model = Model(every.filter("frequent"), Filter(more), n, v)  # at most two for each share of a word, pair or triple
-    return spark.sparkContext.broadcast(model), every.filter("NOT frequent").drop("frequent")
+    table = written(every.filter("NOT frequent").drop("frequent"), "sums")
+    for stored in (words, one, every_pair, two, listed2):
+        drop(stored)
+    return spark.sparkContext.broadcast(model), table
+
+
+def rotated(keys: np.ndarray) -> np.ndarray:
+    u = keys.view(np.uint64)
+    return (u << np.uint64(1)) | (u >> np.uint64(63))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets by all bits of a key but the first, which words lack."""
+    return ((rotated(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).view(np.int64)
+
+
+def bucket_column(key: str, buckets: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(F.shiftleft(key, 1), 32) * F.lit(buckets).cast("long"), 32)
+
+
+def lists(values: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
+    """A list for each two neighbours of ``cuts``."""
+    return pa.ListArray.from_arrays(pa.array(cuts - cuts[0], pa.int32()), pa.array(values[cuts[0]:cuts[-1]]))
+
+
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy()
+
+
+def met(grams: pa.Table, table: pa.Table) -> pa.Table:
+    """For each batch of texts what the n-grams of a bucket add to its texts (``at``: their places in the batch)."""
+    keys, sums = summed(table)
+    out = []
+    for k in range(0, grams.num_rows, LOTS):
+        some = grams.slice(k, LOTS)
+        key, at, times = (flat(some.column(c)) for c in ("keys", "at", "times"))
+        place, found = places_of(key, keys)
+        lot = np.repeat(np.arange(some.num_rows), pc.list_value_length(some.column("keys")).to_numpy())[found]
+        at, times, place = at[found], times[found], place[found]
+        size = int(at.max(initial=0)) + 1
+        slots = lot * size + at
+        there = np.flatnonzero(np.bincount(slots, minlength=some.num_rows * size))
+        cuts = np.searchsorted(there, np.arange(some.num_rows + 1) * size)
+        base, delta, known = (np.bincount(slots, x[place] * times, some.num_rows * size)[there].astype(np.float64) for x in sums)
+        out.append(pa.table([some.column("lot"), lists((there % size).astype(np.int32), cuts), lists(base, cuts), lists(delta, cuts),
+                             lists(known.astype(np.int64), cuts)], MET.names))
+    return pa.concat_tables(out) if out else MET.empty_table()
+
+
+MET = pa.schema([("lot", pa.int64()), ("at", pa.list_(pa.int32())), ("base", pa.list_(pa.float64())),
+                 ("delta", pa.list_(pa.float64())), ("known", pa.list_(pa.int64()))])
+
+
+def added_up(found: pa.Table) -> pa.Table:
+    """What all buckets add to each text of a batch."""
+    at, lot = flat(found.column("at")), found.column("lot")[0].as_py()
+    base, delta, known = (np.bincount(at, flat(found.column(c))).astype(np.float64) for c in ("base", "delta", "known"))
+    return pa.table([lot + np.arange(len(base)), base, delta, known.astype(np.int64)], ["_row", "_more_base", "_more_delta", "_more_known"])
 
 
 def score(docs: DataFrame, model: Broadcast, table: DataFrame) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens, n_known, train_tokens, base_score, score`` (in place of columns of these names)."""
-    text_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    text_batches(spark)
     train_tokens, unknown = model.value.n, -np.log10(float(model.value.total))
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     named = set_apart(docs.drop(*added), ("text",))
     others = [c for c in named.columns if c != "text"]
-    listed = [f"_keys{k}" for k in range(ROUNDS)]  # a column for each round, which reads no other
+    dealt = max(shuffle_partitions(spark), -(-train_tokens // (BUCKET_TOKENS * ROUNDS)))  # buckets of a round
+    buckets = dealt * ROUNDS
+    parts = [f"_{c}{k}" for k in range(ROUNDS) for c in ("keys", "at", "times")]  # columns for each round, which reads no others
+    own_columns = [*others, "_row", "n_tokens", "_known", "_base", "_delta"]
+    columns = [*own_columns, "_bucket", *parts]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own, starts = hashes(batch.column(batch.num_columns - 1).to_pylist())
+            own, starts = hashes(batch.column(batch.num_columns - 1))
             base, delta, known, places, keys = model.value.sums(own, starts)
-            cuts = np.append(starts, len(own))
-            lists = []
-            for k in range(ROUNDS):
-                order = np.flatnonzero(keys % ROUNDS == k)
-                order = order[np.argsort(places[order], kind="stable")]
-                lists.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(places[order], cuts), pa.int32()), pa.array(keys[order])))
-            n = np.diff(cuts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n), pa.array(np.add.reduceat(known, starts).astype(np.int64)),
-                 pa.array(np.add.reduceat(base, starts) + n * unknown), pa.array(np.add.reduceat(delta, starts)), *lists],
-                [*others, "_row", "n_tokens", "_known", "_base", "_delta", *listed])
+            n = np.diff(np.append(starts, len(own)))
+            lot = batch.column(batch.num_columns - 2)[0].as_py()  # the first row's id; ids rise by one at least
+            texts = [*batch.columns[:-2], pa.array(lot + np.arange(len(n))), pa.array(n), pa.array(np.add.reduceat(known, starts).astype(np.int64)),
+                     pa.array(np.add.reduceat(base, starts) + n * unknown), pa.array(np.add.reduceat(delta, starts))]
+            # The n-grams to be joined by bucket and key, each once for a text.
+            at = np.repeat(np.arange(len(n), dtype=np.int32), n)[places]
+            order = np.argsort(rotated(keys), kind="stable")
+            keys, at = keys[order], at[order]
+            first = runs(keys, at)
+            times = np.diff(np.append(first, len(keys))).astype(np.int32)
+            keys, at = keys[first], at[first]
+            cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+            listed = [lists(x, cuts[k * dealt:(k + 1) * dealt + 1]) for k in range(ROUNDS) for x in (keys, at, times)]
+            yield pa.RecordBatch.from_arrays([*texts, pa.nulls(len(n), pa.int64()), *[pa.nulls(len(n), x.type) for x in listed]], columns)
+            none = [pa.nulls(dealt, x.type) for x in texts]
+            none[len(others)] = pa.array(np.full(dealt, lot))
+            yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(dealt)), *listed], columns)
 
     rows = named.select(*others, F.monotonically_increasing_id().alias("_row"), "text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    read = written(rows.mapInArrow(of, f"{fields}, n_tokens long, _known long, _base double, _delta double, "
-                                       + ", ".join(f"{c} array<long>" for c in listed)), "scored")
+    fields += ", n_tokens long, _known long, _base double, _delta double, _bucket long, "
+    read = written(rows.mapInArrow(of, fields + ", ".join(
+        f"{c} array<{'long' if c.startswith('_keys') else 'int'}>" for c in parts)), "scored")
 
     # The n-grams that aren't frequent.
+    text_batches(spark, 10_000)
     found = None
-    for k, column in enumerate(listed):
-        keys = read.select("_row", F.explode(column).alias("key"))
-        met = written(keys.join(table.filter(F.pmod("key", F.lit(ROUNDS)) == k), "key").groupBy("_row").agg(
-            F.sum("base").alias("base"), F.sum("delta").alias("delta"), F.sum("known").alias("known")), "met")
-        found = met if found is None else found.union(met)
-    rest = found.groupBy("_row").agg(F.sum("base").alias("_more_base"), F.sum("delta").alias("_more_delta"), F.sum("known").alias("_more_known"))
+    for k in range(ROUNDS):
+        grams = read.filter(F.size(f"_keys{k}") > 0).select(
+            (F.col("_bucket") + k * dealt).alias("bucket"), F.col("_row").alias("lot"),
+            *[F.col(f"_{c}{k}").alias(c) for c in ("keys", "at", "times")])
+        sums = table.withColumn("bucket", bucket_column("key", buckets)).filter(F.col("bucket").between(k * dealt, (k + 1) * dealt - 1))
+        part = written(grams.groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInArrow(
+            met, "lot long, at array<int>, base array<double>, delta array<double>, known array<long>"), "met")
+        found = part if found is None else found.union(part)
+    rest = found.groupBy("lot").applyInArrow(added_up, "_row long, _more_base double, _more_delta double, _more_known long")
     none = F.lit(0.0)
     base = F.col("_base") + F.coalesce("_more_base", none)
-    return read.drop(*listed).join(rest, "_row", "left").select(
+    return read.filter("_bucket IS NULL").select(own_columns).join(rest, "_row", "left").select(
         *others, "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         base.alias("base_score"), (base + F.col("_delta") + F.coalesce("_more_delta", none)).alias("score")).toDF(
