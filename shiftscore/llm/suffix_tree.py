@@ -53,12 +53,12 @@ LONG_WORD = 64
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tokens that a task counts before it hands on what it has.
 FLUSH_TOKENS = 1_000_000
-#: Rows of counts that a task hands on at a time.
-BATCH_ROWS = 65_536
+#: Buckets of counts for each shuffle partition.
+COUNT_BUCKETS = 4
 #: Bits of a filter for each key, and the most bits, as a power of two.
 KEY_BITS, FILTER_BITS = 12, 28
 #: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
-ROUNDS = 2
+ROUNDS = 4
 #: Training tokens for each bucket of n-grams, and rows of n-grams that a bucket looks up at a time.
 BUCKET_TOKENS, LOTS = 1_000_000, 256
 
@@ -198,17 +198,44 @@ class Filter:
         return (self.bits.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+def rotated(keys: np.ndarray) -> np.ndarray:
+    u = keys.view(np.uint64)
+    return (u << np.uint64(1)) | (u >> np.uint64(63))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets by all bits of a key but the first, which words lack."""
+    return ((rotated(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).view(np.int64)
+
+
+def lists(values: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
+    """A list for each two neighbours of ``cuts``."""
+    return pa.ListArray.from_arrays(pa.array(cuts - cuts[0], pa.int32()), pa.array(values[cuts[0]:cuts[-1]]))
+
+
+def flat(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy()
+
+
 def counted(docs: DataFrame, grams_of: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
-    """``a, b, n``: how often each (a, b) of ``grams_of(hashes, starts)`` is in all texts."""
+    """``a, b, n``: how often each (a, b) of ``grams_of(hashes, starts)`` is in all texts; of two words or pairs, if ``LEAST_COUNT`` times or more.
+
+    A task counts a lot of texts and hands on a row of lists for each bucket.  Rows are dealt and
+    ordered by the key of triples, in which no word of two pairs cancels out.
+    """
+    buckets = COUNT_BUCKETS * shuffle_partitions(docs.sparkSession)
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             lengths = np.cumsum([0, *(len(own) for own, _ in held)])
             own = np.concatenate([own for own, _ in held])
-            for grams in grams_of(own, np.concatenate([s + at for (_, s), at in zip(held, lengths)])):
-                for k in range(0, len(grams[0]), BATCH_ROWS):
-                    yield pa.RecordBatch.from_arrays([pa.array(x[k:k + BATCH_ROWS]) for x in grams], ["a", "b", "n"])
+            for a, b, n in grams_of(own, np.concatenate([s + at for (_, s), at in zip(held, lengths)])):
+                order = np.argsort(rotated(joined(a, b, TRIPLE)))
+                a, b, n = a[order], b[order], n[order]
+                cuts = np.searchsorted(bucket_of(joined(a, b, TRIPLE), buckets), np.arange(buckets + 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), *[lists(x, cuts) for x in (a, b, n)]], ["bucket", "a", "b", "n"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -221,7 +248,17 @@ def counted(docs: DataFrame, grams_of: Callable[[np.ndarray, np.ndarray], list])
         if held:
             yield from flush()
 
-    return docs.select("text").mapInArrow(of, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    def total(parts: pa.Table) -> pa.Table:
+        a, b, n = (flat(parts.column(c)) for c in ("a", "b", "n"))
+        order = np.argsort(joined(a, b, TRIPLE))
+        a, b = a[order], b[order]
+        at = runs(a, b)
+        n = np.add.reduceat(n[order], at) if len(at) else n
+        kept = (a[at] == ALONE) | (n >= LEAST_COUNT)
+        return pa.table([a[at][kept], b[at][kept], n[kept]], ["a", "b", "n"])
+
+    lots = docs.select("text").mapInArrow(of, "bucket long, a array<long>, b array<long>, n array<long>").filter(F.size("a") > 0)
+    return lots.groupBy("bucket").applyInArrow(total, "a long, b long, n long")
 
 
 def states(listed: DataFrame, totals: DataFrame) -> DataFrame:
@@ -304,7 +341,7 @@ def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
     """
     spark = docs.sparkSession
     text_batches(spark)
-    grams = written(counted(docs, words_and_pairs).filter((F.col("a") == ALONE) | (F.col("n") >= LEAST_COUNT)), "grams")
+    grams = written(counted(docs, words_and_pairs), "grams")
     words = written(grams.filter(F.col("a") == ALONE).select(F.col("b").alias("word"), "n"), "words")
     n, v, n_docs = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
                              F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0))).first()
@@ -331,7 +368,7 @@ def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
         return [distinct(joined(last[at], own[at], TRIPLE), last[at], own[at])]
 
     parents = listed1.select(F.col("key").alias("b"), F.col("own").alias("parent"))
-    grams = written(counted(docs, triples_of).filter(F.col("n") >= LEAST_COUNT), "grams")
+    grams = written(counted(docs, triples_of), "grams")
     triples = written(grams.join(parents, "b").select(
         F.col("a").alias("context"), joined_column("a", "b", TRIPLE).alias("key"), "n", "parent"), "triples")
     drop(grams)
@@ -357,29 +394,10 @@ def train(docs: DataFrame) -> tuple[Broadcast, DataFrame]:
     return spark.sparkContext.broadcast(model), table
 
 
-def rotated(keys: np.ndarray) -> np.ndarray:
-    u = keys.view(np.uint64)
-    return (u << np.uint64(1)) | (u >> np.uint64(63))
-
-
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets by all bits of a key but the first, which words lack."""
-    return ((rotated(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).view(np.int64)
-
-
 def bucket_column(key: str, buckets: int) -> Column:
     return F.shiftright(F.shiftrightunsigned(F.shiftleft(key, 1), 32) * F.lit(buckets).cast("long"), 32)
 
 
-def lists(values: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
-    """A list for each two neighbours of ``cuts``."""
-    return pa.ListArray.from_arrays(pa.array(cuts - cuts[0], pa.int32()), pa.array(values[cuts[0]:cuts[-1]]))
-
-
-def flat(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy()
-
-
 def met(grams: pa.Table, table: pa.Table) -> pa.Table:
     """For each batch of texts what the n-grams of a bucket add to its texts (``at``: their places in the batch)."""
     keys, sums = summed(table)

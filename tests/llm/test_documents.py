@@ -1,6 +1,7 @@
 """Operators 1 to 7, 9 and 10 on the edge rows, against plain versions."""
 
 import math
+import os
 import random
 import re
 import time
@@ -9,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -363,6 +365,39 @@ def test_suffix_tree_on_edge_rows(spark, edge):
     assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
 
 
+def test_suffix_tree_hashes_words_of_any_length():
+    """Words are hashed by their bytes alone, wherever they stand; texts are cut at ASCII white space."""
+    words = ["a", "B" * 7, "c" * 8, "c" * 9, "\u00e9" * 8, "d" * 64, "d" * 65, "e" * 500, "x\x1cy", "x\x85y", "f\x00", "f"]
+    texts = [None, "", " \t\n\x0b\x0c\r", *words, "  ".join(words), "\n" + "\x0c".join(reversed(words)) + " "]
+    out, starts = suffix_tree.hashes(pa.array(["skipped", *texts]).slice(1))
+    found = [h.tolist() for h in np.split(out, starts[1:])]
+    assert all(h[-1] == suffix_tree.END for h in found)
+    one = [h[0] for h in found[3:3 + len(words)]]
+    assert [len(h) for h in found] == [1] * 3 + [2] * len(words) + [len(words) + 1] * 2
+    assert len({*one, suffix_tree.END, suffix_tree.START}) == len(words) + 2 and min(one) >= 0
+    assert found[-2][:-1] == one and found[-1][:-1] == one[::-1]
+    assert suffix_tree.hashes(pa.array(["AZ"]))[0][0] == suffix_tree.hashes(pa.array(["az"]))[0][0]
+
+
+def test_suffix_tree_leaves_only_what_scoring_reads(spark, tmp_path, monkeypatch):
+    """Tables of the training are removed once the sums are stored; texts meet them in all buckets."""
+    made = []
+    monkeypatch.setattr(suffix_tree, "store", lambda df, name, real=suffix_tree.store: made.append((name, real(df, name))) or made[-1][1])
+    monkeypatch.setattr(suffix_tree, "WORD_SHARE", 2.0)
+    monkeypatch.setattr(suffix_tree, "ENTRY_SHARE", 2.0)
+    rows = [(i, " ".join(f"w{(i * k) % 23}" for k in range(i % 40))) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = [[*R.words(t), "\n"] for _, t in rows]
+    counts, n, v, root, p, *_ = R.suffix_tree([t for (d, _), t in zip(rows, tokens) if R.fold(d, 7) != 2])
+    for r in registry.QUERIES["op5_suffix_tree"](spark, str(tmp_path)).collect():
+        seq = [None, "<s>", *tokens[r.doc_id]]
+        assert r.n_known == sum(counts[w] > 0 for w in tokens[r.doc_id])
+        assert r.base_score == pytest.approx(sum(math.log10(root(w)) for w in tokens[r.doc_id]))
+        assert r.score == pytest.approx(sum(math.log10(p(*seq[k:k + 3])) for k in range(len(seq) - 2)))
+    left = {name for name, df in made if os.path.isdir(df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0])}
+    assert left == {"sums", "scored", "met"}
+
+
 # --- 6 ----------------------------------------------------------------------
 
 def test_packing(spark, edge):
