@@ -58,7 +58,7 @@ COUNT_BUCKETS = 4
 #: Bits of a filter for each key, and the most bits, as a power of two.
 KEY_BITS, FILTER_BITS = 12, 28
 #: Parts of the n-grams that texts are joined to one after the other, so that less is shuffled at a time.
-ROUNDS = 4
+ROUNDS = 8
 #: Training tokens for each bucket of n-grams, and rows of n-grams that a bucket looks up at a time.
 BUCKET_TOKENS, LOTS = 1_000_000, 256
 
