@@ -1,28 +1,31 @@
-"""Near-duplicate embeddings by a subspace pigeonhole join.
-
-Unit vectors with a cosine of ``least`` or more have a squared distance of at
-most ``2 - 2 * least``.  Vectors are rotated and cut into low-dimensional blocks;
-each block gets its share of that budget, so any such pair is within the share
-in at least one block.  Each block is range-joined: a bounded sample of vectors
-are pivots, a vector's home is the cell of its nearest pivot, and it visits
-every earlier cell whose border (the plane halfway between two pivots) is within
-the block's radius.  Two vectors within the radius so meet just once in a block.
-Candidates are verified exactly by their cosine in double precision, and a pair
-counts in the first block where it is within the share.
-
-Equal vectors are one from the start.  A cell's homes are split into pieces of
-bounded size; all else that visits streams past them, so a group of any size
-neither gathers in a task nor is emitted as pairs: a task returns numbers of
-links, and links to one member of each local group.
-
-Pivots only steer which vectors meet.  On data spread evenly over many
-dimensions most cells are near most vectors, and the join then compares about
-as many block distances as a full comparison; its memory stays bounded.
+"""Near-duplicate embeddings by an exact comparison of tiles that stay where they are stored.
+
+Distinct vectors are stored once, in tiles of bounded size, one row for each tile.
+Every two tiles meet in a task that reads both from the store, so no vector is
+copied or shuffled for the comparison: disk grows with the rows, not with the
+pairs, and a task's memory with its tiles.
+
+Two tiles are compared by one bound.  Vectors of length one are turned to
+principal axes of a sample; a few leading coordinates and the length of the rest
+bound the cosine from above (Cauchy-Schwarz), as a short matrix product.  What
+passes is verified exactly by its cosine in double precision; where much passes,
+a product of all coordinates decides all but those within its rounding of
+``least``.  Inside a tile vectors lie in order of their nearest pivot, and blocks
+whose centres are too far apart for their radii are not compared, which prunes
+most of clustered data.  On data spread evenly over many dimensions the work is
+that of a full comparison in the leading coordinates.
+
+Equal vectors are one from the start.  A task keeps a number of links and a local
+group for each of its vectors and returns these, so a group of any size is never
+emitted as pairs.
+
+Axes, leading coordinates and pivots only steer the work.
 
 Edge cases: vectors that are NULL, zero, or hold NULL or non-finite components
 link with nothing, nor do vectors of different lengths; a row without vec_id
 takes part, and a group of such rows alone has a NULL component; repeated rows
-link with one another; an empty table gives no row.
+link with one another; an empty table gives no row.  ``vectors`` is read twice
+and must give the same rows each time.
 """
 
 from __future__ import annotations
@@ -34,98 +37,147 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from shiftscore.llm.common import store, text_batches
 from shiftscore.llm.components import components
 
 LEAST = 0.95
-BLOCKS = 8
-#: Homes in one piece of a cell, and pivots of a block; both only steer the work.
-PIECE, MOST_PIVOTS = 2000, 1024
-#: Room for rounding in squared distances of unit vectors.
-SLACK = 1e-9
+#: Vectors, and components, of a tile at most; tiles that a task reads from either side; all only steer the work.
+PIECE, TILE_VALUES, TASK_TILES = 16_384, 1 << 20, 8
+#: Pivots, and vectors of the sample.
+PIVOTS, SAMPLE = 256, 2048
+#: Rows compared at once with so many others, and rows of a block that is left out as a whole.
+STRIP, CHUNK, BLOCK = 128, 2048, 128
+#: Share of a strip's pairs from which on it is decided by a full product, and cost of a pair that passes the bound in vain.
+MUCH, IN_VAIN = 0.02, 200_000
+#: Tiles are large rows: a row group holds a few, and sizes are looked at after each.
+TILE_FILES = {"parquet.block.size": 8 << 20, "parquet.enable.dictionary": "false", "parquet.block.size.row.check.min": 1,
+              "parquet.block.size.row.check.max": 1, "parquet.page.size.row.check.min": 1}
+
+
+def rounding(k: int) -> float:
+    """More than a product of two unit vectors with ``k`` coordinates is off in single precision."""
+    return (k + 8) * 1.2e-7
 
 
-def rotation(d: int, seed: int = 42) -> np.ndarray:
-    """A fixed random rotation of ``d`` dimensions."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one in double precision, and the lengths."""
+    vectors = vectors.astype(np.float64)
+    with np.errstate(all="ignore"):
+        norms = np.linalg.norm(vectors, axis=1)
+        return vectors / norms[:, None], norms
+
+
+def leading(axes: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """Leading coordinates and the length of the rest, in single precision."""
+    x = unit @ axes
+    return np.column_stack([x, np.sqrt(np.maximum(0, (unit * unit).sum(axis=1) - (x * x).sum(axis=1)))]).astype(np.float32)
+
+
+def chained(points: np.ndarray) -> np.ndarray:
+    """``points`` in such an order that each is followed by the nearest of those left, so that neighbours are in a row."""
+    near, at, order = points @ points.T, 0, []
+    for _ in range(len(points)):
+        order.append(at)
+        near[:, at] = -np.inf
+        at = int(near[at].argmax())
+    return points[order]
 
 
 class Space:
-    """Rotation, blocks, budgets and pivots for vectors of one length."""
+    """Leading axes and pivots for vectors of one length."""
 
-    def __init__(self, d: int, sample: np.ndarray, least: float, blocks: int = BLOCKS):
+    def __init__(self, d: int, sample: np.ndarray, least: float):
         self.d, self.least = d, least
-        self.rotate = rotation(d)
-        self.blocks = [b for b in np.array_split(np.arange(d), min(blocks, d))]
-        self.budget = np.array([(2 - 2 * least + SLACK) * len(b) / d for b in self.blocks])
-        turned = self.turned(sample)
-        self.pivots = [self._apart(turned[:, b], 2 * math.sqrt(x)) for b, x in zip(self.blocks, self.budget)]
-        self.pieces: list[np.ndarray] = [np.ones(len(p), dtype=np.int64) for p in self.pivots]
-
-    @staticmethod
-    def _apart(points: np.ndarray, gap: float) -> np.ndarray:
-        """Points that are at least ``gap`` apart, so that a dense group doesn't hold many pivots."""
-        kept = [points[0]]
-        for p in points[1:]:
-            if min(np.linalg.norm(np.array(kept) - p, axis=1)) >= gap:
-                kept.append(p)
-        return np.array(kept)
-
-    def turned(self, vectors: np.ndarray) -> np.ndarray:
-        return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ self.rotate
-
-    def homes(self, turned: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances to the pivots of block ``b``, and the nearest one."""
-        x, p = turned[:, self.blocks[b]], self.pivots[b]
-        far = (x * x).sum(axis=1)[:, None] + (p * p).sum(axis=1) - 2 * x @ p.T
-        return far, far.argmin(axis=1)
-
-    def visits(self, turned: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
-        """Homes, and whether each vector visits each cell before its home."""
-        far, home = self.homes(turned, b)
-        p = self.pivots[b]
-        between = np.linalg.norm(p[home][:, None, :] - p[None, :, :], axis=2)
-        margin = (far - far[np.arange(len(far)), home][:, None]) / np.maximum(2 * between, 1e-12)
-        near = margin <= math.sqrt(self.budget[b]) + 1e-6
-        return home, near & (np.arange(len(p)) < home[:, None])
-
-
-def as_matrix(column: pa.Array, d: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
-
-
-class Group:
-    """Rows that meet: vectors, turned vectors, ids and numbers of copies."""
-
-    def __init__(self, space: Space, uid: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
-        self.uid, self.copies, self.vectors = uid, copies, vectors
-        self.norms = np.linalg.norm(vectors, axis=1)
-        self.turned = space.turned(vectors)
+        self.gap = math.sqrt(max(0.0, 2 - 2 * least)) + 1e-5
+        unit = units(sample)[0]
+        unit = unit[np.isfinite(unit).all(axis=1)]
+        # Axes by one half and their number by the other, or the axes would seem better than they are.
+        half, unit = unit[::2], unit[1::2] if len(unit) > 1 else unit
+        half = half - half.mean(axis=0) if len(half) else half
+        turn = np.linalg.eigh(half.T @ half)[1][:, ::-1]
+        above = np.triu(np.ones((len(unit), len(unit)), dtype=bool), 1) & (unit @ unit.T < least)
+        best = math.inf
+        for k in [*(x for x in (4, 8, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512) if x < d), d]:
+            axes = np.ascontiguousarray(turn[:, :k])
+            lead = leading(axes, unit)
+            # Coordinates that a pair costs: a product's fixed part, the product, and an exact check of what passes in vain.
+            cost = 40 + k + IN_VAIN * (above & (lead @ lead.T >= least)).sum() / max(1, above.sum())
+            if cost < best:
+                best, self.axes, self.pivots = cost, axes, chained(lead[:PIVOTS])
+
+
+class Tile:
+    """Vectors in order of their nearest pivot, with ids, numbers of copies and blocks."""
+
+    def __init__(self, space: Space, number: int, uid: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
+        unit, norms = units(vectors)
+        lead = leading(space.axes, unit)
+        order = np.argsort((lead @ space.pivots.T).argmax(axis=1), kind="stable") if len(space.pivots) else np.arange(len(lead))
+        self.number, self.uid, self.copies, self.vectors, self.norms = number, uid[order], copies[order], vectors[order], norms[order]
+        self.lead = lead[order]
+        self.starts = np.arange(0, len(lead), BLOCK)
+        self.centres, self.radii = self.balls(self.starts, BLOCK)
 
     def __len__(self) -> int:
         return len(self.uid)
 
+    def unit(self, at: np.ndarray) -> np.ndarray:
+        return units(self.vectors[at])[0].astype(np.float32)
+
+    def balls(self, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        centres = np.array([self.lead[s:s + size].mean(axis=0, dtype=np.float64) for s in starts])
+        return centres, np.array([np.linalg.norm(self.lead[s:s + size] - c, axis=1).max() for s, c in zip(starts, centres)])
 
-def linked(space: Space, b: int, x: Group, y: Group, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places in ``x`` and ``y`` of the pairs that link and belong to block ``b``."""
-    dims = space.blocks[b]
-    xb, yb = x.turned[:, dims].astype(np.float32), y.turned[:, dims].astype(np.float32)
-    far = (xb * xb).sum(axis=1)[:, None] + (yb * yb).sum(axis=1) - 2 * (xb @ yb.T)
-    i, j = np.nonzero(far <= space.budget[b] + 1e-5)
+
+def linked(space: Space, x: Tile, y: Tile) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``x`` and ``y`` of the pairs that link, by strips."""
+    least, same = space.least, x is y
+    bound = np.float32(least - 2 * rounding(space.axes.shape[1] + 1))
+    strips = np.arange(0, len(x), STRIP)
+    centres, radii = x.balls(strips, STRIP)
+    far = np.sqrt(np.maximum(0, (centres * centres).sum(axis=1)[:, None] + (y.centres * y.centres).sum(axis=1) - 2 * centres @ y.centres.T))
+    apart = far - radii[:, None] - y.radii > space.gap  # False for what is not a number
     if same:
-        i, j = i[i < j], j[i < j]
-    found = []
-    for at in range(0, len(i), 50_000):
-        p, q = i[at:at + 50_000], j[at:at + 50_000]
-        d2 = (x.turned[p] - y.turned[q]) ** 2
-        own = np.array([d2[:, c].sum(axis=1) for c in space.blocks[:b + 1]]) <= space.budget[:b + 1, None]
-        ok = own[b] & ~own[:b].any(axis=0)
-        p, q = p[ok], q[ok]
-        cosine = np.einsum("ij,ij->i", x.vectors[p], y.vectors[q]) / (x.norms[p] * y.norms[q])
-        found.append((p[cosine >= space.least], q[cosine >= space.least]))
-    return (np.concatenate([p for p, _ in found]), np.concatenate([q for _, q in found])) if found else (i, j)
+        apart |= y.starts + BLOCK <= strips[:, None]
+    products, passes = np.empty(STRIP * CHUNK, dtype=np.float32), np.empty(STRIP * CHUNK, dtype=bool)
+    for s, out in zip(strips, apart):
+        if out.all():
+            continue
+        blocks = np.flatnonzero(~out)
+        lo, hi = y.starts[blocks[0]], min(y.starts[blocks[-1]] + BLOCK, len(y))
+        places = np.arange(lo, hi)
+        if len(blocks) == blocks[-1] - blocks[0] + 1:
+            others = y.lead[lo:hi]
+        else:
+            places = places[np.repeat(~out[blocks[0]:blocks[-1] + 1], BLOCK)[:hi - lo]]
+            others = y.lead[places]
+        lead = x.lead[s:s + STRIP]
+        for c in range(0, len(places), CHUNK):
+            some = others[c:c + CHUNK]
+            shape = len(lead), len(some)
+            product, passed = (room[:shape[0] * shape[1]].reshape(shape) for room in (products, passes))
+            np.greater_equal(np.matmul(lead, some.T, out=product), bound, out=passed)
+            rows = np.flatnonzero(passed.any(axis=1))
+            if not len(rows):
+                continue
+            i, j = np.nonzero(passed[rows])
+            sure = i[:0], j[:0]
+            if len(i) > MUCH * passed.size:
+                cosine, near = x.unit(s + rows) @ y.unit(places[c:c + CHUNK]).T, 2 * rounding(space.d)
+                sure, (i, j) = np.nonzero(cosine >= least + near), np.nonzero(np.abs(cosine - least) < near)
+            for (i, j), verified in ((sure, True), ((i, j), False)):
+                for cut in range(0, len(i), 50_000):
+                    p, q = s + rows[i[cut:cut + 50_000]], places[c + j[cut:cut + 50_000]]
+                    if same:
+                        p, q = p[p < q], q[p < q]
+                    if not verified:
+                        with np.errstate(all="ignore"):
+                            cosine = np.einsum("ij,ij->i", x.vectors[p].astype(np.float64), y.vectors[q].astype(np.float64)) / (x.norms[p] * y.norms[q])
+                        p, q = p[cosine >= least], q[cosine >= least]
+                    if len(p):
+                        yield p, q
 
 
 def local_groups(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -142,107 +194,165 @@ def local_groups(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def dealt(reps: DataFrame, space, homes_only: bool) -> DataFrame:
-    """Rows of all blocks: ``key`` of the cell's piece, ``visitor``, ``uid, copies, vector``; or home counts."""
+class Met:
+    """Numbers of links and local groups of the vectors of a task."""
+
+    def __init__(self):
+        self.first, self.waiting, self.edges = {}, [], 0
+        self.uid = self.n = self.label = np.empty(0, dtype=np.int64)
+
+    def place(self, tile: Tile) -> int:
+        """Place of the tile's first vector."""
+        if tile.number not in self.first:
+            self.first[tile.number] = len(self.uid)
+            self.label = np.concatenate([self.label, np.arange(len(self.uid), len(self.uid) + len(tile))])
+            self.uid = np.concatenate([self.uid, tile.uid])
+            self.n = np.concatenate([self.n, np.zeros(len(tile), dtype=np.int64)])
+        return self.first[tile.number]
+
+    def add(self, x: Tile, y: Tile, i: np.ndarray, j: np.ndarray) -> None:
+        a, b = self.place(x), self.place(y)
+        self.n[a:a + len(x)] += np.bincount(i, y.copies[j], len(x)).astype(np.int64)
+        self.n[b:b + len(y)] += np.bincount(j, x.copies[i], len(y)).astype(np.int64)
+        i, j = self.label[a + i], self.label[b + j]
+        new = i != j
+        if new.any():
+            self.waiting.append((i[new], j[new]))
+            self.edges += int(new.sum())
+        if self.edges > 200_000:
+            self.merge()
+
+    def merge(self) -> None:
+        """Take in the links that wait; all labels stay places of the least vector reached."""
+        if self.edges:
+            ends = np.concatenate([np.concatenate(c) for c in zip(*self.waiting)])
+            nodes, at = np.unique(ends, return_inverse=True)
+            into = np.arange(len(self.label))
+            into[nodes] = nodes[local_groups(len(nodes), at[:self.edges], at[self.edges:])]
+            self.label = into[self.label]
+        self.waiting, self.edges = [], 0
+
+    def results(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        met = np.flatnonzero(self.n)
+        for cut in range(0, len(met), 50_000):
+            some = met[cut:cut + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.uid[some]), pa.array(self.n[some]), pa.array(self.uid[self.label[some]])], ["uid", "n", "other"])
+
+
+def tiles_of(distinct: DataFrame) -> DataFrame:
+    """Stored tiles of distinct vectors: ``tile, d``, the vectors as one binary, and the other columns as arrays."""
+    piece, values = PIECE, TILE_VALUES
+    single = isinstance(distinct.schema["vector"].dataType.elementType, FloatType)
+    if not single:
+        distinct = distinct.withColumn("vector", F.col("vector").cast("array<double>"))
+    others = [f for f in distinct.schema if f.name != "vector"]
+
+    def tile(d: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        ends = pa.array([0, rows.num_rows], pa.int32())
+        whole = [pa.ListArray.from_arrays(ends, rows.column(f.name).chunk(0)) for f in others]
+        content = rows.column("vector").chunk(0).flatten().to_numpy(zero_copy_only=False).astype("<f4" if single else "<f8")
+        return pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), *whole, pa.array([content.tobytes()], pa.binary())],
+                                          ["d", *(f.name for f in others), "vectors"])
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = space.value
+        held, rows, total = {}, {}, 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            uid = batch.column(0).to_numpy()
-            turned = s.turned(as_matrix(batch.column(2), s.d))
-            for b in range(len(s.blocks)):
-                if homes_only:
-                    cells, n = np.unique(s.homes(turned, b)[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array((b << 32) | cells), pa.array(n)], ["key", "n"])
-                    continue
-                home, near = s.visits(turned, b)
-                rows, cells = np.nonzero(near)
-                pieces = s.pieces[b]
-                own = uid % pieces[home]
-                # A home stands in its own piece and visits the earlier ones; a visitor of the cell visits all.
-                into = [(np.arange(len(uid)), home, own, np.zeros(len(uid), dtype=bool))]
-                for k in range(int(pieces.max())):
-                    later = np.flatnonzero(own > k)
-                    into.append((later, home[later], np.full(len(later), k), np.ones(len(later), dtype=bool)))
-                    more = pieces[cells] > k
-                    into.append((rows[more], cells[more], np.full(int(more.sum()), k), np.ones(int(more.sum()), dtype=bool)))
-                at, cell, piece, visitor = (np.concatenate(c) for c in zip(*into))
-                for cut in range(0, len(at), 4000):
-                    some = slice(cut, cut + 4000)
-                    took = batch.take(pa.array(at[some]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((np.int64(b) << 48) | (cell[some].astype(np.int64) << 32) | piece[some]), pa.array(visitor[some]), *took.columns],
-                        ["key", "visitor", "uid", "copies", "vector"])
-
-    rows = reps.select("uid", "copies", "vector")
-    if homes_only:
-        return rows.mapInArrow(of, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return rows.mapInArrow(of, f"key long, visitor boolean, uid long, copies long, vector {reps.schema['vector'].dataType.simpleString()}")
-
-
-def compared(rows: DataFrame, space) -> DataFrame:
-    """``uid, n, other``: links counted, and a member of the same local group, for rows in order of key and visitor."""
+            length = batch.column("vector").value_lengths().to_numpy(zero_copy_only=False)
+            lengths = np.unique(length).tolist()
+            for d in lengths:
+                part, most = batch if len(lengths) == 1 else batch.filter(pa.array(length == d)), max(1, min(piece, values // d))
+                while part.num_rows:
+                    some = part.slice(0, most - rows.get(d, 0))
+                    part = part.slice(some.num_rows)
+                    held.setdefault(d, []).append(some)
+                    rows[d] = rows.get(d, 0) + some.num_rows
+                    total += some.num_rows * d
+                    if rows[d] == most:
+                        total -= most * d
+                        yield tile(d, held.pop(d))
+                        del rows[d]
+            if total > 4 * values:  # many lengths
+                for d, parts in held.items():
+                    yield tile(d, parts)
+                held, rows, total = {}, {}, 0
+        for d, parts in held.items():
+            yield tile(d, parts)
+
+    made = distinct.mapInArrow(of, "d int, " + ", ".join(f"`{f.name}` array<{f.dataType.simpleString()}>" for f in others) + ", vectors binary")
+    width = F.lit(4 if single else 8)
+    return store(made.withColumns({"tile": F.monotonically_increasing_id(), "width": width}), "tiles", TILE_FILES)
+
+
+def sample_of(tiles: DataFrame, d: int) -> np.ndarray:
+    """At most ``SAMPLE`` vectors out of a few tiles."""
+    few = [r["tile"] for r in tiles.orderBy(F.xxhash64("tile"), "tile").select("tile").limit(16).collect()]
+    each = SAMPLE // len(few)
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = space.value
-        key, homes, checked = None, [], False
-
-        def results(b: int, x: Group, y: Group, same: bool) -> pa.RecordBatch | None:
-            i, j = linked(s, b, x, y, same)
-            if not len(i):
-                return None
-            uid = x.uid if same else np.concatenate([x.uid, y.uid])
-            right = j if same else j + len(x)
-            n = np.bincount(i, y.copies[j], len(uid)) + np.bincount(right, x.copies[i], len(uid))
-            label = local_groups(len(uid), i, right)
-            met = np.flatnonzero(n)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(uid[met]), pa.array(n[met].astype(np.int64)), pa.array(uid[label[met]])], ["uid", "n", "other"])
-
-        def inside() -> pa.RecordBatch | None:
-            """Links among the homes, once they are complete."""
-            nonlocal homes, checked
-            if not homes or checked:
-                return None
-            checked = True
-            homes = [Group(s, *(np.concatenate(c) for c in zip(*homes)))]
-            return results(key >> 48, homes[0], homes[0], True)
+        for batch in batches:
+            for width, content in zip(*(c.to_pylist() for c in batch.columns)):
+                x = np.frombuffer(content, f"<f{width}").reshape(-1, d)
+                x = x[np.random.default_rng(42).permutation(len(x))[:each]].astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["some"])
+
+    found = tiles.filter(F.col("tile").isin(few)).select("width", "vectors").mapInArrow(of, "some binary").collect()
+    return np.concatenate([np.frombuffer(r["some"]).reshape(-1, d) for r in found])
+
 
+def compared(tiles: DataFrame, d: int, n: int, least: float) -> DataFrame:
+    """``uid, n, other``: links counted, and a member of the same local group, among ``n`` tiles of vectors of length ``d``."""
+    spark = tiles.sparkSession
+    shared = spark.sparkContext.broadcast(Space(d, sample_of(tiles, d), least))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space, met, x, others = shared.value, Met(), None, {}
         for batch in batches:
-            keys, visitor = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]) | (visitor[1:] != visitor[:-1])) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(keys)]):
-                if lo == hi:
-                    continue
-                if keys[lo] != key:
-                    if (out := inside()) is not None:
-                        yield out
-                    key, homes, checked = int(keys[lo]), [], False
-                some = batch.slice(lo, hi - lo)
-                part = (some.column(2).to_numpy(), some.column(3).to_numpy(), as_matrix(some.column(4), s.d))
-                if not visitor[lo]:
-                    homes.append(part)
-                elif homes:
-                    if (out := inside()) is not None:
-                        yield out
-                    if (out := results(key >> 48, homes[0], Group(s, *part), False)) is not None:
-                        yield out
-        if (out := inside()) is not None:
-            yield out
-
-    return rows.repartition("key").sortWithinPartitions("key", "visitor").mapInArrow(of, "uid long, n long, other long")
+            for r in range(batch.num_rows):
+                row = {name: column[r] for name, column in zip(batch.schema.names, batch.columns)}
+
+                def tile(side: str) -> Tile | None:
+                    number, uid, copies, width, content = (row[f"{side}_{c}"] for c in ("tile", "uid", "copies", "width", "vectors"))
+                    return Tile(space, number.as_py(), uid.values.to_numpy(zero_copy_only=False), copies.values.to_numpy(zero_copy_only=False),
+                                np.frombuffer(content.as_buffer(), f"<f{width.as_py()}").reshape(-1, d)) if content.is_valid else None
+
+                x = tile("a") or x
+                if (y := tile("b")) is not None:
+                    others[y.number] = y
+                if row["meet"].as_py():
+                    y = others[row["b_tile"].as_py()]
+                    assert x.number == row["a_tile"].as_py()
+                    x = y if x.number == y.number else x
+                    for i, j in linked(space, x, y):
+                        met.add(x, y, i, j)
+        yield from met.results()
+
+    # Enough tasks for all cores; beyond that some tiles in each, so that a task returns its vectors once.
+    parts = min(n, max(math.ceil(n / TASK_TILES), 4 * math.ceil(math.sqrt(spark.sparkContext.defaultParallelism))))
+    columns = ["uid", "copies", "width", "vectors"]
+    one = tiles.select("tile", *columns).coalesce(parts).withColumn("first", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0)
+    a, b = (one.toDF(*[f"{side}_{c}" for c in one.columns]).hint("shuffle_replicate_nl") for side in "ab")
+    # Each two tiles meet once, in this order or that, so that tasks have about the same to do.
+    even = F.xxhash64("a_tile").bitwiseXOR(F.xxhash64("b_tile")).bitwiseAND(F.lit(1)) == 0
+    meet = (F.col("a_tile") <= F.col("b_tile")) == even
+    # A task gets the content of each tile once: of one side's with the other's first.
+    pairs = a.join(b, meet | F.col("a_first") | F.col("b_first")).select(
+        "a_tile", "b_tile", meet.alias("meet"), *[F.when(F.col("b_first"), F.col(f"a_{c}")).alias(f"a_{c}") for c in columns],
+        *[F.when(F.col("a_first"), F.col(f"b_{c}")).alias(f"b_{c}") for c in columns])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    text_batches(spark, 1)
+    try:
+        return store(pairs.mapInArrow(of, "uid long, n long, other long"), "links")
+    finally:
+        text_batches(spark, int(before))
 
 
 def links_of(reps: DataFrame, d: int, n: int, least: float) -> DataFrame:
-    """``uid, n, other`` for distinct vectors of length ``d``."""
-    context = reps.sparkSession.sparkContext
-    pivots = max(1, min(MOST_PIVOTS, round(math.sqrt(n / 50))))
-    sample = reps.orderBy(F.xxhash64("uid"), "uid").limit(pivots).select("vector").toArrow()  # bounded: at most MOST_PIVOTS
-    space = Space(d, np.concatenate([as_matrix(c, d) for c in sample.column(0).chunks]), least)
-    for r in dealt(reps, context.broadcast(space), True).collect():  # a row for each cell
-        space.pieces[r["key"] >> 32][r["key"] & 0xFFFFFFFF] = math.ceil(r["n"] / PIECE)
-    shared = context.broadcast(space)
-    return compared(dealt(reps, shared, False), shared)
+    """``uid, n, other`` for ``n`` distinct vectors of length ``d`` (``uid, copies, vector``)."""
+    tiles = tiles_of(reps)
+    return compared(tiles, d, tiles.count(), least)
 
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
@@ -252,28 +362,33 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     v = F.col("embedding")
     plain = v.isNotNull() & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     usable = plain & F.exists(v, lambda x: x != 0)
-    rows = store(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(usable, v).alias("vector"),
-                                F.xxhash64(F.lit(1), v).alias("h0"), F.xxhash64(F.lit(2), v).alias("h1")), "vectors")
-    reps = store(rows.filter("vector IS NOT NULL").groupBy("h0", "h1").agg(
-        F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"))
-        .withColumn("uid", F.monotonically_increasing_id()), "distinct-vectors")
+    hashes = {"h0": F.xxhash64(F.lit(1), v), "h1": F.xxhash64(F.lit(2), v)}
+    vec_id = F.col("vec_id").cast("long")
+    rows = store(vectors.select(vec_id.alias("vec_id"), F.when(usable, F.size(v)).alias("d"), *[c.alias(k) for k, c in hashes.items()]), "vectors")
+    size = rows.agg(F.count("d"), F.sum("d")).first()
+    most = max(1, math.ceil(size[0] / PIECE), math.ceil((size[1] or 0) / TILE_VALUES),
+               min(spark.sparkContext.defaultParallelism, math.ceil(size[0] / 2048)))
+    # The only vectors that are shuffled: one of each that a task finds equal.
+    distinct = vectors.filter(usable).groupBy(*[c.alias(k) for k, c in hashes.items()]).agg(
+        F.min(vec_id).alias("first_id"), F.count("*").alias("copies"), F.any_value(v).alias("vector")).coalesce(most)
+    tiles = tiles_of(distinct.withColumn("uid", F.monotonically_increasing_id()))
     met = None
-    for r in reps.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect():  # a row for each length
-        one = links_of(reps.filter(F.size("vector") == r["d"]), r["d"], r["count"], least)
+    for r in tiles.groupBy("d").count().orderBy("d").collect():  # a row for each length
+        one = compared(tiles.filter(F.col("d") == r["d"]), r["d"], r["count"], least)
         met = one if met is None else met.union(one)
     if met is None:
         met = spark.createDataFrame([], "uid long, n long, other long")
-    met = store(met, "links")
+    reps = tiles.select(F.explode(F.arrays_zip("uid", "h0", "h1", "first_id", "copies")).alias("r")).select("r.*")
     groups = components(met.select(F.col("uid").alias("a"), F.col("other").alias("b")))
     numbers = met.groupBy("uid").agg(F.sum("n").alias("n"))
-    member = reps.drop("vector").join(numbers, "uid", "left").join(groups, reps["uid"] == groups["node"], "left")
+    member = reps.join(numbers, "uid", "left").join(groups, reps["uid"] == groups["node"], "left")
     member = store(member.select("h0", "h1", "first_id", "copies", F.coalesce("n", F.lit(0)).alias("n"),
                                  F.coalesce("component", "uid").alias("component")), "members")
     least_id = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = member.join(least_id, "component").select(
         "h0", "h1", (F.col("n") + F.col("copies") - 1).alias("n_links"), "component_id")
-    good = rows.filter("vector IS NOT NULL").join(classes, ["h0", "h1"]).select("vec_id", "n_links", "component_id")
-    alone = rows.filter("vector IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    good = rows.filter("d IS NOT NULL").join(classes, ["h0", "h1"]).select("vec_id", "n_links", "component_id")
+    alone = rows.filter("d IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return good.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

@@ -1,5 +1,11 @@
 """Operator 8 against the full comparison."""
 
+import contextlib
+import glob
+import os
+import threading
+import time
+
 import duckdb
 import numpy as np
 import pytest
@@ -80,3 +86,50 @@ def test_dense_group_is_not_emitted_as_pairs(spark):
     total = {r.uid: r["sum(n)"] for r in met.groupBy("uid").sum("n").collect()}
     assert all(n == 599 for n in total.values()) and len(total) == 600
     assert met.count() < 20_000
+
+
+def shuffled_bytes(spark, work):
+    """The result of ``work()``, and the bytes of the shuffle files that were there while it ran."""
+    folders = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    sizes, over = {}, threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            for path in (p for folder in folders for p in glob.glob(f"{folder}/*/shuffle_*.data*")):
+                with contextlib.suppress(OSError):  # a file may go meanwhile
+                    name = os.path.basename(path).split(".data")[0]
+                    sizes[name] = max(sizes.get(name, 0), os.path.getsize(path))
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    time.sleep(0.5)
+    before = set(sizes)
+    try:
+        result = work()
+    finally:
+        over.set()
+        thread.join()
+    return result, sum(n for name, n in sizes.items() if name not in before)
+
+
+def test_vectors_are_not_copied_for_the_comparison(spark):
+    """Vectors spread evenly are near most others in few dimensions; each is shuffled once all the same."""
+    x = np.random.default_rng(4).standard_normal((4000, 64)).astype(np.float32)
+    x[3000:3050] = x[:50] * 2
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    result, shuffled = shuffled_bytes(spark, lambda: found(embedding_dedup.near_duplicates(df)))
+    assert shuffled < 4 * x.nbytes
+    assert {r[0] for r in result if r[1]} == {*range(50), *range(3000, 3050)}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_dense_groups_about_the_limit(spark, monkeypatch, kind):
+    """Groups whose cosines lie about 0.95, far from one another, over several tiles, strips and blocks."""
+    monkeypatch.setattr(embedding_dedup, "PIECE", 330)
+    rng = np.random.default_rng(5)
+    x = (rng.standard_normal((3, 64)) * 3)[rng.integers(0, 3, 700)] + rng.standard_normal((700, 64)) * 0.69
+    rows = [(k, v.tolist()) for k, v in enumerate(x.astype(np.float32 if kind == "float" else float))]
+    want = plain(rows)
+    assert 0.2 < sum(w[1] for w in want) / (700 * 233) < 0.8
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    assert found(embedding_dedup.near_duplicates(df)) == want
